@@ -7,11 +7,6 @@ __all__ = ["ORACLES", "QUERIES", "load"]
 
 def load() -> None:
     """Import every query module so that it registers its keys."""
-    import importlib, pathlib
-    for m in pathlib.Path(__file__).parent.glob("*.py"):
-        if m.stem not in ("__init__", "registry", "views"):
-            importlib.import_module(f"{__name__}.{m.stem}")
-    return
     from . import (  # noqa: F401
         aggregations,
         functions,

@@ -82,7 +82,8 @@ def main(sf: str, keys: list[str]) -> int:
     con = duck(sf)
     queries, oracles = entry.queries(), entry.oracle_sql()
     bad = 0
-    for key in keys or queries:
+    keys = [k for k in queries if not keys or any(k == x or queries[k].__module__.endswith('.' + x) for x in keys)]
+    for key in keys:
         t0 = time.time()
         try:
             df = queries[key](spark, sf)
