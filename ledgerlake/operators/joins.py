@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions import label_map
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
+# Size on disk; decoded rows take several times that, which executors still hold easily.
+BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
 def plan_bytes(df: DataFrame) -> int | None:

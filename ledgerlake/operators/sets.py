@@ -34,13 +34,6 @@ def union_layers(layers: Mapping[str, DataFrame], label: str = "camada") -> Data
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def reconcile(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows (with multiplicity) only in ``a`` and only in ``b``."""
-    cols = list(cols or a.columns)
-    a, b = a.select(*cols), b.select(*cols)
-    return a.exceptAll(b), b.exceptAll(a)
-
-
 def reconcile_counts(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Row groups whose multiplicity differs, with both counts: one aggregation for both sides.
 
@@ -52,3 +45,24 @@ def reconcile_counts(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = No
     )
     sums = both.groupBy(*cols).agg(F.sum("_a").alias("em_a"), F.sum("_b").alias("em_b"))
     return sums.where(F.col("em_a") != F.col("em_b"))
+
+
+def _replicate(df: DataFrame, count: Column, cols: Sequence[str], chunk: int = 1_000_000) -> DataFrame:
+    """``count`` copies of each row. Large counts are cut into chunks that are spread over tasks."""
+    parts = df.select(*cols, count.alias("_n")).withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / chunk)))
+    )
+    size = F.least(F.lit(chunk).cast("long"), F.col("_n") - F.col("_part") * chunk)
+    spread = parts.hint("rebalance")
+    return spread.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), size))).select(*cols)
+
+
+def reconcile(a: DataFrame, b: DataFrame, cols: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows (with multiplicity) only in ``a`` and only in ``b``."""
+    cols = list(cols or a.columns)
+    counts = reconcile_counts(a, b, cols)
+    surplus = F.col("em_a") - F.col("em_b")
+    return (
+        _replicate(counts.where(surplus > 0), surplus, cols),
+        _replicate(counts.where(surplus < 0), -surplus, cols),
+    )

@@ -175,15 +175,30 @@ def velocity_flag(
     n: int,
     count: str = "eventos_janela",
     out: str = "alerta_velocidade",
+    slot_seconds: int = 60,
 ) -> DataFrame:
-    """Events of the key in the trailing ``span_seconds`` (inclusive) and flag count >= n."""
+    """Events of the key in the trailing ``span_seconds`` (inclusive) and flag count >= n.
+
+    Every event arrives (+1) and expires just after the span (-1); the running sum is the
+    number of events in the trailing span. It is taken per (key, short time slot) on top of
+    the balance of the earlier slots, so a key with very many events is spread over its slots
+    and no frame is ever recounted.
+    """
     span = span_seconds * 1_000_000
-    pos = F.unix_micros(F.col(ts).cast("timestamp"))
-    w = Window.partitionBy(key, "_slot").orderBy("_us").rangeBetween(-span, 0)
-    counted = _slotted(df.withColumn("_us", pos), F.col("_us"), span, 8 * span).withColumn(
-        count, F.count("*").over(w)
+    rows = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    per_instant = rows.groupBy(key, "_us").agg(F.count("*").alias("_d"))
+    moves = per_instant.unionByName(
+        per_instant.select(key, (F.col("_us") + span + 1).alias("_us"), (-F.col("_d")).alias("_d"))
+    ).withColumn("_slot", F.floor(F.col("_us") / (slot_seconds * 1_000_000)))
+    slots = moves.groupBy(key, "_slot").agg(F.sum("_d").alias("_t"))
+    earlier = Window.partitionBy(key).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    balance = slots.select(key, "_slot", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_b"))
+    inside = Window.partitionBy(key, "_slot").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
+    running = moves.join(balance, [key, "_slot"]).select(
+        key, "_us", "_d", (F.sum("_d").over(inside) + F.col("_b")).alias(count)
     )
-    return _owned(counted).drop("_us").withColumn(out, F.col(count) >= n)
+    active = running.where(F.col("_d") > 0).select(key, "_us", count)
+    return rows.join(active, [key, "_us"], "left").drop("_us").withColumn(out, F.col(count) >= n)
 
 
 def sessionize(df: DataFrame, key: str, ts: str, gap_seconds: int, value: str | None = None) -> DataFrame:

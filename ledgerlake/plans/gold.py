@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import presets
 from ..functions import (
+    SUM_TYPE,
     band,
     compare_label,
     count_where,
@@ -42,9 +43,12 @@ def _stamped(df: DataFrame, asof: str) -> DataFrame:
 def anomalies(
     bars: DataFrame, asof: str, key: str = "ticker", value: str = "variacao_diaria_pct", k: float = 2.0
 ) -> DataFrame:
-    """Days whose change is more than ``k`` deviations from the symbol's mean."""
+    """Days whose change is more than ``k`` deviations from the symbol's mean.
+
+    The deduplicated days are written once: the statistics and the scoring both read them.
+    """
     cols = ["date", key, "empresa", "setor", "open", "close", "volume", value]
-    unique = dedup_latest(bars.select(*cols), ["date", key])
+    unique = stage(dedup_latest(bars.select(*cols), ["date", key]), "days")
     scored = zscore(unique, key, value, k)
     return _stamped(scored.select(*cols, "zscore", "anomalia", "tipo_anomalia"), asof)
 
@@ -334,23 +338,65 @@ def fraud_trades(
     )
 
 
+def hour_partials(trades: DataFrame) -> DataFrame:
+    """Sums per (ticker, hour of day) from which the intraday tables are finished.
+
+    Partials of separate batches add up (``merge_partials``), so a stream stores them per
+    batch and never reads its old rows again.
+    """
+    buy, sell = F.col("tipo") == "compra", F.col("tipo") == "venda"
+    return trades.groupBy("ticker", "hora").agg(
+        F.count("*").alias("n"),
+        F.sum("quantidade").alias("q"),
+        F.sum(F.col("valor_total").cast(SUM_TYPE)).alias("v"),
+        F.sum(F.col("preco").cast(SUM_TYPE)).alias("p_sum"),
+        F.count("preco").alias("p_n"),
+        F.min("preco").alias("p_min"),
+        F.max("preco").alias("p_max"),
+        F.sum(F.when(buy, F.col("quantidade")).otherwise(0)).alias("q_buy"),
+        F.sum(F.when(sell, F.col("quantidade")).otherwise(0)).alias("q_sell"),
+        count_where(buy).alias("n_buy"),
+        count_where(sell).alias("n_sell"),
+    )
+
+
+def merge_partials(partials: DataFrame, keys: Sequence[str] = ("ticker", "hora")) -> DataFrame:
+    sums = ("n", "q", "v", "p_sum", "p_n", "q_buy", "q_sell", "n_buy", "n_sell")
+    return partials.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in sums], F.min("p_min").alias("p_min"), F.max("p_max").alias("p_max")
+    )
+
+
+def _mean_price() -> Column:
+    return dec_round(safe_div("p_sum", "p_n"), 2)
+
+
 def hourly_bars(trades: DataFrame) -> DataFrame:
     """Per (ticker, hour of day): mean price, value, volume, trades."""
-    return trades.groupBy("ticker", "hora").agg(
-        exact_avg("preco", 2).alias("preco_medio_hora"),
-        dec_sum("valor_total").alias("valor_total_hora"),
-        F.sum("quantidade").alias("volume_hora"),
-        F.count("*").alias("total_transacoes_hora"),
+    return hourly_bars_of(hour_partials(trades))
+
+
+def hourly_bars_of(partials: DataFrame) -> DataFrame:
+    return partials.select(
+        "ticker",
+        "hora",
+        _mean_price().alias("preco_medio_hora"),
+        dec_round("v", 2).alias("valor_total_hora"),
+        F.col("q").alias("volume_hora"),
+        F.col("n").alias("total_transacoes_hora"),
     )
 
 
 def intraday_anomalies(trades: DataFrame, bench: DataFrame, asof: str, k: float = 2.0) -> DataFrame:
     """Hours whose mean price is more than ``k`` historical deviations off the benchmark."""
-    hours = guarded_join(hourly_bars(trades), bench.select("ticker", "preco_medio", "volatilidade"), "ticker")
+    return intraday_anomalies_of(hour_partials(trades), bench, asof, k)
+
+
+def intraday_anomalies_of(partials: DataFrame, bench: DataFrame, asof: str, k: float = 2.0) -> DataFrame:
+    known = bench.select("ticker", "preco_medio", "volatilidade")
+    hours = guarded_join(hourly_bars_of(partials), known, "ticker")
     dev = dec_round(F.col("preco_medio") * F.col("volatilidade") / 100, 4)
-    z = safe_div(
-        F.col("preco_medio_hora") - F.col("preco_medio"), guard_zero("desvio_historico_rs")
-    )
+    z = safe_div(F.col("preco_medio_hora") - F.col("preco_medio"), guard_zero("desvio_historico_rs"))
     scored = hours.withColumn("desvio_historico_rs", dev).withColumn("zscore_intraday", dec_round(z, 4))
     return _stamped(label_z(scored, "zscore_intraday", k, "anomalia", "tipo_anomalia"), asof)
 
@@ -359,13 +405,21 @@ def intraday_volume(
     trades: DataFrame, bench: DataFrame, asof: str, cuts: Sequence[float] = (15, 30)
 ) -> DataFrame:
     """Hourly volume, its share of the mean daily volume, and buy / sell pressure."""
-    hours = trades.groupBy("ticker", "hora").agg(
-        F.count("*").alias("total_transacoes"),
-        F.sum("quantidade").alias("volume_hora"),
-        dec_sum("valor_total").alias("valor_total_hora"),
-        exact_avg("preco", 2).alias("preco_medio_hora"),
-        F.sum(F.when(F.col("tipo") == "compra", F.col("quantidade")).otherwise(0)).alias("volume_compras"),
-        F.sum(F.when(F.col("tipo") == "venda", F.col("quantidade")).otherwise(0)).alias("volume_vendas"),
+    return intraday_volume_of(hour_partials(trades), bench, asof, cuts)
+
+
+def intraday_volume_of(
+    partials: DataFrame, bench: DataFrame, asof: str, cuts: Sequence[float] = (15, 30)
+) -> DataFrame:
+    hours = partials.select(
+        "ticker",
+        "hora",
+        F.col("n").alias("total_transacoes"),
+        F.col("q").alias("volume_hora"),
+        dec_round("v", 2).alias("valor_total_hora"),
+        _mean_price().alias("preco_medio_hora"),
+        F.col("q_buy").alias("volume_compras"),
+        F.col("q_sell").alias("volume_vendas"),
     )
     joined = guarded_join(hours, bench.select("ticker", "volume_medio"), "ticker")
     pct = safe_div("volume_hora", guard_zero("volume_medio")) * 100
@@ -383,15 +437,20 @@ def intraday_volume(
 
 def ranking(trades: DataFrame, bench: DataFrame, asof: str) -> DataFrame:
     """Symbols by traded value with the change against the benchmark price."""
-    sums = trades.groupBy("ticker").agg(
-        F.count("*").alias("total_transacoes"),
-        F.sum("quantidade").alias("volume_total"),
-        dec_sum("valor_total").alias("valor_total"),
-        exact_avg("preco", 2).alias("preco_medio_atual"),
-        count_where(F.col("tipo") == "compra").alias("total_compras"),
-        count_where(F.col("tipo") == "venda").alias("total_vendas"),
-        dec_round(F.min("preco"), 2).alias("preco_minimo"),
-        dec_round(F.max("preco"), 2).alias("preco_maximo"),
+    return ranking_of(hour_partials(trades), bench, asof)
+
+
+def ranking_of(partials: DataFrame, bench: DataFrame, asof: str) -> DataFrame:
+    sums = merge_partials(partials, ["ticker"]).select(
+        "ticker",
+        F.col("n").alias("total_transacoes"),
+        F.col("q").alias("volume_total"),
+        dec_round("v", 2).alias("valor_total"),
+        _mean_price().alias("preco_medio_atual"),
+        F.col("n_buy").alias("total_compras"),
+        F.col("n_sell").alias("total_vendas"),
+        dec_round("p_min", 2).alias("preco_minimo"),
+        dec_round("p_max", 2).alias("preco_maximo"),
     )
     hist = bench.select("ticker", "empresa", "setor", F.col("preco_medio").alias("preco_medio_historico"))
     joined = guarded_join(sums, hist, "ticker")

@@ -10,7 +10,7 @@ from ..sources.readers import stream_files
 from ..sources.scratch import scratch_dir
 from ..streaming import trades as st
 from . import views as v
-from .golds import STREAM_FRAUD
+from .golds import INTRADAY, RANKING, STREAM_FRAUD, VOLUME
 from .registry import query
 from .scans import envelopes
 from .views import ASOF, STAMP, dsum
@@ -69,24 +69,31 @@ def stream_enrich(spark, sf):
 
 @query(
     "stream_foreach_batch",
-    f"select ticker, hora, cast(sum(quantidade) as bigint) as volume_hora, {dsum('valor_total')} as valor_total_hora, count(*) as transacoes from v_trades group by 1,2",
+    f"""select 'anomalias' as tabela, ticker, hora, zscore_intraday as medida, tipo_anomalia as rotulo from ({INTRADAY}) a
+union all select 'volume', ticker, hora, pct_volume_diario, pressao_compradora from ({VOLUME}) b
+union all select 'ranking', ticker, cast(rank_volume as int), variacao_vs_historico_pct, tendencia from ({RANKING}) c
+union all select 'fraude', ticker, total_alertas, cast(count(*) as double), score_fraude from ({STREAM_FRAUD}) d group by ticker, total_alertas, score_fraude""",
 )
 def stream_foreach_batch(spark, sf):
-    """Each micro-batch stores its hourly partial sums under its id; gold adds the partials up."""
+    """Gold refreshed per micro-batch: each batch adds its fraud rows and its hourly partial sums.
+
+    The four gold tables are then finished from what the batches stored.
+    """
     out = scratch_dir(spark, "stream_gold")
-    path = ordered_events(spark, sf)
-    raw = stream_files(spark, path, v.table(spark, sf, "events").schema, max_files=2)
+    bench = v.trade_benchmark(spark, sf)
+    raw = stream_files(spark, ordered_events(spark, sf), v.table(spark, sf, "events").schema, max_files=2)
     rows = silver.enrich_trades(v.decoded_trades(raw), STAMP)
-
-    def hourly(batch: DataFrame) -> DataFrame:
-        return batch.groupBy("ticker", "hora").agg(
-            F.sum("quantidade").alias("q"), F.sum(F.col("valor_total").cast("decimal(18,6)")).alias("v"), F.count("*").alias("n")
-        )
-
-    st.drain(st.foreach_batch_refresh(rows, out, scratch_dir(spark, "ckpt"), {"hora": hourly}))
-    return spark.read.parquet(f"{out}/hora").groupBy("ticker", "hora").agg(
-        F.sum("q").alias("volume_hora"), F.round(F.sum("v"), 2).cast("double").alias("valor_total_hora"),
-        F.sum("n").alias("transacoes"),
+    st.drain(st.foreach_batch_refresh(rows, out, scratch_dir(spark, "ckpt"), st.gold_batch(bench, ASOF)))
+    tables = st.finish_gold(spark, out, bench, ASOF)
+    label = lambda df, name, *cols: df.select(
+        F.lit(name).alias("tabela"), "ticker", *[F.col(c).alias(n) for c, n in zip(cols, ("hora", "medida", "rotulo"))]
+    )
+    fraud = tables["fraude"].groupBy("ticker", "total_alertas", "score_fraude").agg(F.count("*").cast("double").alias("n"))
+    return (
+        label(tables["anomalias"], "anomalias", "hora", "zscore_intraday", "tipo_anomalia")
+        .unionByName(label(tables["volume"], "volume", "hora", "pct_volume_diario", "pressao_compradora"))
+        .unionByName(label(tables["ranking"], "ranking", "rank_volume", "variacao_vs_historico_pct", "tendencia"))
+        .unionByName(label(fraud, "fraude", "total_alertas", "n", "score_fraude"))
     )
 
 
@@ -122,11 +129,33 @@ def stream_sessions(spark, sf):
     return _ntz(st.complete_result(agg, scratch_dir(spark, "sessions"), scratch_dir(spark, "ckpt")), "inicio", "fim")
 
 
-@query("stream_late_data")
+def land_by_week(spark, sf) -> str:
+    """Events landed in four files by time, one after another, then the first hour once more.
+
+    A file source takes files in the order they were written, so only the last file is late.
+    """
+    path = scratch_dir(spark, "events_late")
+    e = v.table(spark, sf, "events")
+    cuts = [None, "2024-01-08", "2024-01-15", "2024-01-22", None]
+    for lo, hi in zip(cuts, cuts[1:]):
+        part = e
+        part = part.where(F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) if lo else part
+        part = part.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz")) if hi else part
+        part.write.mode("append").parquet(path)
+    e.where(F.col("ts") < F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")).write.mode("append").parquet(path)
+    return path
+
+
+@query(
+    "stream_late_data",
+    f"""select event_type, date_trunc('hour',ts)::timestamp as inicio, date_trunc('hour',ts)::timestamp+interval 1 hour as fim,
+  count(*) as eventos, {dsum('value')} as valor_total from events group by 1,2,3
+having date_trunc('hour',ts)::timestamp+interval 1 hour <= (select max(ts) from events) - interval 1 hour""",
+)
 def stream_late_data(spark, sf):
-    """Append mode with a watermark: windows are emitted once closed, rows behind it are dropped."""
+    """Append mode with a watermark: a window is emitted once closed, rows behind the watermark are dropped."""
     out = scratch_dir(spark, "late")
-    raw = stream_files(spark, ordered_events(spark, sf), v.table(spark, sf, "events").schema, max_files=1)
+    raw = stream_files(spark, land_by_week(spark, sf), v.table(spark, sf, "events").schema, max_files=1)
     agg = st.stream_tumbling(raw, "event_type", "ts", "value", "1 hour", "1 hour")
     st.drain(st.stream_to_table(agg, out, scratch_dir(spark, "ckpt")))
     return _ntz(spark.read.schema(agg.schema).parquet(out), "inicio", "fim")

@@ -8,6 +8,7 @@ from .. import presets
 from ..operators import windows
 from ..operators.aggregates import pivot_series
 from ..operators.windows import Trailing
+from ..sources.scratch import stage
 from . import views as v
 from .registry import query
 from .views import dsum, r
@@ -15,7 +16,8 @@ from .views import dsum, r
 
 @query("zscore_anomalies", "select date, ticker, zscore, anomalia, tipo_anomalia from v_anom")
 def zscore_anomalies(spark, sf):
-    rows = v.bars(spark, sf).select("date", "ticker", "variacao_diaria_pct")
+    # bars are a stored table in a pipeline; the two passes of the operator read it
+    rows = stage(v.bars(spark, sf).select("date", "ticker", "variacao_diaria_pct"), "bars")
     return windows.zscore(rows, "ticker", "variacao_diaria_pct").drop("variacao_diaria_pct")
 
 

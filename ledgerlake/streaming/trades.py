@@ -16,6 +16,7 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from .. import presets
 from ..functions import SUM_TYPE
 from ..operators.joins import guarded_join
+from ..plans import gold
 from ..plans.silver import enrich_trades
 from ..sources.readers import decode_envelope
 
@@ -99,6 +100,25 @@ def foreach_batch_refresh(
     )
 
 
+def gold_batch(bench: DataFrame, asof: str) -> dict[str, Callable[[DataFrame], DataFrame]]:
+    """What each batch of trades adds to gold: flagged rows, and partial sums per hour."""
+    return {
+        "fraude": lambda batch: gold.fraud_trades(batch, bench, asof),
+        "parciais": gold.hour_partials,
+    }
+
+
+def finish_gold(spark: SparkSession, out: str, bench: DataFrame, asof: str) -> dict[str, DataFrame]:
+    """The four stream gold tables from what the batches stored under ``out``."""
+    partials = gold.merge_partials(spark.read.parquet(f"{out}/parciais"))
+    return {
+        "fraude": spark.read.parquet(f"{out}/fraude").drop("batch_id"),
+        "anomalias": gold.intraday_anomalies_of(partials, bench, asof),
+        "volume": gold.intraday_volume_of(partials, bench, asof),
+        "ranking": gold.ranking_of(partials, bench, asof),
+    }
+
+
 def complete_result(df: DataFrame, out: str, checkpoint: str) -> DataFrame:
     """Drain an aggregating stream in complete mode and return its last full result.
 
