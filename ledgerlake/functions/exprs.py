@@ -16,9 +16,8 @@ _OPS = {
     "==": operator.eq,
 }
 
-# Money is summed as DECIMAL(18,6): exact, so a result does not depend on task order.
-SUM_TYPE = "decimal(18,6)"
-ROUND_TYPE = "decimal(38,6)"
+# Doubles are summed as decimals: exact, so a result does not depend on task order.
+SUM_TYPE = "decimal(28,10)"
 
 
 def _col(c) -> Column:
@@ -26,8 +25,11 @@ def _col(c) -> Column:
 
 
 def dec_round(c, digits: int) -> Column:
-    """Round half up on the decimal reading of the value, returned as double."""
-    return F.round(_col(c).cast(ROUND_TYPE), digits).cast("double")
+    """Round half up on the decimal reading of the value, returned as double.
+
+    One rounding step only: reading the value at a fixed scale first would round it twice.
+    """
+    return F.round(_col(c), digits).cast("double")
 
 
 def dec_sum(c, digits: int = 2) -> Column:
@@ -94,7 +96,7 @@ def count_where(pred) -> Column:
 
 def sum_where(pred, c) -> Column:
     """sum(when(pred, c) else 0), exact for money columns (decimal result)."""
-    return F.coalesce(F.sum(F.when(pred, _col(c).cast(SUM_TYPE))), F.lit(0).cast("decimal(28,6)"))
+    return F.coalesce(F.sum(F.when(pred, _col(c).cast(SUM_TYPE))), F.lit(0).cast("decimal(38,10)"))
 
 
 def signed_sum(pred, c) -> Column:

@@ -185,20 +185,23 @@ def velocity_flag(
     and no frame is ever recounted.
     """
     span = span_seconds * 1_000_000
-    rows = df.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
-    per_instant = rows.groupBy(key, "_us").agg(F.count("*").alias("_d"))
-    moves = per_instant.unionByName(
-        per_instant.select(key, (F.col("_us") + span + 1).alias("_us"), (-F.col("_d")).alias("_d"))
-    ).withColumn("_slot", F.floor(F.col("_us") / (slot_seconds * 1_000_000)))
-    slots = moves.groupBy(key, "_slot").agg(F.sum("_d").alias("_t"))
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    arrive = F.struct(us.alias("at"), F.lit(1).alias("d"))
+    expire = F.struct((us + span + 1).alias("at"), F.lit(-1).alias("d"))
+    slot = F.floor(F.col("_m.at") / (slot_seconds * 1_000_000))
+    moves = df.withColumn("_m", F.explode(F.array(arrive, expire))).withColumn("_slot", slot)
+
+    # few rows: one per (key, slot), summed before the shuffle
+    totals = moves.groupBy(key, "_slot").agg(F.sum("_m.d").alias("_t"))
     earlier = Window.partitionBy(key).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    balance = slots.select(key, "_slot", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_b"))
-    inside = Window.partitionBy(key, "_slot").orderBy("_us").rangeBetween(Window.unboundedPreceding, 0)
-    running = moves.join(balance, [key, "_slot"]).select(
-        key, "_us", "_d", (F.sum("_d").over(inside) + F.col("_b")).alias(count)
-    )
-    active = running.where(F.col("_d") > 0).select(key, "_us", count)
-    return rows.join(active, [key, "_us"], "left").drop("_us").withColumn(out, F.col(count) >= n)
+    balance = totals.select(key, "_slot", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_b"))
+
+    # the expiry half carries no payload through the shuffle
+    payload = [F.when(F.col("_m.d") > 0, F.col(c)).alias(c) for c in df.columns if c != key]
+    lean = moves.select(key, *payload, "_m", "_slot")
+    inside = Window.partitionBy(key, "_slot").orderBy("_m.at").rangeBetween(Window.unboundedPreceding, 0)
+    running = lean.join(balance, [key, "_slot"]).withColumn(count, F.sum("_m.d").over(inside) + F.col("_b"))
+    return running.where(F.col("_m.d") > 0).select(*df.columns, count, (F.col(count) >= n).alias(out))
 
 
 def sessionize(df: DataFrame, key: str, ts: str, gap_seconds: int, value: str | None = None) -> DataFrame:

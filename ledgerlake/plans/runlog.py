@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import presets
-from ..functions import SUM_TYPE, count_where, dec_round, safe_div
+from ..functions import count_where, dec_round, safe_div
 from ..operators.joins import latest_slice
 from ..operators.sets import top_k
 
@@ -22,9 +22,12 @@ def _success_pct() -> Column:
     return dec_round(safe_div(count_where(F.col("state") == "success") * F.lit(100.0), F.count("*")), 2)
 
 
+def _micros() -> Column:
+    return F.unix_micros(F.col("end_date").cast("timestamp")) - F.unix_micros(F.col("start_date").cast("timestamp"))
+
+
 def duration_minutes() -> Column:
-    micros = F.unix_micros(F.col("end_date").cast("timestamp")) - F.unix_micros(F.col("start_date").cast("timestamp"))
-    return micros / F.lit(60_000_000.0)
+    return _micros() / F.lit(60_000_000.0)
 
 
 def success_rate(runs: DataFrame, since=None, like: str | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -38,12 +41,12 @@ def success_rate(runs: DataFrame, since=None, like: str | None = None, by: Seque
 
 def run_durations(runs: DataFrame, since=None, like: str | None = None, by: str = "task_id") -> DataFrame:
     """Runs, mean and longest duration in minutes per task (or pipeline)."""
-    rows = _since(runs, since, like).where(F.col("end_date").isNotNull()).withColumn("_d", duration_minutes())
-    mean = safe_div(F.sum(F.col("_d").cast(SUM_TYPE)).cast("double"), F.count("*"))
+    rows = _since(runs, since, like).where(F.col("end_date").isNotNull()).withColumn("_d", _micros())
+    minute = F.lit(60_000_000.0)
     return rows.groupBy(by).agg(
         F.count("*").alias("execucoes"),
-        dec_round(mean, 4).alias("duracao_media_min"),
-        dec_round(F.max("_d"), 4).alias("duracao_maxima_min"),
+        dec_round(safe_div(F.sum("_d"), F.count("*")) / minute, 4).alias("duracao_media_min"),
+        dec_round(F.max("_d") / minute, 4).alias("duracao_maxima_min"),
     )
 
 

@@ -50,7 +50,7 @@ def silver_series(df: DataFrame, asof: str, round_to: int = 6, fmt: str = "dd/MM
     """Long series: text dates parsed, values rounded, one row per (date, indicator)."""
     out = (
         df.withColumn("data", F.try_to_date("data", fmt))
-        .withColumn("valor", F.round(F.col("valor").cast("decimal(38,8)"), round_to).cast("double"))
+        .withColumn("valor", dec_round("valor", round_to))
         .where(F.col("valor").isNotNull() & F.col("data").isNotNull())
     )
     newest = [c for c in ("extracao", "data_extracao") if c in df.columns]

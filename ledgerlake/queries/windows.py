@@ -11,7 +11,7 @@ from ..operators.windows import Trailing
 from ..sources.scratch import stage
 from . import views as v
 from .registry import query
-from .views import dsum, r
+from .views import davg, dsum, dtotal, r
 
 
 @query("zscore_anomalies", "select date, ticker, zscore, anomalia, tipo_anomalia from v_anom")
@@ -32,7 +32,7 @@ def _frame(days: int) -> str:
 
 @query(
     "trailing_mean_7d",
-    f"select data, {r('avg(selic) ' + _frame(7), 4)} as selic_media_7d, {r('avg(cambio_usd_brl) ' + _frame(7), 4)} as cambio_media_7d from v_wide",
+    f"select data, {r(davg('selic', _frame(7)), 4)} as selic_media_7d, {r(davg('cambio_usd_brl', _frame(7)), 4)} as cambio_media_7d from v_wide",
 )
 def trailing_mean_7d(spark, sf):
     return _trailing(
@@ -47,7 +47,7 @@ def trailing_std_30d(spark, sf):
 
 @query(
     "trailing_sum_365d",
-    f"select data, cast(sum(cast(ipca as decimal(18,6))) {_frame(365)} as double) as ipca_acumulado_12m from v_wide",
+    f"select data, {dtotal('ipca', _frame(365))} as ipca_acumulado_12m from v_wide",
 )
 def trailing_sum_365d(spark, sf):
     return _trailing(spark, sf, Trailing("ipca_acumulado_12m", "sum", "ipca", 365))
