@@ -99,7 +99,7 @@ def fn_string(spark, sf):
         F.length("c_name").alias("tamanho"),
         F.lower("c_name").alias("minusculo"),
         F.replace("c_name", F.lit("#"), F.lit("_")).alias("trocado"),
-        F.split("c_name", "#").getItem(1).alias("sufixo"),
+        F.get(F.split("c_name", "#"), 1).alias("sufixo"),
         F.col("c_name").like("Customer#%").alias("modelo"),
     )
 

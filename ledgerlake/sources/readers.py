@@ -47,7 +47,7 @@ def read_nested_json(
 ) -> DataFrame:
     """Landed ``[meta, [{"date": …, "value": …}]]`` payloads, one file per request."""
     parts = spark.read.text(path, wholetext=True).select(
-        F.from_json("value", "array<string>").getItem(1).alias("rows")
+        F.get(F.from_json("value", "array<string>"), 1).alias("rows")
     )
     items = parts.select(
         F.explode(F.from_json("rows", "array<struct<date:string,value:double>>")).alias("r")
