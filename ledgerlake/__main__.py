@@ -17,6 +17,14 @@ def main(argv: list[str] | None = None) -> None:
     one.add_argument("--base", required=True)
     one.add_argument("--asof", required=True)
     one.add_argument("--ver", type=int)
+    hist = commands.add_parser("history", help="add one day to a validity history")
+    hist.add_argument("history", choices=sorted(jobs.HISTORIES))
+    hist.add_argument("--base", required=True)
+    hist.add_argument("--asof", required=True)
+    hist.add_argument("--mode", choices=["changes", "snapshot"], default="changes")
+    monitor = commands.add_parser("monitor", help="quality metrics of all stored tables")
+    monitor.add_argument("--base", required=True)
+    monitor.add_argument("--asof", required=True)
     stream = commands.add_parser("stream", help="ingest captured trades")
     stream.add_argument("--base", required=True)
     stream.add_argument("--stamp", required=True)
@@ -25,6 +33,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("ledgerlake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "run":
         print(jobs.run(spark, args.job, args.base, args.asof, args.ver))
+    elif args.command == "history":
+        print(jobs.run_history(spark, args.history, args.base, args.asof, args.mode))
+    elif args.command == "monitor":
+        jobs.run_monitoring(spark, args.base, args.asof).orderBy("qualidade_pct").show(truncate=False)
     else:
         jobs.run_stream(spark, args.base, args.stamp, args.every).awaitTermination()
 

@@ -12,7 +12,9 @@ from typing import Any, NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import quality
+from . import presets
+from .operators import history, quality
+from .operators.joins import dedup_latest
 from .plans import gold, silver
 from .sources import snapshots, tables
 from .streaming import trades as st
@@ -30,8 +32,17 @@ class Lake(NamedTuple):
         return f"{self.base.rstrip('/')}/{layer}/{table}"
 
     def bronze(self, table: str) -> DataFrame:
+        """All daily extracts."""
         return tables.read_landing(self.spark, self.path("bronze", table))
 
+    def extract(self, table: str) -> DataFrame:
+        """The extract of the processing date only."""
+        glob = f"extracao={self.asof}"
+        return tables.read_landing(self.spark, self.path("bronze", table), glob).drop("extracao")
+
+    def exists(self, layer: str, table: str) -> bool:
+        return bool(snapshots.list_versions(self.spark, self.path(layer, table)))
+
     def current(self, layer: str, table: str) -> DataFrame:
         return snapshots.read_current(self.spark, self.path(layer, table)).drop("ver")
 
@@ -56,6 +67,12 @@ def _trades(lake: Lake) -> DataFrame:
     return lake.spark.read.parquet(lake.path("silver", "streaming"))
 
 
+def _merged(lake: Lake, table: str, key: str, rows: DataFrame) -> DataFrame:
+    """The stored silver table with today's rows merged into it by key."""
+    stored = lake.current("silver", table) if lake.exists("silver", table) else None
+    return history.upsert(stored, rows, [key])
+
+
 def _present(*cols: str) -> dict[str, dict[str, Any]]:
     return {"completeness": {"required_columns": list(cols)}, "row_count": {"min_rows": 1}}
 
@@ -69,15 +86,17 @@ JOBS: dict[str, Job] = {
         "silver", "bcb", lambda k: silver.silver_series(k.bronze("bcb"), k.asof), _present("data", "indicador", "valor")
     ),
     "silver_world_bank": Job(
-        "silver", "world_bank", lambda k: silver.silver_yearly(k.bronze("world_bank"), k.asof),
+        "silver", "world_bank",
+        lambda k: silver.silver_yearly(dedup_latest(k.bronze("world_bank"), ["ano", "indicador"], ["extracao"]), k.asof),
         _present("ano", "indicador", "valor"),
     ),
     "silver_clientes": Job(
-        "silver", "clientes", lambda k: silver.silver_customers(k.bronze("clientes"), k.asof),
+        "silver", "clientes",
+        lambda k: _merged(k, "clientes", "hash_cliente", silver.silver_customers(k.extract("clientes"), k.asof)),
         {**_present("hash_cliente", "score_credito"), "uniqueness": {"key_column": "hash_cliente"}},
     ),
     "silver_ordens": Job(
-        "silver", "ordens", lambda k: silver.silver_orders(k.bronze("ordens"), k.asof),
+        "silver", "ordens", lambda k: _merged(k, "ordens", "id_ordem", silver.silver_orders(k.extract("ordens"), k.asof)),
         {**_present("id_ordem", "hash_cliente"), "uniqueness": {"key_column": "id_ordem"}},
     ),
     "gold_anomalias": Job(
@@ -147,6 +166,68 @@ def run(spark: SparkSession, name: str, base: str, asof: str, ver: int | None =
     return quality.publish(job.build(lake), path, ver, job.checks)
 
 
+class HistoryJob(NamedTuple):
+    """A validity history: source table, key, and the attributes it keeps."""
+
+    layer: str
+    table: str
+    source: tuple[str, str]
+    columns: tuple[str, ...]
+    key: str = "hash_cliente"
+
+
+HISTORIES: dict[str, HistoryJob] = {
+    "clientes_scd": HistoryJob("silver", "clientes_scd", ("silver", "clientes"), presets.SCD2_CUSTOMERS),
+    "score_risco_scd": HistoryJob("gold", "score_risco_scd", ("gold", "score_risco_clientes"), presets.SCD2_RISK_SCORE),
+}
+
+
+def run_history(spark: SparkSession, name: str, base: str, asof: str, mode: str = "changes") -> str:
+    """One day of a validity history.
+
+    Open versions are a snapshot per day; versions closed on a day are one folder of their
+    own and are never rewritten. The day starts from the newest snapshot before it, so a
+    second run of the day writes the same two folders again.
+    """
+    job = HISTORIES[name]
+    path = f"{base.rstrip('/')}/{job.layer}/{job.table}"
+    batch = Lake(spark, base, asof, 0).current(*job.source).select(*job.columns)
+    day = asof.replace("-", "")
+    earlier = [v for v in snapshots.list_versions(spark, f"{path}/abertas") if v < day]
+    prior = snapshots.read_snapshots(spark, f"{path}/abertas", earlier[-1:]).drop("ver") if earlier else None
+    after = history.scd2_apply(prior, batch, job.key, asof, mode).persist()
+    try:
+        after.where(history.CURRENT).write.mode("overwrite").parquet(f"{path}/abertas/ver={day}")
+        tables.write_landing(after.where(f"not {history.CURRENT}"), f"{path}/fechadas", asof, key="fechada_em")
+    finally:
+        after.unpersist()
+    return path
+
+
+def read_history(spark: SparkSession, name: str, base: str) -> DataFrame:
+    """All versions of a history, closed and open."""
+    job = HISTORIES[name]
+    path = f"{base.rstrip('/')}/{job.layer}/{job.table}"
+    open_rows = snapshots.read_current(spark, f"{path}/abertas").drop("ver")
+    closed = tables.read_landing(spark, f"{path}/fechadas", "fechada_em=*").drop("fechada_em")
+    return open_rows.unionByName(closed)
+
+
+def run_monitoring(spark: SparkSession, base: str, asof: str, names: list[str] | None = None) -> DataFrame:
+    """Metrics of the stored tables, appended to the history of the day; returns today's status."""
+    lake = Lake(spark, base, asof, 0)
+    chosen = {f"{j.layer}.{j.table}": j for n, j in JOBS.items() if names is None or n in names}
+    versions = {n: snapshots.list_versions(spark, lake.path(j.layer, j.table)) for n, j in chosen.items()}
+    metrics = quality.monitor_all(
+        {n: (lambda j=j: lake.current(j.layer, j.table)) for n, j in chosen.items()},
+        asof,
+        {n: int(v[-1]) for n, v in versions.items() if v},
+    )
+    path = lake.path("gold", "observabilidade")
+    tables.write_landing(metrics, path, asof, key="dia")
+    return quality.quality_status(tables.read_landing(spark, path, "dia=*").drop("dia"))
+
+
 def run_stream(spark: SparkSession, base: str, stamp: str, every: str | None = None):
     """Captured envelopes -> silver trades. ``every`` keeps it running; otherwise drain and stop."""
     lake = Lake(spark, base, stamp, 0)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import presets
 from ..functions import SUM_TYPE, dec_round, flag, safe_div
-from ..sources.scratch import stage
+from ..sources.scratch import ensure_checkpoint_dir, stage
 from .joins import guarded_join
 
 
@@ -153,6 +153,7 @@ def rank_rows(df: DataFrame, order: Sequence[Column], out: str = "posicao", part
     partition (as many rows as partitions) are brought together.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))

@@ -23,9 +23,14 @@ def _wide(spark, sf):
     return pivot_series(v.series(spark, sf), "data", presets.DAILY_SERIES)
 
 
-@query("dq_columns", "select 'o_orderkey' as coluna, true as presente union all select 'o_desconto', false")
+@query(
+    "dq_columns",
+    "select 'o_orderkey' as coluna, true as presente, count(*) filter (o_orderkey is null) as nulos from orders union all select 'o_desconto', false, null",
+)
 def dq_columns(spark, sf):
-    return quality.check_columns(v.table(spark, sf, "orders"), ["o_orderkey", "o_desconto"])
+    o = v.table(spark, sf, "orders")
+    nulls = quality.check_nulls(o).select("coluna", "nulos")
+    return quality.check_columns(o, ["o_orderkey", "o_desconto"]).join(nulls, "coluna", "left")
 
 
 @query("dq_unique", "select count(*) as chaves_repetidas, count(*)=0 as ok from (select l_orderkey, l_linenumber from lineitem group by 1,2 having count(*)>1) t")
@@ -45,15 +50,18 @@ def dq_nulls(spark, sf):
 
 @query(
     "dq_schema",
-    """select 'o_orderdate' as coluna, 'extra' as problema, cast(null as varchar) as esperado, 'timestamp_ntz' as atual
-union all select 'o_orderpriority', 'extra', null, 'string' union all select 'o_desconto', 'ausente', 'double', null
-union all select 'o_totalprice', 'tipo', 'integer', 'double'""",
+    """select 'o_orderdate' as coluna, 'extra' as problema, cast(null as varchar) as esperado, 'timestamp_ntz' as atual, count(*) filter (o_orderdate is null) as nulos from orders
+union all select 'o_orderpriority', 'extra', null, 'string', count(*) filter (o_orderpriority is null) from orders
+union all select 'o_desconto', 'ausente', 'double', null, null
+union all select 'o_totalprice', 'tipo', 'integer', 'double', count(*) filter (o_totalprice is null) from orders""",
 )
 def dq_schema(spark, sf):
     expected = {
         "o_orderkey": "long", "o_custkey": "long", "o_orderstatus": "string", "o_totalprice": "integer", "o_desconto": "double",
     }
-    return quality.check_schema(v.table(spark, sf, "orders"), expected)
+    o = v.table(spark, sf, "orders")
+    nulls = quality.check_nulls(o).select("coluna", "nulos")
+    return quality.check_schema(o, expected).join(nulls, "coluna", "left")
 
 
 @query("dq_rows", "select count(*) as total, count(*)>=1000 as ok from orders")

@@ -23,6 +23,12 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint`` usable where only the session setting is there."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the scratch root. Nothing is created until something is written."""
     return f"{scratch_root(spark)}/ledgerlake/{label}-{uuid.uuid4().hex}"

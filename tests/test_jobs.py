@@ -56,3 +56,41 @@ def test_every_job(spark, base):
 def test_second_run_is_a_new_version(spark, base):
     assert jobs.run(spark, "silver_bcb", base, "2026-01-02").endswith("ver=2")
     assert snapshots.list_versions(spark, f"{base}/silver/bcb") == ["1", "2"]
+
+
+def test_next_day_is_merged(spark, base):
+    stored = snapshots.read_current(spark, f"{base}/silver/clientes").drop("ver")
+    n = stored.count()
+    today = stored.where("churn").drop("faixa_etaria", "score_categoria", "data_processamento").withColumn("idade", F.lit(20))
+    extra = today.limit(1).withColumn("hash_cliente", F.lit("novo"))
+    tables.write_landing(today.unionByName(extra), f"{base}/bronze/clientes", "2026-01-02")
+    churned = today.count()
+    jobs.run(spark, "silver_clientes", base, "2026-01-02")
+    merged = snapshots.read_current(spark, f"{base}/silver/clientes")
+    assert (merged.count(), merged.where("idade = 20 and faixa_etaria = 'Jovem' and churn").count() >= churned) == (n + 1, True)
+
+
+def test_history_jobs(spark, base):
+    n = snapshots.read_current(spark, f"{base}/silver/clientes").count()
+    for name in jobs.HISTORIES:
+        jobs.run_history(spark, name, base, "2026-01-01")
+    first = jobs.read_history(spark, "clientes_scd", base)
+    assert first.count() == n and first.where("atual").count() == n
+    # half of the clients change profile the next day; the day is run twice
+    changed = snapshots.read_current(spark, f"{base}/silver/clientes").drop("ver").withColumn(
+        "perfil_risco", F.when(F.col("ativo"), "Novo").otherwise(F.col("perfil_risco"))
+    )
+    active = changed.where("ativo").count()
+    snapshots.write_snapshot(changed, f"{base}/silver/clientes", 99)
+    for _ in range(2):
+        jobs.run_history(spark, "clientes_scd", base, "2026-01-02")
+        hist = jobs.read_history(spark, "clientes_scd", base)
+        assert (hist.count(), hist.where("atual").count()) == (n + active, n)
+    assert hist.groupBy("hash_cliente").agg(F.sum(F.col("atual").cast("int")).alias("n")).where("n <> 1").isEmpty()
+
+
+def test_monitoring(spark, base):
+    for _ in range(2):  # a second run of the day replaces the first
+        status = jobs.run_monitoring(spark, base, "2026-01-03", ["silver_bcb", "gold_performance"])
+        assert sorted(r["tabela"] for r in status.collect()) == ["bcb", "performance_acoes"]
+    assert {r["versao_cdf"] for r in status.collect()} == {1, 2}
