@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import count_where, dec_round, exact_avg, null_count, safe_div
+from ..sources.scratch import stage
 
 
 def pivot_series(df: DataFrame, key: str, names: Sequence[str], series: str = "indicador", value: str = "valor"):
@@ -21,8 +22,12 @@ def pivot_series(df: DataFrame, key: str, names: Sequence[str], series: str = "i
 
 
 def share_of_total(df: DataFrame, by: Sequence[str], count: str, pct: str, digits: int, *aggs: Column) -> DataFrame:
-    """Rows per group and their share of all rows in percent, next to further aggregates."""
-    groups = df.groupBy(*by).agg(F.count("*").alias(count), *aggs)
+    """Rows per group and their share of all rows in percent, next to further aggregates.
+
+    The groups are written once; the total is then a second look at that small result, not at
+    the input.
+    """
+    groups = stage(df.groupBy(*by).agg(F.count("*").alias(count), *aggs), "shares")
     total = groups.agg(F.sum(count)).scalar()
     share = dec_round(F.col(count) * F.lit(100.0) / total, digits)
     rest = [c for c in groups.columns if c not in by and c != count]

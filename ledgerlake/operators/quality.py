@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import presets
 from ..functions import count_where, dec_round, null_count, safe_div
 from ..sources.readers import validate_payload
+from ..sources.scratch import stage
 from ..sources.snapshots import write_snapshot
 from .joins import latest_slice
 
@@ -231,7 +232,8 @@ def monitor_all(
         layer, table = name.split(".", 1)
         try:
             frame = df() if callable(df) else df
-            parts.append(table_metrics(frame, layer, table, asof, (versions or {}).get(name, 0)))
+            row = table_metrics(frame, layer, table, asof, (versions or {}).get(name, 0))
+            parts.append(stage(row, "metrics"))  # computed here, so a failure stays with its table
         except Exception as exc:  # noqa: BLE001 - a broken table must not hide the others
             log.error("%s not monitored: %s", name, exc)
     if not parts:
@@ -304,8 +306,8 @@ _NUMERIC = {"byte", "short", "integer", "long", "float", "double", "decimal"}
 def drift(old: DataFrame, new: DataFrame, numbers: Sequence[str], categories: Sequence[str]) -> DataFrame:
     """Per column: change of NULL share, of the mean (numbers) and total-variation distance (categories).
 
-    Both snapshots are read once. Category values are counted per (column, value) with both
-    sides in one aggregation, so a dominant value is combined before the shuffle.
+    One aggregation over both sides gives the statistics, a second one the category counts per
+    (column, value); a dominant value is combined before the shuffle.
     """
     cols = [*numbers, *categories]
     both = old.select(*cols, F.lit(0).alias("_side")).unionByName(new.select(*cols, F.lit(1).alias("_side")))

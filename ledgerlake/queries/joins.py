@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import history, joins
 from ..operators.sets import top_k
+from ..sources.scratch import stage
 from . import views as v
 from .registry import query
 
@@ -57,7 +58,8 @@ def join_auto_broadcast(spark, sf):
 
 @query("filter_scalar_subquery", "select ticker, ano, preco_medio from v_perf where ano=(select max(ano) from v_perf)")
 def filter_scalar_subquery(spark, sf):
-    return joins.latest_slice(v.performance(spark, sf).select("ticker", "ano", "preco_medio"), "ano")
+    stored = stage(v.performance(spark, sf).select("ticker", "ano", "preco_medio"), "performance")
+    return joins.latest_slice(stored, "ano")
 
 
 @query(

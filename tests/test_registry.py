@@ -4,6 +4,11 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
+from ledgerlake.operators.joins import plan_text
+
+NOT_IN_A_PLAN = (
+    "PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin",
+)
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
@@ -16,6 +21,8 @@ def con(sf):
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(key, spark, sf, con):
     df = QUERIES[key](spark, sf)
+    text = plan_text(df, "simple")
+    assert not [word for word in NOT_IN_A_PLAN if word in text]
     if key in ORACLES:
         assert compare(df, con, ORACLES[key]) is None
     else:
