@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
+import pickle
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import stage
 
-__all__ = ["arrow_map", "bucket_of", "hash64", "mix64", "picked", "stage", "text_chunks", "texts_of"]
+__all__ = ["arrow_map", "bucket_of", "hash64", "held", "mix64", "picked", "share", "stage", "text_chunks", "texts_of"]
+
+
+# Executors get this subpackage's functions with the job and need no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
+
+def share(df: DataFrame, value):
+    """Broadcast a bounded object; a task gets it back with ``held``."""
+    return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def held(shared):
+    return pickle.loads(shared.value)
 
 
 def picked(df: DataFrame, *names: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_map, mix64, stage, text_chunks
+from .base import arrow_map, held, share, mix64, stage, text_chunks
 
 END = b" "  # no word holds white space
 HEAD = 1 << 16
@@ -39,7 +39,7 @@ PASSES = 4
 #: Weight of the unigram prior in the emission of a state, in tokens.
 PRIOR = 200.0
 #: Tokens whose forward variables one task holds at a time.
-CHUNK = 1_500_000
+CHUNK = 800_000
 #: Distinct tokens that a counting task holds before it hands them on.
 COUNTED = 400_000
 
@@ -83,11 +83,11 @@ def count_tokens(texts: DataFrame) -> DataFrame:
 
 def encode(docs: DataFrame, head: list[bytes], key_type: str) -> DataFrame:
     """Per row: ids of its tokens in order (len(head) for any other), and the other tokens with counts."""
-    shared = docs.sparkSession.sparkContext.broadcast(head)
+    shared = share(docs, head)
     schema = f"row bigint, key {key_type}, learn boolean, ids array<int>, rare array<struct<token:binary,n:int>>"
 
     def run(batches):
-        ids_of = {w: i for i, w in enumerate(shared.value)}
+        ids_of = {w: i for i, w in enumerate(held(shared))}
         other, get = len(ids_of), ids_of.get
         for batch in batches:
             for part, raw in text_chunks(batch, "text"):
@@ -197,11 +197,10 @@ def expected(model: Hmm, ids, lengths, emitted: np.ndarray, moved: np.ndarray, s
 
 def baum_welch_counts(encoded: DataFrame, model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected emissions (K x head + 1), moves and starts over all rows that learn."""
-    spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(encoded, model)
 
     def run(batches):
-        hmm = shared.value
+        hmm = held(shared)
         size, k = hmm.emit.shape
         emitted, moved, started = np.zeros((k, size)), np.zeros((k, k)), np.zeros(k)
         any_row = False
@@ -259,11 +258,11 @@ def reestimate(prior: np.ndarray, emitted, moved, started, weight: float) -> Hmm
 
 def score_ids(coded: DataFrame, model: Hmm, unigram: np.ndarray, key_type: str) -> DataFrame:
     """Log10 likelihood and unigram sum of the head ids of every row; other tokens count as their class."""
-    shared = coded.sparkSession.sparkContext.broadcast((model, np.log10(unigram)))
+    shared = share(coded, (model, np.log10(unigram)))
     schema = f"row bigint, key {key_type}, learn boolean, n_tokens bigint, n_head bigint, hmm double, base double"
 
     def run(batches):
-        hmm, logs = shared.value
+        hmm, logs = held(shared)
         other = len(logs) - 1
         for batch in batches:
             ids, lengths = flat_ids(batch.column(3))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import bucket_of, picked
@@ -37,3 +37,29 @@ def op1(spark, sf):
     return hmm.score(docs, ~held_out).select(
         "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+def held_out_in(docs: DataFrame) -> Column:
+    return F.coalesce(bucket_of(F.col("doc_id"), 5) == 0, F.lit(False))
+
+
+@query("op3_toxicity")
+def op3(spark, sf):
+    from . import toxicity
+
+    docs = picked(table(spark, sf, "documents"), "doc_id", "text")
+    model = toxicity.train(docs.where(~held_out_in(docs)), table(spark, sf, "labels"), "toxic")
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out_in(docs).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
+    )
+
+
+@query("op8_compression_quality")
+def op8(spark, sf):
+    from . import compression
+
+    docs = picked(table(spark, sf, "documents"), "doc_id", "text")
+    model = compression.train(docs.where(~held_out_in(docs)), table(spark, sf, "labels"), "quality")
+    return compression.score(docs, model).select(
+        "doc_id", held_out_in(docs).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
