@@ -63,3 +63,34 @@ def op8(spark, sf):
     return compression.score(docs, model).select(
         "doc_id", held_out_in(docs).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+def _sql_words(text: str) -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"regexp_extract_all(translate(coalesce({text}, ''), '{letters}', '{letters.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op6_decontamination",
+    f"""
+with d as (select row_number() over () as rid, doc_id, {_sql_words('text')} as w from documents),
+b as (select cast(item_id as varchar) as item, {_sql_words('text')} as w from benchmark),
+win as (select distinct item, array_to_string(w[i:i + 12], ' ') as s, least(len(w), 13) as n
+  from (select item, w, unnest(generate_series(1, greatest(len(w) - 12, 1))) as i from b where len(w) > 0)),
+pos as (select rid, n, i, array_to_string(w[i:i + n - 1], ' ') as s
+  from (select rid, w, n, unnest(generate_series(1, len(w) - n + 1)) as i from d, (select distinct n from win) where len(w) >= n)),
+hit as (select rid, i, pos.n, item from pos join win on pos.s = win.s and pos.n = win.n),
+cov as (select rid, count(distinct p) as n_hit from (select rid, unnest(generate_series(i, i + n - 1)) as p from hit) group by rid),
+its as (select rid, list_sort(list(distinct item)) as items from hit group by rid)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, cast(coalesce(len(items), 0) as bigint) as n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join cov using (rid) left join its using (rid)""",
+)
+def op6(spark, sf):
+    from .decontaminate import contamination
+
+    return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
