@@ -94,3 +94,10 @@ def op6(spark, sf):
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query("op2_probminhash_classes")
+def op2(spark, sf):
+    from .probminhash import classes
+
+    return classes(table(spark, sf, "documents"))
