@@ -47,8 +47,8 @@ def held_out_in(docs: DataFrame) -> Column:
 def op3(spark, sf):
     from . import toxicity
 
-    docs = picked(table(spark, sf, "documents"), "doc_id", "text")
-    model = toxicity.train(docs.where(~held_out_in(docs)), table(spark, sf, "labels"), "toxic")
+    docs, labels = picked(table(spark, sf, "documents"), "doc_id", "text"), table(spark, sf, "labels")
+    model = toxicity.train(docs, labels.where(~held_out_in(labels)), "toxic")
     return toxicity.score(docs, model).select(
         "doc_id", held_out_in(docs).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans"
     )
@@ -58,8 +58,8 @@ def op3(spark, sf):
 def op8(spark, sf):
     from . import compression
 
-    docs = picked(table(spark, sf, "documents"), "doc_id", "text")
-    model = compression.train(docs.where(~held_out_in(docs)), table(spark, sf, "labels"), "quality")
+    docs, labels = picked(table(spark, sf, "documents"), "doc_id", "text"), table(spark, sf, "labels")
+    model = compression.train(docs, labels.where(~held_out_in(labels)), "quality")
     return compression.score(docs, model).select(
         "doc_id", held_out_in(docs).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )

@@ -10,23 +10,23 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, te
                     sample_bytes: int) -> tuple[list[bytes], list[int], float]:
     """Texts, their labels (0 or 1), and the share of label 1 among all labelled keys (0.5 if there are none).
 
-    At most ``per_label`` rows of each label, those with the smallest hash of the text, from texts of at
-    most ``sample_bytes``: two top-k queries, so the driver holds no more than that. NULL keys and
-    labels are left out.
+    The keys are chosen from the labels alone: of each label the ``per_label`` keys with the smallest hash. That list
+    is bounded, so it is broadcast to ``docs``, and no text travels but the chosen ones, of at most
+    ``sample_bytes`` each. If rows of ``docs`` repeat a key, ``per_label`` bounds the rows as well. NULL keys
+    and labels are left out.
     """
     marks = labels.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{label}`").alias("_label"))
     marks = marks.where("_key is not null and _label in (0, 1)").distinct()
-    known = (
-        docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
-        .where(F.octet_length("_text") <= sample_bytes)
-        .join(marks, "_key")
-    )
+    order = F.xxhash64(F.col("_key").cast("string"), F.lit(8))
+    rows = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    rows = rows.where(F.octet_length("_text") <= sample_bytes)
     texts, ys = [], []
     for value in (0, 1):
-        chosen = known.where(F.col("_label") == value).orderBy(F.xxhash64("_text", F.lit(8)), "_text").limit(per_label)
+        keys = marks.where(F.col("_label") == value).orderBy(order, "_key").limit(per_label)
+        chosen = rows.join(F.broadcast(keys), "_key").orderBy(order, "_key", "_text").limit(per_label)
         for row in chosen.select("_text").collect():
             texts.append(row[0].encode())
             ys.append(value)
-    counts = dict(known.groupBy("_label").count().collect())  # two rows at most
+    counts = dict(marks.groupBy("_label").count().collect())  # two rows at most
     total = sum(counts.values())
     return texts, ys, counts.get(1, 0) / total if total else 0.5
