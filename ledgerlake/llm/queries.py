@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from .base import bucket_of, picked
 
+#: Vocabulary files of public tokenizers; read on the driver, never copied here.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_PAIR_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +105,18 @@ def op2(spark, sf):
     from .probminhash import classes
 
     return classes(table(spark, sf, "documents"))
+
+
+@query("op4_merge_dropout")
+def op4(spark, sf):
+    from . import pieces
+
+    docs = picked(table(spark, sf, "documents"), "doc_id", "text")
+    return pieces.add_ids(docs, pieces.load(PIECE_MODEL)).select("doc_id", F.size("ids").alias("n_ids"), "ids", "lossless")
+
+
+@query("pipeline")
+def pipeline(spark, sf):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
