@@ -13,6 +13,7 @@ text scores the share of label 1.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -202,10 +203,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", t
 def spans_of(text: bytes, words: Words, bias: float, least: float) -> Iterator[tuple[int, int, float]]:
     """Byte ranges of sentences whose probability is ``least`` or more."""
     for found in _SENTENCE.finditer(text):
-        p, _ = sentences(words, [found.group()], bias)
-        worst = float(p.max()) if len(p) else 0.0
-        if worst >= least:
-            yield found.start(), found.end(), worst
+        logit = bias + sum([words.weight[words[w]] for w in set(tokens_of(found.group()))])
+        p = 1 / (1 + math.exp(-min(max(logit, -30.0), 30.0)))
+        if p >= least:
+            yield found.start(), found.end(), p
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", spans: str | None = "spans",
