@@ -120,3 +120,11 @@ def pipeline(spark, sf):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf)
+
+
+@query("op7_main_text")
+def op7(spark, sf):
+    from . import html
+
+    pages = picked(table(spark, sf, "pages"), "page_id", "url", "html")
+    return html.main_text(pages, html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
