@@ -128,3 +128,21 @@ def op7(spark, sf):
 
     pages = picked(table(spark, sf, "pages"), "page_id", "url", "html")
     return html.main_text(pages, html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query(
+    "op10_impact_topk",
+    """
+with v as (select row_number() over () as rid, vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as e
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.rid as qid, q.vec_id as query_id, c.vec_id, c.rid,
+    cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
+  from v q, v c where q.vec_id % 100 = 0 and q.rid <> c.rid),
+r as (select *, row_number() over (partition by qid order by score desc, vec_id, rid) as n from s)
+select query_id, cast(n as int) as rank, vec_id, score from r where n <= 10""",
+)
+def op10(spark, sf):
+    from .topk import search
+
+    vectors = picked(table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return search(vectors, F.col("vec_id") % 100 == 0)
