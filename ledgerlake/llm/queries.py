@@ -124,10 +124,10 @@ def pipeline(spark, sf):
 
 @query("op7_main_text")
 def op7(spark, sf):
-    from . import html
+    from . import webpages
 
     pages = picked(table(spark, sf, "pages"), "page_id", "url", "html")
-    return html.main_text(pages, html.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
+    return webpages.main_text(pages, webpages.train(pages)).withColumn("n_chars", F.length("text").cast("long"))
 
 
 @query(
@@ -146,3 +146,18 @@ def op10(spark, sf):
 
     vectors = picked(table(spark, sf, "embeddings"), "vec_id", "embedding")
     return search(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op9_training_order")
+def op9(spark, sf):
+    from . import shards
+
+    docs = picked(table(spark, sf, "documents"), "doc_id", "text")
+    ranks = shards.read_ranks(BYTE_PAIR_RANKS)
+    path = shards.shard_path(spark)
+    sequences, files, _ = shards.materialise(docs, ranks, len(ranks), path)
+    on_disk = shards.read_back(files, path).select("slot", F.col("number").alias("on_disk"), "crc32")
+    return sequences.join(on_disk, "slot").select(
+        "slot", F.col("number").alias("sequence"), "shard", "record", "n_tokens", F.col("keys").alias("doc_ids"),
+        (F.col("on_disk") == F.col("number")).alias("in_place"), "crc32",
+    )
