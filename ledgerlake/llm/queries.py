@@ -161,3 +161,10 @@ def op9(spark, sf):
         "slot", F.col("number").alias("sequence"), "shard", "record", "n_tokens", F.col("keys").alias("doc_ids"),
         (F.col("on_disk") == F.col("number")).alias("in_place"), "crc32",
     )
+
+
+@query("op5_role_repair")
+def op5(spark, sf):
+    from .chat import format_chats
+
+    return format_chats(table(spark, sf, "conversations"))
