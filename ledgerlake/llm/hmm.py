@@ -37,7 +37,7 @@ HEAD = 1 << 16
 STATES = 8
 PASSES = 4
 #: Weight of the unigram prior in the emission of a state, in tokens.
-PRIOR = 200.0
+PRIOR = 5000.0
 #: Tokens whose forward variables one task holds at a time.
 CHUNK = 800_000
 #: Distinct tokens that a counting task holds before it hands them on.
