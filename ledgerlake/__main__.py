@@ -29,6 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--base", required=True)
     stream.add_argument("--stamp", required=True)
     stream.add_argument("--every", help='keep running at this pace, for example "1 minute"')
+    stream.add_argument("--max-files", type=int, default=1000, help="files of one micro-batch")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("ledgerlake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if args.command == "run":
@@ -38,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "monitor":
         jobs.run_monitoring(spark, args.base, args.asof).orderBy("qualidade_pct").show(truncate=False)
     else:
-        jobs.run_stream(spark, args.base, args.stamp, args.every).awaitTermination()
+        jobs.run_stream(spark, args.base, args.stamp, args.every, args.max_files).awaitTermination()
 
 
 if __name__ == "__main__":

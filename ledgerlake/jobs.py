@@ -187,13 +187,16 @@ def run_history(spark: SparkSession, name: str, base: str, asof: str, mode: str
 
     Open versions are a snapshot per day; versions closed on a day are one folder of their
     own and are never rewritten. The day starts from the newest snapshot before it, so a
-    second run of the day writes the same two folders again.
+    second run of the day writes the same two folders again. A day before one already stored is refused.
     """
     job = HISTORIES[name]
     path = f"{base.rstrip('/')}/{job.layer}/{job.table}"
     batch = Lake(spark, base, asof, 0).current(*job.source).select(*job.columns)
     day = asof.replace("-", "")
-    earlier = [v for v in snapshots.list_versions(spark, f"{path}/abertas") if v < day]
+    stored = snapshots.list_versions(spark, f"{path}/abertas")
+    if stored and stored[-1] > day:
+        raise history.LateBatchError(f"{name} already holds {stored[-1]}, after {day}; rebuild from the later days on")
+    earlier = [v for v in stored if v < day]
     prior = snapshots.read_snapshots(spark, f"{path}/abertas", earlier[-1:]).drop("ver") if earlier else None
     after = history.scd2_apply(prior, batch, job.key, asof, mode).persist()
     try:
@@ -228,13 +231,22 @@ def run_monitoring(spark: SparkSession, base: str, asof: str, names: list[str] |
     return quality.quality_status(tables.read_landing(spark, path, "dia=*").drop("dia"))
 
 
-def run_stream(spark: SparkSession, base: str, stamp: str, every: str | None = None):
-    """Captured envelopes -> silver trades. ``every`` keeps it running; otherwise drain and stop."""
+def run_stream(spark: SparkSession, base: str, stamp: str, every: str | None = None, max_files: int = 1000):
+    """Captured envelopes -> silver trades. ``every`` keeps it running; otherwise drain and stop.
+
+    Messages that fail validation go to ``quarantine/streaming`` with reason and raw body. Each target has one
+    checkpoint, shared by both ways of running, so switching between them loses and repeats nothing.
+    ``max_files`` bounds the files of one micro-batch.
+    """
     lake = Lake(spark, base, stamp, 0)
     source = lake.path("bronze", "kafka")
     raw = spark.readStream.format("parquet").schema(spark.read.parquet(source).schema)
-    raw = raw.option("maxFilesPerTrigger", 1).load(source)
-    checkpoint = lake.path("checkpoints", "streaming_continuous" if every else "streaming")
+    raw = raw.option("maxFilesPerTrigger", max_files).load(source)
+    rejected = st.run_quarantine_stream(
+        raw, lake.path("quarantine", "streaming"), lake.path("checkpoints", "quarantine"), every, "trades_quarantine"
+    )
+    if every is None:
+        st.drain(rejected)
     return st.run_trades_stream(
-        raw, lake.path("silver", "streaming"), checkpoint, stamp, every, "trades_continuous" if every else "trades"
+        raw, lake.path("silver", "streaming"), lake.path("checkpoints", "streaming"), stamp, every, "trades", validate=True
     )

@@ -183,8 +183,11 @@ def velocity_flag(
     Every event arrives (+1) and expires just after the span (-1); the running sum is the
     number of events in the trailing span. It is taken per (key, short time slot) on top of
     the balance of the earlier slots, so a key with very many events is spread over its slots
-    and no frame is ever recounted.
+    and no frame is ever recounted. Events without key or time stay, with a NULL count and no flag.
     """
+    unknown = F.col(key).isNull() | F.col(ts).isNull()
+    apart = df.where(unknown).select("*", F.lit(None).cast("bigint").alias(count), F.lit(False).alias(out))
+    df = df.where(~unknown)
     span = span_seconds * 1_000_000
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     arrive = F.struct(us.alias("at"), F.lit(1).alias("d"))
@@ -202,7 +205,8 @@ def velocity_flag(
     lean = moves.select(key, *payload, "_m", "_slot")
     inside = Window.partitionBy(key, "_slot").orderBy("_m.at").rangeBetween(Window.unboundedPreceding, 0)
     running = lean.join(balance, [key, "_slot"]).withColumn(count, F.sum("_m.d").over(inside) + F.col("_b"))
-    return running.where(F.col("_m.d") > 0).select(*df.columns, count, (F.col(count) >= n).alias(out))
+    counted = running.where(F.col("_m.d") > 0).select(*df.columns, count, (F.col(count) >= n).alias(out))
+    return counted.unionByName(apart)
 
 
 def sessionize(df: DataFrame, key: str, ts: str, gap_seconds: int, value: str | None = None) -> DataFrame:

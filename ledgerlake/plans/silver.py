@@ -28,13 +28,15 @@ def silver_bars(
 ) -> DataFrame:
     """Market bars: rounded OHLC, daily change and range, company and sector.
 
-    Bars without a close or without volume are dropped. Each landing repeats past days, so the
-    newest extract of a (date, ticker) wins.
+    Each landing repeats past days, so the newest extract of a (date, ticker) wins, by landing day and then by
+    extraction stamp. Bars without a close or without volume are dropped after that: a correction to
+    nothing does not bring the older bar back.
     """
-    out = df.withColumn("date", F.to_date("date")).where(F.col("close").isNotNull() & (F.col("volume") > 0))
+    out = df.withColumn("date", F.to_date("date"))
     if dedup:
-        newest = [c for c in ("data_extracao",) if c in df.columns]
+        newest = [c for c in ("extracao", "data_extracao") if c in df.columns]
         out = dedup_latest(out, ["date", "ticker"], newest)
+    out = out.where(F.col("close").isNotNull() & (F.col("volume") > 0)).drop("extracao")
     out = with_date_parts(out, "date").withColumns({c: dec_round(c, 2) for c in ("open", "high", "low", "close")})
     change = safe_div(F.col("close") - F.col("open"), F.col("open")) * 100
     out = out.withColumns({

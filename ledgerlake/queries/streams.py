@@ -12,7 +12,7 @@ from ..streaming import trades as st
 from . import views as v
 from .golds import INTRADAY, RANKING, STREAM_FRAUD, VOLUME
 from .registry import query
-from .scans import envelopes
+from .scans import PAYLOAD_CASES, envelopes, payloads
 from .views import ASOF, STAMP, dsum, r
 from .windows import SESSIONS, sliding_sql
 
@@ -193,9 +193,30 @@ def stream_replay(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
-@query("stream_progress")
+@query("stream_progress", "select cast(4 as bigint) as lotes, count(*) as linhas_entrada from events")
 def stream_progress(spark, sf):
-    """Progress of a drained stream: input rows and duration per micro-batch."""
+    """Recorded progress of a drained stream of four files, one per micro-batch: batches and input rows."""
     raw = stream_files(spark, ordered_events(spark, sf, 4), v.table(spark, sf, "events").schema, max_files=1)
-    done = st.drain(st.stream_to_table(raw.select("event_id"), scratch_dir(spark, "progress"), scratch_dir(spark, "ckpt")))
-    return st.progress_rows(done)
+    start = lambda: st.stream_to_table(raw.select("event_id"), scratch_dir(spark, "progress"), scratch_dir(spark, "ckpt"))
+    done = st.drain_recorded(start, spark, scratch_dir(spark, "metrics"))
+    return done.where("linhas_entrada > 0").agg(
+        F.count_distinct("batch_id").alias("lotes"), F.sum("linhas_entrada").alias("linhas_entrada")
+    )
+
+
+@query(
+    "stream_quarantine",
+    f"""select case when valido then 'silver' else 'quarentena' end as destino, case when valido then null else motivo end as motivo,
+  count(*) as registros from ({PAYLOAD_CASES}) p group by 1,2""",
+)
+def stream_quarantine(spark, sf):
+    """Payloads landed in several files: good ones reach silver, the others quarantine with their reason."""
+    land, good, bad = (scratch_dir(spark, n) for n in ("capture", "stream_silver", "stream_quarantine"))
+    body = payloads(spark, sf).select(F.col("corpo").cast("binary").alias("Body")).repartition(6)
+    body.write.parquet(land)
+    raw = stream_files(spark, land, body.schema, max_files=2)
+    st.drain(st.run_quarantine_stream(raw, bad, scratch_dir(spark, "ckpt")))
+    st.drain(st.run_trades_stream(raw, good, scratch_dir(spark, "ckpt"), STAMP, validate=True))
+    kept = spark.read.parquet(good).select(F.lit("silver").alias("destino"), F.lit(None).cast("string").alias("motivo"))
+    rejected = spark.read.parquet(bad).select(F.lit("quarentena").alias("destino"), "motivo")
+    return kept.unionByName(rejected).groupBy("destino", "motivo").agg(F.count("*").alias("registros"))

@@ -15,7 +15,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(KEY, None)
     if not root:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(f"set {KEY} to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="ledgerlake-")
         spark.conf.set(KEY, root)

@@ -11,15 +11,23 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .tables import path_exists
+
 CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
 INSERT, PREIMAGE, POSTIMAGE, DELETE = "insert", "update_preimage", "update_postimage", "delete"
 
 
 def write_snapshot(df: DataFrame, path: str, ver) -> str:
-    """Write one version folder; an existing version is never touched."""
+    """Write one version folder; a committed version is never touched.
+
+    Committed means that the folder has its success marker. What a failed write left behind has none and is
+    replaced, so the number it took stays free.
+    """
     dest = f"{path.rstrip('/')}/ver={ver}"
-    df.write.mode("errorifexists").parquet(dest)
+    if path_exists(df.sparkSession, f"{dest}/_SUCCESS"):
+        raise FileExistsError(f"version {dest} already exists")
+    df.write.mode("overwrite").parquet(dest)
     return dest
 
 
@@ -152,17 +160,19 @@ def consume_changes(
     fn: Callable[[DataFrame], DataFrame],
     keys: Sequence[str],
     ver: str = "ver",
+    types: Sequence[str] = (INSERT,),
+    keep_meta: bool = False,
 ) -> tuple[DataFrame | None, DataFrame]:
-    """Hand the rows inserted since this consumer's last version to ``fn``.
+    """Hand the changes since this consumer's last version to ``fn``: inserts, or the kinds in ``types``.
 
-    ``offsets`` is (consumidor, versao). Returns fn's result (None when nothing is new) and
+    ``keep_meta`` adds the kind and the version of each change. ``offsets`` is (consumidor, versao). Returns fn's result (None when nothing is new) and
     the offsets to store once the result is written. A consumer without offset reads it all.
     """
     last = offsets.where(F.col("consumidor") == consumer).agg(F.max("versao")).first()[0]
     newest = snapshots.agg(F.max(ver)).first()[0]
     if newest is None or (last is not None and newest <= last):
         return None, offsets
-    result = fn(changes_since(snapshots, keys, ver, start=last))
+    result = fn(changes_since(snapshots, keys, ver, start=last, types=types, keep_meta=keep_meta))
     moved = offsets.where(F.col("consumidor") != consumer).unionByName(
         snapshots.sparkSession.range(1).select(
             F.lit(consumer).alias("consumidor"),

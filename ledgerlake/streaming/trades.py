@@ -16,9 +16,11 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from .. import presets
 from ..functions import SUM_TYPE
 from ..operators.joins import guarded_join
+from ..operators.quality import split_quarantine
 from ..plans import gold
 from ..plans.silver import enrich_trades
 from ..sources.readers import decode_envelope
+from ..sources.tables import table_exists
 
 
 def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -62,12 +64,27 @@ def decode_trades(raw: DataFrame, stamp: str, body: str = "Body") -> DataFrame:
 
 
 def run_trades_stream(
-    raw: DataFrame, ref: str, checkpoint: str, stamp: str, trigger: str | None = None, name: str | None = None
+    raw: DataFrame, ref: str, checkpoint: str, stamp: str, trigger: str | None = None, name: str | None = None,
+    validate: bool = False, body: str = "Body",
 ) -> StreamingQuery:
-    """Envelope files -> decoded, enriched trades -> append."""
+    """Envelope files -> decoded, enriched trades -> append. ``validate`` leaves out what quarantine takes."""
     if name is not None:
         stop_named(raw.sparkSession, name)
-    return stream_to_table(decode_trades(raw, stamp), ref, checkpoint, trigger, name)
+    if validate:
+        raw = split_quarantine(raw, body)[0]
+    return stream_to_table(decode_trades(raw, stamp, body), ref, checkpoint, trigger, name)
+
+
+def run_quarantine_stream(
+    raw: DataFrame, ref: str, checkpoint: str, trigger: str | None = None, name: str | None = None, body: str = "Body"
+) -> StreamingQuery:
+    """Envelope files -> messages that fail validation, with all their columns and the reason -> append.
+
+    A query of its own over the same files: what it takes is exactly what ``run_trades_stream`` leaves out.
+    """
+    if name is not None:
+        stop_named(raw.sparkSession, name)
+    return stream_to_table(split_quarantine(raw, body)[1], ref, checkpoint, trigger, name)
 
 
 def foreach_batch_refresh(
@@ -190,7 +207,12 @@ def stream_dedup(df: DataFrame, ident: str, ts: str, delay: str) -> DataFrame:
 def replay(
     raw: DataFrame, fn: Callable[[DataFrame], DataFrame], ref: str, fresh_checkpoint: str
 ) -> StreamingQuery:
-    """Rebuild a result from the landing log: same code, new checkpoint, drain and stop."""
+    """Rebuild a result from the landing log: same code, new checkpoint and new target, drain and stop.
+
+    A target that holds files already is refused: its sink would skip the batches it knows.
+    """
+    if table_exists(raw.sparkSession, ref):
+        raise FileExistsError(f"{ref} is in use; replay into a new target")
     return drain(stream_to_table(fn(raw), ref, fresh_checkpoint))
 
 
@@ -201,7 +223,10 @@ PROGRESS = (
 
 
 def progress_rows(query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query as rows (the engine keeps a bounded number)."""
+    """Recent progress of a query as rows, for a look at a running one: the engine keeps the last batches only.
+
+    ``drain_recorded`` keeps every batch.
+    """
     rows = [
         (
             p["name"] or p["id"], p["batchId"], p["timestamp"], p["numInputRows"],
@@ -234,3 +259,16 @@ class StreamMetrics(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         pass
+
+
+def drain_recorded(start: Callable[[], StreamingQuery], spark: SparkSession, path: str) -> DataFrame:
+    """Start a query, drain it, and return one row per micro-batch, however many there were."""
+    listener = StreamMetrics(spark, path)
+    spark.streams.addListener(listener)
+    try:
+        drain(start())
+        # progress events are delivered after the batch: wait for the last one
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(listener)
+    return spark.read.schema(PROGRESS).parquet(path)

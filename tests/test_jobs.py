@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from ledgerlake import jobs
+from ledgerlake.operators import history
 from ledgerlake.plans import silver
 from ledgerlake.queries import views as v
 from ledgerlake.sources import snapshots, tables
@@ -58,6 +59,20 @@ def test_second_run_is_a_new_version(spark, base):
     assert snapshots.list_versions(spark, f"{base}/silver/bcb") == ["1", "2"]
 
 
+def test_newest_landing_of_a_bar_wins(spark, tmp_path):
+    base = str(tmp_path)
+    bar = "date string, ticker string, open double, high double, low double, close double, volume long, dividends double, stock_splits double"
+    land = lambda day, *bars: tables.write_landing(
+        spark.createDataFrame([(*b, 0.0, 0.0) for b in bars], bar), f"{base}/bronze/acoes", day
+    )
+    land("2026-01-01", ("2026-01-01", "A", 9.0, 9.0, 9.0, 9.0, 5), ("2026-01-01", "B", 9.0, 9.0, 9.0, 9.0, 5))
+    land("2026-01-02", ("2026-01-01", "A", 1.0, 2.0, 1.0, 2.0, 6), ("2026-01-01", "B", 1.0, 1.0, 1.0, None, 6))
+    jobs.run(spark, "silver_acoes", base, "2026-01-02")
+    stored = snapshots.read_current(spark, f"{base}/silver/acoes")
+    assert "extracao" not in stored.columns
+    assert rows(stored, "ticker", "open", "close", "volume") == [("A", 1.0, 2.0, 6)]
+
+
 def test_next_day_is_merged(spark, base):
     stored = snapshots.read_current(spark, f"{base}/silver/clientes").drop("ver")
     n = stored.count()
@@ -86,6 +101,9 @@ def test_history_jobs(spark, base):
         jobs.run_history(spark, "clientes_scd", base, "2026-01-02")
         hist = jobs.read_history(spark, "clientes_scd", base)
         assert (hist.count(), hist.where("atual").count()) == (n + active, n)
+    with pytest.raises(history.LateBatchError):
+        jobs.run_history(spark, "clientes_scd", base, "2026-01-01")
+    assert jobs.read_history(spark, "clientes_scd", base).count() == n + active
     assert hist.groupBy("hash_cliente").agg(F.sum(F.col("atual").cast("int")).alias("n")).where("n <> 1").isEmpty()
 
 

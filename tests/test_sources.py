@@ -106,6 +106,28 @@ def test_snapshots(spark, tmp_path):
     assert [tuple(r) for r in snapshots.snapshot_history(snaps, ["k"], limit=2).collect()] == [(11, 2, 0, 1, 1), (10, 3, 1, 1, 0)]
 
 
+def test_failed_write_leaves_its_number_free(spark, tmp_path):
+    path = str(tmp_path / "s")
+    good = spark.createDataFrame([("a", 1)], "k string, v int")
+    snapshots.write_snapshot(good, path, 1)
+    with pytest.raises(Exception, match="broken"):
+        snapshots.write_snapshot(good.select(F.raise_error(F.lit("broken")).cast("int").alias("v")), path, 2)
+    assert snapshots.list_versions(spark, path) == ["1"]
+    snapshots.write_snapshot(good, path, 2)
+    assert snapshots.list_versions(spark, path) == ["1", "2"]
+    assert rows(snapshots.read_current(spark, path), "k", "v") == [("a", 1)]
+
+
+def test_consume_other_kinds(spark):
+    snaps = spark.createDataFrame([("a", 1, 1), ("b", 1, 1), ("a", 2, 2), ("c", 5, 2)], "k string, v int, ver int")
+    offsets = spark.createDataFrame([("gold", 1)], "consumidor string, versao int")
+    kinds = (snapshots.INSERT, snapshots.PREIMAGE, snapshots.POSTIMAGE, snapshots.DELETE)
+    got, _ = snapshots.consume_changes(snaps, offsets, "gold", lambda d: d, ["k"], types=kinds, keep_meta=True)
+    assert rows(got) == [
+        ("a", 1, "update_preimage", 2), ("a", 2, "update_postimage", 2), ("b", 1, "delete", 2), ("c", 5, "insert", 2)
+    ]
+
+
 def test_consume(spark):
     snaps = spark.createDataFrame([("a", 1), ("a", 2), ("b", 2)], "k string, ver int")
     offsets = spark.createDataFrame([], "consumidor string, versao int")

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -35,6 +36,39 @@ def test_restart_continues(spark, tmp_path):
     assert rows(spark.read.parquet(out).select(*batch.columns)) == rows(batch)
 
 
+def test_bad_messages_go_to_quarantine(spark, tmp_path):
+    src, good, bad = (str(tmp_path / n) for n in ("src", "good", "bad"))
+    wrong = [trade(2, price="x"), {k: v for k, v in trade(3).items() if k != "tipo"}]
+    for part in ([trade(1)], wrong):
+        envelope(spark, part).coalesce(1).write.mode("append").parquet(src)
+    spark.createDataFrame([(bytearray(b"{not json"),), (None,)], BODY).coalesce(1).write.mode("append").parquet(src)
+    for _ in range(2):  # a second run finds nothing new
+        raw = stream_files(spark, src, BODY)
+        st.drain(st.run_quarantine_stream(raw, bad, str(tmp_path / "c1")))
+        st.drain(st.run_trades_stream(raw, good, str(tmp_path / "c2"), STAMP, validate=True))
+    assert rows(spark.read.parquet(good), "id_transacao") == [("1",)]
+    kept = spark.read.parquet(bad)
+    assert kept.count() == 4 and kept.where("motivo is null").isEmpty()
+    assert bytearray(b"{not json") in [r["Body"] for r in kept.collect()]
+
+
+def test_replay_refuses_a_used_target(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    envelope(spark, [trade(1)]).write.parquet(src)
+    st.replay(stream_files(spark, src, BODY), lambda d: d, out, str(tmp_path / "one"))
+    with pytest.raises(FileExistsError):
+        st.replay(stream_files(spark, src, BODY), lambda d: d, out, str(tmp_path / "two"))
+
+
+def test_every_batch_is_recorded(spark, tmp_path):
+    src = str(tmp_path / "src")
+    spark.range(30).repartition(5).write.parquet(src)
+    raw = stream_files(spark, src, "id bigint", max_files=1)
+    got = st.drain_recorded(lambda: st.stream_to_table(raw, str(tmp_path / "o"), str(tmp_path / "c")), spark, str(tmp_path / "m"))
+    busy = got.where("linhas_entrada > 0")
+    assert busy.select("batch_id").distinct().count() == 5 and busy.agg(F.sum("linhas_entrada")).first()[0] == 30
+
+
 def test_foreach_batch_replay_overwrites(spark, tmp_path):
     src, out = str(tmp_path / "src"), str(tmp_path / "out")
     envelope(spark, [trade(1), trade(2, 30.0)]).coalesce(1).write.parquet(src)

@@ -80,6 +80,13 @@ def test_velocity(spark, events, slot):
         assert got[i] == (n, n >= 3, v)
 
 
+def test_velocity_keeps_events_without_key_or_time(spark):
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, "a", t, 1.0), (2, None, t, 1.0), (3, "a", None, 1.0)], SCHEMA)
+    out = windows.velocity_flag(df, "u", "ts", 600, 1)
+    assert rows(out, "id", "eventos_janela", "alerta_velocidade") == [(1, 1, True), (2, None, False), (3, None, False)]
+
+
 def test_sessions(spark, events):
     out = windows.sessionize(spark.createDataFrame(events, SCHEMA), "u", "ts", 120, "v")
     expected = []
