@@ -13,8 +13,8 @@ Work: equal texts collapse to one node first (by digest, counted in each task).
 bands. Each bucket links its members to its least node (a star, linear in the bucket), these candidates are
 verified on the texts, and components are formed. Where a bucket still holds several components, further stars
 to other members follow while they connect much; what is left, members of different components of one bucket, is
-compared in blocks of bounded size by signatures and verified on the texts. No bucket is cut, and no pair inside a
-component is ever made.
+compared in blocks of bounded size: by signatures first, then on the texts of members with a likely partner. No bucket
+is cut, no pair inside a component is made, and pairs are verified where they meet, so only links leave a task.
 
 With 32 bands of 6 registers a pair at similarity 0.8 shares no bucket with probability 6e-5, at 0.85 3e-7.
 The signature comparison in blocks asks for 0.7, 3.5 standard deviations below 0.8.
@@ -151,6 +151,15 @@ def sifted(texts: DataFrame, wanted: DataFrame, bits: int = SIEVE_BITS) -> DataF
     return texts.select("digest", "text")
 
 
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sets of shingle hashes have a Jaccard similarity of ``least`` or more; empty ones do not."""
+    low, high = sorted((len(a), len(b)))
+    if high == 0 or low < least * high:
+        return False
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common >= least * (low + high - common) - 1e-9
+
+
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """Pairs (a, b) of digests whose texts have shingle sets of similarity ``least`` or more."""
     pairs = stage(pairs, "pairs")
@@ -178,11 +187,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                     key = a[done].as_py()
                     if key != last:
                         last, kept = key, np.unique(shingles([left[i].as_py()])[0])
-                    other = np.unique(shingles([text])[0])
-                    low, high = sorted((len(kept), len(other)))
-                    if low >= least * high:
-                        common = len(np.intersect1d(kept, other, assume_unique=True))
-                        good[done] = high > 0 and common >= least * (low + high - common) - 1e-9
+                    good[done] = similar(kept, np.unique(shingles([text])[0]), least)
                     done += 1
             chosen = pa.array(good)
             yield pa.record_batch([a.filter(chosen), b.filter(chosen)], names=["a", "b"])
@@ -190,10 +195,10 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return arrow_map(both.select("a", "b", "text_a", "text_b"), run, "a binary, b binary")
 
 
-def compared_in_blocks(members: DataFrame, near: float, block: int) -> DataFrame:
-    """Pairs of one bucket whose roots differ and whose marks agree on ``near`` of the registers.
+def dealt_in_blocks(members: DataFrame, block: int) -> DataFrame:
+    """Meetings (band, lo, hi) of blocks of members with what they carry; ``low``: the member is of the first block.
 
-    ``members``: (band, digest, root, marks). Members outside the bucket's least root are dealt into blocks; each such
+    ``members``: (band, digest, root, ...). Members outside the bucket's least root are dealt into blocks; each such
     block meets every other one and every block of members of that root. A block has about ``block`` members.
     """
     shape = members.groupBy("band").agg(F.min("root").alias("main"), F.count("*").alias("n")).join(
@@ -205,36 +210,91 @@ def compared_in_blocks(members: DataFrame, near: float, block: int) -> DataFrame
     placed = members.join(shape, "band").withColumn("is_main", F.col("root") == F.col("main"))
     place = F.pmod(F.xxhash64("digest", F.lit(5)), F.when(F.col("is_main"), F.col("nm")).otherwise(F.col("no"))).cast("int")
     placed = placed.withColumn("place", place)
-    # a meeting of blocks: (lower, upper), the blocks of the main root counted from ``no`` on
+    # blocks of the main root are counted from ``no`` on
     meet_main = F.transform(F.sequence(F.lit(0), F.col("no") - 1), lambda i: F.struct(i.alias("lo"), (F.col("place") + F.col("no")).alias("hi")))
     meet_other = F.transform(
         F.sequence(F.lit(0), F.col("no") + F.col("nm") - 1),
         lambda j: F.struct(F.least(j, F.col("place")).alias("lo"), F.greatest(j, F.col("place")).alias("hi")),
     )
-    dealt = placed.select(
-        "band", "digest", "root", "marks", "place", "is_main", "no",
-        F.explode(F.when(F.col("is_main"), meet_main).otherwise(meet_other)).alias("m"),
-    ).select("band", "m.lo", "m.hi", "digest", "root", "marks", (~F.col("is_main") & (F.col("place") == F.col("m.lo"))).alias("low"))
-
-    def compare(table: pa.Table) -> pa.Table:
-        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), dtype=np.uint8).reshape(table.num_rows, -1)
-        digests = np.array(table.column("digest").to_pylist(), dtype=object)
-        roots = np.unique(np.array([r.hex() for r in table.column("root").to_pylist()]), return_inverse=True)[1]
-        low = table.column("low").to_numpy()
-        one_block = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
-        rows, cols = (np.arange(len(low)),) * 2 if one_block else (np.flatnonzero(low), np.flatnonzero(~low))
-        found_a, found_b = [], []
-        for i in rows:
-            other = cols[(roots[cols] != roots[i]) & ((cols > i) if one_block else True)]
+    met = placed.withColumn("m", F.explode(F.when(F.col("is_main"), meet_main).otherwise(meet_other)))
+    return met.select(
+        *members.columns, F.col("m.lo").alias("lo"), F.col("m.hi").alias("hi"),
+        (~F.col("is_main") & (F.col("place") == F.col("m.lo"))).alias("low"),
+    )
+
+
+def alike(table: pa.Table, near: float):
+    """Yield (i, js) of one meeting: members of different roots whose marks agree on ``near`` of the registers.
+
+    A pair may share several buckets; it belongs to the first band it shares, so it comes up once.
+    """
+    n = table.num_rows
+    marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), dtype=np.uint8).reshape(n, -1)
+    bands = np.array(table.column("bands").to_pylist(), dtype=np.int64).reshape(n, -1)
+    band = table.column("band")[0].as_py()
+    roots = np.unique(np.array([r.hex() for r in table.column("root").to_pylist()]), return_inverse=True)[1]
+    low = table.column("low").to_numpy()
+    one_block = table.column("lo")[0].as_py() == table.column("hi")[0].as_py()
+    rows, cols = (np.arange(n),) * 2 if one_block else (np.flatnonzero(low), np.flatnonzero(~low))
+    for i in rows:
+        other = cols[(roots[cols] != roots[i]) & ((cols > i) if one_block else True)]
+        other = other[(marks[other] == marks[i]).mean(axis=1) >= near]
+        if len(other):
+            shared = bands[other] == bands[i]
+            other = other[bands[i][shared.argmax(axis=1)] == band]
             if len(other):
-                agree = (marks[other] == marks[i]).mean(axis=1)
-                for j in other[agree >= near]:
+                yield int(i), other, roots
+
+
+def compared_in_blocks(members: DataFrame, texts: DataFrame, least: float, near: float, block: int) -> DataFrame:
+    """Verified links between members of different roots of a bucket, at most as many from a meeting as connect it.
+
+    ``members``: (band, digest, root, marks, bands). Signatures tell which members have a likely partner; only their
+    texts are fetched, and the pairs are verified where they meet. No pair leaves a task unverified.
+    """
+    def likely(table: pa.Table) -> pa.Table:
+        chosen: set[int] = set()
+        for i, others, _ in alike(table, near):
+            chosen.add(i)
+            chosen.update(others.tolist())
+        return table.select(["band", "digest"]).take(pa.array(sorted(chosen), pa.int64()))
+
+    flagged = dealt_in_blocks(members, block).groupBy("band", "lo", "hi").applyInArrow(likely, "band bigint, digest binary").distinct()
+    flagged = stage(flagged, "likely")
+    wanted = stage(flagged.select("digest").distinct(), "wanted")
+    needed = stage(
+        sifted(texts, wanted).join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text")), "likely-texts"
+    )
+    carried = stage(members.join(flagged, ["band", "digest"], "left_semi").join(needed, "digest"), "likely-members")
+
+    def verify(table: pa.Table) -> pa.Table:
+        digests, raw = table.column("digest").to_pylist(), table.column("text").cast(pa.binary()).to_pylist()
+        sets: dict[int, np.ndarray] = {}
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = np.unique(shingles([raw[i]])[0])
+            return sets[i]
+
+        joined: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+
+        a, b = [], []
+        for i, others, roots in alike(table, near):
+            for j in others.tolist():
+                if top(int(roots[i])) != top(int(roots[j])) and similar(of(i), of(j), least):
+                    joined[top(int(roots[i]))] = top(int(roots[j]))
                     x, y = sorted((digests[i], digests[j]))
-                    found_a.append(x)
-                    found_b.append(y)
-        return pa.table({"a": pa.array(found_a, pa.binary()), "b": pa.array(found_b, pa.binary())})
+                    a.append(x)
+                    b.append(y)
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return dealt.groupBy("band", "lo", "hi").applyInArrow(compare, "a binary, b binary").distinct()
+    meetings = dealt_in_blocks(carried, max(1, block // 4))
+    return meetings.groupBy("band", "lo", "hi").applyInArrow(verify, "a binary, b binary").distinct()
 
 
 def links(texts: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float = LEAST, near: float = NEAR,
@@ -272,8 +332,8 @@ def links(texts: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float =
         found = found.unionByName(more)
     if now == 0:
         return found
-    members = open_members.join(nodes.select("digest", "marks"), "digest")
-    return stage(found.unionByName(verified(compared_in_blocks(members, near, block), texts, least)), "links")
+    members = stage(open_members.join(nodes.select("digest", "marks", "bands"), "digest"), "open-marks")
+    return stage(found.unionByName(compared_in_blocks(members, texts, least, near, block)), "links")
 
 
 def digest_of(text: Column) -> Column:

@@ -73,18 +73,30 @@ def test_keep_one_row_of_each_class(spark, frame):
     assert sorted(ids, key=str) == sorted(want, key=str)
 
 
-def test_blocks_find_what_stars_leave(spark):
-    rng = np.random.default_rng(2)
-    base = rng.integers(0, 256, 192, dtype=np.uint8)
-    rows = []
+@pytest.mark.parametrize("block", [4, 8, 256])
+def test_blocks_find_what_stars_leave(spark, block):
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(100)]
+    texts, roots = [], []
     for i in range(40):
-        marks = base.copy() if i % 4 == 0 else rng.integers(0, 256, 192, dtype=np.uint8)
-        rows.append((1, bytes([i]), bytes([0 if i < 10 else i]), marks.tobytes()))
-    members = spark.createDataFrame([(b, bytearray(d), bytearray(r), bytearray(m)) for b, d, r, m in rows],
-                                    "band bigint, digest binary, root binary, marks binary")
-    got = {(bytes(r["a"])[0], bytes(r["b"])[0]) for r in k.compared_in_blocks(members, 0.7, 4).collect()}
-    same = [i for i in range(0, 40, 4)]
-    assert got == {(a, b) for a in same for b in same if a < b and not (a < 10 and b < 10)}
+        own = list(base) if i % 4 == 0 else [f"x{rng.random()}" for _ in range(100)]
+        own[50] = f"y{i}"
+        texts.append(" ".join(own))
+        roots.append(0 if i < 10 and i % 4 == 0 else i)
+    registers = k.signatures(*k.weighted(*k.shingles([t.encode() for t in texts])), 40, 192)
+    keys, marks = k.band_keys(registers, 32, 6), (k.mix64(registers) & np.uint64(255)).astype(np.uint8)
+    one = lambda i: bytearray([i])
+    docs = spark.createDataFrame([(one(i), t) for i, t in enumerate(texts)], "digest binary, text string")
+    rows = [(int(b), one(i), one(roots[i]), bytearray(marks[i].tobytes()), keys[i].tolist()) for i in range(40) for b in keys[i]]
+    members = spark.createDataFrame(rows, "band bigint, digest binary, root binary, marks binary, bands array<bigint>")
+    found = k.compared_in_blocks(members, docs, 0.8, 0.7, block).collect()
+    links = [(bytes(r["a"])[0], bytes(r["b"])[0]) for r in found]
+    assert all(a % 4 == b % 4 == 0 and roots[a] != roots[b] for a, b in links)
+    up = {i: roots[i] for i in range(40)}
+    top = lambda x: x if up[x] == x else top(up[x])
+    for a, b in links:
+        up[top(a)] = top(b)
+    assert len({top(i) for i in range(0, 40, 4)}) == 1 and len({top(i) for i in range(40)}) == 31
 
 
 def test_signatures_estimate_similarity():
