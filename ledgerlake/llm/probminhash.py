@@ -113,7 +113,7 @@ def sketch(texts: DataFrame, bands: int, rows: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part, raw in text_chunks(batch, "text", 8 << 20):
+            for part, raw in text_chunks(batch, "text", 3 << 20):
                 registers = signatures(*weighted(*shingles(raw)), len(raw), size)
                 keys = band_keys(registers, bands, rows)
                 marks = (mix64(registers) & np.uint64(255)).astype(np.uint8)
