@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,14 +10,25 @@ from pyspark.sql import functions as F
 
 from ..functions import label_map
 
-# Size on disk; decoded rows take several times that, which executors still hold easily.
-BROADCAST_LIMIT = 32 * 1024 * 1024
+#: Decoded size a broadcast may have, and how much larger rows are in memory than in files.
+BROADCAST_LIMIT = 128 * 1024 * 1024
+DECODED = 4
+
+# Nodes that can make more rows than they read: the planner's size says little above them.
+_GROWS = re.compile(r"\b(Generate|Expand|Union|Sample|Join|Range|Python|Pandas|Arrow|FlatMap\w*|MapElements)\b")
 
 
 def plan_bytes(df: DataFrame) -> int | None:
-    """Planner's size of the optimized plan (file sizes for scans); None when not reachable."""
+    """Decoded size of a plan, estimated from the files it scans; None where it cannot be told.
+
+    Unknown when the plan cannot be reached, and when it can make rows: after an explode or a join the planner's
+    figure may be far too small.
+    """
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if _GROWS.search(str(plan.toString())):
+            return None
+        return DECODED * int(str(plan.stats().sizeInBytes()))
     except (AttributeError, TypeError):
         return None
 
@@ -24,7 +36,7 @@ def plan_bytes(df: DataFrame) -> int | None:
 def guarded_join(
     fact: DataFrame, dim: DataFrame, on, how: str = "left", max_bytes: int = BROADCAST_LIMIT
 ) -> DataFrame:
-    """Broadcast ``dim`` only when its known size is within ``max_bytes``.
+    """Broadcast ``dim`` only when its decoded size is known and within ``max_bytes``.
 
     Beyond it, or when the size is not known, the join stays unhinted: it shuffles, and AQE
     may still broadcast from measured sizes or split a key that holds a large part of ``fact``.

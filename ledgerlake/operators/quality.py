@@ -6,6 +6,7 @@ All row-level checks of a table are folded into one aggregation over one scan.
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
@@ -196,15 +197,22 @@ def publish(df: DataFrame, path: str, ver, checks: Mapping[str, Mapping[str, Any
 def table_metrics(df: DataFrame, layer: str, table: str, asof: str, version: int = 0) -> DataFrame:
     """Rows, NULLs, duplicate rows and quality in percent from one scan.
 
-    Equal rows are combined map-side first, so their count gives rows and duplicates at once.
+    Rows are told apart by 128 bits of hash over their columns and their pattern of NULLs, so what is shuffled is
+    a few numbers per distinct row, combined map-side first, and never the rows themselves.
     An empty table gives no row.
     """
     cols = df.columns
-    groups = df.groupBy(*cols).agg(F.count("*").alias("_n"))
-    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in cols])
+    empty = [F.col(c).isNull() for c in cols]
+    nulls = reduce(lambda a, b: a + b, [e.cast("int") for e in empty])
+    # hashes skip NULLs, so the pattern is hashed as well
+    pattern = F.concat(*[F.when(e, "1").otherwise("0") for e in empty])
+    marked = df.select(
+        F.xxhash64(*cols, pattern).alias("_a"), F.xxhash64(pattern, *reversed(cols)).alias("_b"), nulls.alias("_nulls")
+    )
+    groups = marked.groupBy("_a", "_b").agg(F.count("*").alias("_n"), F.sum("_nulls").alias("_nulls"))
     totals = groups.agg(
         F.sum("_n").alias("total_registros"),
-        F.sum(nulls * F.col("_n")).alias("total_nulos"),
+        F.sum("_nulls").alias("total_nulos"),
         (F.sum("_n") - F.count("*")).alias("total_duplicatas"),
     ).where(F.col("total_registros") > 0)
     quality = (1 - safe_div(F.col("total_nulos"), F.col("total_registros") * len(cols))) * 100
@@ -223,7 +231,7 @@ def table_metrics(df: DataFrame, layer: str, table: str, asof: str, version: int
 def monitor_all(
     tables: Mapping[str, DataFrame | Callable[[], DataFrame]], asof: str, versions: Mapping[str, int] | None = None
 ) -> DataFrame:
-    """Metrics of tables named ``layer.table``; one that cannot be read or is empty is skipped.
+    """Metrics of tables named ``layer.table`` and the seconds each took; one that cannot be read or is empty is skipped.
 
     The result is appended to the history by the caller (``write_append``).
     """
@@ -233,7 +241,9 @@ def monitor_all(
         try:
             frame = df() if callable(df) else df
             row = table_metrics(frame, layer, table, asof, (versions or {}).get(name, 0))
-            parts.append(stage(row, "metrics"))  # computed here, so a failure stays with its table
+            begun = time.monotonic()
+            done = stage(row, "metrics")  # computed here, so a failure stays with its table
+            parts.append(done.withColumn("tempo_seg", F.lit(round(time.monotonic() - begun, 3))))
         except Exception as exc:  # noqa: BLE001 - a broken table must not hide the others
             log.error("%s not monitored: %s", name, exc)
     if not parts:

@@ -148,23 +148,26 @@ def rank_by(df: DataFrame, order: Sequence[Column], out: str = "rank_volume") ->
 def rank_rows(df: DataFrame, order: Sequence[Column], out: str = "posicao", parts: int | None = None) -> DataFrame:
     """Positions 1..n over any number of rows; ``order`` must be total.
 
-    Rows are range-partitioned by the order and fixed by a checkpoint; a row's position is its
-    place within the partition plus the rows of the partitions before it. Only the counts per
-    partition (as many rows as partitions) are brought together.
+    Rows are range-partitioned by the order, sorted there, and fixed with their place by a checkpoint: one shuffle.
+    A row's position is its place within the partition plus the rows of the partitions before it. Only the counts
+    per partition (as many rows as partitions) are brought together.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    # the id holds the partition in its upper and the place in the partition in its lower 33 bits
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    placed = placed.select(
+        *df.columns, F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_place")
+    ).checkpoint()
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     # one row per range partition, hence the broadcast
     return (
         placed.join(F.broadcast(offsets), "_part")
-        .withColumn(out, local + F.col("_before"))
-        .drop("_part", "_before")
+        .withColumn(out, F.col("_place") + 1 + F.col("_before"))
+        .drop("_part", "_place", "_before")
     )
 
 

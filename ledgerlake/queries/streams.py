@@ -17,10 +17,10 @@ from .views import ASOF, STAMP, dsum, r
 from .windows import SESSIONS, sliding_sql
 
 
-def event_stream(spark, sf, max_files: int = 1000) -> DataFrame:
-    """The events table as a file stream. The glob also matches when it is a folder of files."""
+def event_stream(spark, sf, files: int = 6, max_files: int = 2) -> DataFrame:
+    """The events as a file stream of several micro-batches: landed in files by time, a few per trigger."""
     schema = v.table(spark, sf, "events").schema
-    return stream_files(spark, f"{sf}/events.parque[t]", schema, max_files=max_files)
+    return stream_files(spark, ordered_events(spark, sf, files), schema, max_files=max_files)
 
 
 def ordered_events(spark, sf, files: int = 8) -> str:
@@ -61,8 +61,8 @@ def stream_sink_append(spark, sf):
 def stream_enrich(spark, sf):
     land, out = scratch_dir(spark, "capture"), scratch_dir(spark, "stream_silver")
     captured = envelopes(spark, sf)
-    captured.write.parquet(land)
-    raw = stream_files(spark, land, captured.schema, max_files=4)
+    captured.repartition(6).write.parquet(land)
+    raw = stream_files(spark, land, captured.schema, max_files=2)
     st.drain(st.run_trades_stream(raw, out, scratch_dir(spark, "ckpt"), STAMP))
     return _ntz(spark.read.parquet(out), "timestamp")
 
@@ -125,12 +125,14 @@ def stream_sliding(spark, sf):
 
 @query("stream_sessions", SESSIONS)
 def stream_sessions(spark, sf):
-    agg = st.stream_sessions(event_stream(spark, sf), "user_id", "ts", "value", gap="1 hour")
+    # a session window drops rows behind the watermark in every mode: the files must come in time order
+    raw = stream_files(spark, land_by_week(spark, sf, late=False), v.table(spark, sf, "events").schema, max_files=1)
+    agg = st.stream_sessions(raw, "user_id", "ts", "value", gap="1 hour")
     return _ntz(st.complete_result(agg, scratch_dir(spark, "sessions"), scratch_dir(spark, "ckpt")), "inicio", "fim")
 
 
-def land_by_week(spark, sf) -> str:
-    """Events landed in four files by time, one after another, then the first hour once more.
+def land_by_week(spark, sf, late: bool = True) -> str:
+    """Events landed in four files by time, one after another, then (``late``) the first hour once more.
 
     A file source takes files in the order they were written, so only the last file is late.
     """
@@ -142,7 +144,8 @@ def land_by_week(spark, sf) -> str:
         part = part.where(F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) if lo else part
         part = part.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz")) if hi else part
         part.write.mode("append").parquet(path)
-    e.where(F.col("ts") < F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")).write.mode("append").parquet(path)
+    if late:
+        e.where(F.col("ts") < F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")).write.mode("append").parquet(path)
     return path
 
 
@@ -185,10 +188,10 @@ def stream_replay(spark, sf):
     def compute(rows: DataFrame) -> DataFrame:
         return rows.select("event_id", dec_round(F.col("value") * 2, 2).alias("valor_total"))
 
-    parts = []
+    parts, log = [], event_stream(spark, sf)
     for run in ("antes", "replay"):
         out = scratch_dir(spark, f"replay_{run}")
-        st.replay(event_stream(spark, sf), compute, out, scratch_dir(spark, "ckpt"))
+        st.replay(log, compute, out, scratch_dir(spark, "ckpt"))
         parts.append(spark.read.parquet(out).select(F.lit(run).alias("execucao"), "event_id", "valor_total"))
     return parts[0].unionByName(parts[1])
 
