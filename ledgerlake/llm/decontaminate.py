@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .base import stage
+from .sieve import split_by
 
 WIDTH = 13
 BROADCAST_ROWS = 300_000
@@ -155,7 +156,13 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Rows of ``docs`` that are not contaminated, with all their columns."""
     bad = contamination(docs, items, key, text, **options).where("contaminated").select(
-        F.col(key).alias("_key"), F.col("digest").alias("_digest")
-    ).distinct()
-    digest = F.md5(F.coalesce(docs[text], F.lit("")).cast("binary"))
-    return docs.join(bad, docs[key].eqNullSafe(bad["_key"]) & (digest == bad["_digest"]), "left_anti")
+        F.col(f"`{key}`").alias("_key"), F.col("digest").alias("_digest")
+    )
+    bad = stage(bad.distinct(), "contaminated")
+    # the columns of docs go as one struct, so none can clash; texts that are certainly clean stay where they are
+    column = lambda name: F.col(f"`{name}`")
+    digest = F.md5(F.coalesce(column(text), F.lit("")).cast("binary"))
+    packed = docs.select(F.struct(*map(column, docs.columns)).alias("row"), column(key).alias("key"), digest.alias("digest"))
+    others, maybe = split_by(packed, F.col("digest"), bad, "_digest")
+    clean = maybe.join(bad, F.col("key").eqNullSafe(F.col("_key")) & (F.col("digest") == F.col("_digest")), "left_anti")
+    return others.select("row.*").unionByName(clean.select("row.*"))

@@ -33,14 +33,13 @@ from pyspark.sql import functions as F
 
 from .base import arrow_map, mix64, stage, text_chunks
 from .components import components
+from .sieve import split_by
 
 WORDS = 5
 LEAST = 0.8
 BANDS, ROWS = 32, 6
 NEAR = 0.7
 BLOCK = 256
-#: Size of the filter that keeps texts from travelling: 2^24 bits are at most 262,144 rows.
-SIEVE_BITS = 24
 
 _h = xxhash.xxh3_64_intdigest
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -128,27 +127,9 @@ def sketch(texts: DataFrame, bands: int, rows: int) -> DataFrame:
     return made.groupBy("digest").agg(F.first("bands").alias("bands"), F.first("marks").alias("marks"))
 
 
-def sifted(texts: DataFrame, wanted: DataFrame, bits: int = SIEVE_BITS) -> DataFrame:
-    """Rows of ``texts`` whose digest is probably in ``wanted`` (all that are, and a few more).
-
-    A Bloom filter as a table of 64-bit words: at most 2^bits / 64 rows, so it can be broadcast whatever the
-    size of ``wanted``; texts that nobody asked for are left out before they travel.
-    """
-    def probe(k: int) -> Column:
-        return F.pmod(F.xxhash64("digest", F.lit(k)), F.lit(1 << bits))
-
-    spots = wanted.select(F.explode(F.array(probe(1), probe(2))).alias("spot"))
-    words = spots.groupBy(F.shiftright("spot", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(spot & 63 as int))")).alias("mask")
-    )
-    words = stage(words, "sieve")
-    for k in (1, 2):
-        spot = f"_spot{k}"
-        texts = texts.withColumn(spot, probe(k)).join(
-            F.broadcast(words.select(F.col("word").alias(f"_word{k}"), F.col("mask").alias(f"_mask{k}"))),
-            F.shiftright(spot, 6) == F.col(f"_word{k}"), "inner",
-        ).where(F.expr(f"(_mask{k} & shiftleft(1L, cast({spot} & 63 as int))) != 0"))
-    return texts.select("digest", "text")
+def sifted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose digest may be in ``wanted``; texts that nobody asked for do not travel."""
+    return split_by(texts, F.col("digest"), wanted, "digest")[1]
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
@@ -384,13 +365,15 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     repeated = stage(rows.join(
         keepers.where("_keep").select(F.col("_digest").alias("digest")), "digest", "left_semi"
     ).groupBy("key", "digest").agg(F.count("*").alias("n")).where("n > 1").select("digest").distinct(), "repeated")
-    marked = docs.withColumn("_d", digest_of(F.col(f"`{text}`")))
-    joined = marked.join(keepers, F.col("_d") == F.col("_digest"), "left").where(
-        F.col("_digest").isNull() | (F.col("_keep") & F.col(f"`{key}`").eqNullSafe(F.col("_least")))
+    # the columns of docs go as one struct, so none can clash; texts without copies or links stay where they are
+    column = lambda name: F.col(f"`{name}`")
+    packed = docs.select(F.struct(*map(column, docs.columns)).alias("row"), column(key).alias("key"), digest_of(column(text)).alias("digest"))
+    others, maybe = split_by(packed, F.col("digest"), keepers, "_digest")
+    joined = maybe.join(keepers, F.col("digest") == F.col("_digest"), "left").where(
+        F.col("_digest").isNull() | (F.col("_keep") & F.col("key").eqNullSafe(F.col("_least")))
     )
     if repeated.isEmpty():
-        return joined.select(*[F.col(f"`{c}`") for c in docs.columns])
-    twice = repeated.withColumnRenamed("digest", "_d")
-    single = joined.join(twice, "_d", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    several = joined.join(twice, "_d", "left_semi").dropDuplicates([key, "_d"])
-    return single.unionByName(several.select(*[F.col(f"`{c}`") for c in docs.columns]))
+        return others.select("row.*").unionByName(joined.select("row.*"))
+    single = joined.join(repeated, "digest", "left_anti").select("row.*")
+    several = joined.join(repeated, "digest", "left_semi").dropDuplicates(["key", "digest"]).select("row.*")
+    return others.select("row.*").unionByName(single).unionByName(several)
