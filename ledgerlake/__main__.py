@@ -29,6 +29,9 @@ def main(argv: list[str] | None = None) -> None:
     stream.add_argument("--base", required=True)
     stream.add_argument("--stamp", required=True)
     stream.add_argument("--every", help='keep running at this pace, for example "1 minute"')
+    refresh = commands.add_parser("stream-gold", help="refresh stream gold tables from new trades only")
+    refresh.add_argument("--base", required=True)
+    refresh.add_argument("--asof", required=True)
     stream.add_argument("--max-files", type=int, default=1000, help="files of one micro-batch")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName("ledgerlake").config("spark.sql.session.timeZone", "UTC").getOrCreate()
@@ -38,6 +41,8 @@ def main(argv: list[str] | None = None) -> None:
         print(jobs.run_history(spark, args.history, args.base, args.asof, args.mode))
     elif args.command == "monitor":
         jobs.run_monitoring(spark, args.base, args.asof).orderBy("qualidade_pct").show(truncate=False)
+    elif args.command == "stream-gold":
+        print(jobs.run_stream_gold(spark, args.base, args.asof))
     else:
         jobs.run_stream(spark, args.base, args.stamp, args.every, args.max_files).awaitTermination()
 

@@ -250,3 +250,30 @@ def run_stream(spark: SparkSession, base: str, stamp: str, every: str | None = N
     return st.run_trades_stream(
         raw, lake.path("silver", "streaming"), lake.path("checkpoints", "streaming"), stamp, every, "trades", validate=True
     )
+
+
+#: Gold tables that are finished from what stream batches stored.
+STREAM_GOLD = {
+    "fraude": "gold_fraude_streaming", "anomalias": "gold_anomalias_intraday", "volume": "gold_volume_intraday",
+    "ranking": "gold_ranking_realtime",
+}
+
+
+def run_stream_gold(spark: SparkSession, base: str, asof: str, max_files: int = 1000) -> dict[str, str]:
+    """New silver trades -> the four stream gold tables, each committed as its next version.
+
+    Only files that arrived since the last run are read: every batch stores its flagged rows and its hourly
+    partial sums, and the tables are finished from those. Rows flagged earlier keep the benchmark of their day.
+    """
+    lake = Lake(spark, base, asof, 0)
+    source, stored = lake.path("silver", "streaming"), lake.path("gold", "lotes_streaming")
+    trades = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", max_files).parquet(source)
+    bench = _benchmark(lake)
+    st.drain(st.foreach_batch_refresh(trades, stored, lake.path("checkpoints", "gold_streaming"), st.gold_batch(bench, asof)))
+    committed = {}
+    for name, df in st.finish_gold(spark, stored, bench, asof).items():
+        job = JOBS[STREAM_GOLD[name]]
+        path = lake.path(job.layer, job.table)
+        known = snapshots.list_versions(spark, path)
+        committed[name] = quality.publish(df, path, int(known[-1]) + 1 if known else 1, job.checks)
+    return committed

@@ -54,6 +54,29 @@ def test_every_job(spark, base):
     assert rows(stream, "id_transacao", "score_fraude") == [("1", "Critico")]
 
 
+def test_stream_gold_reads_new_trades_only(spark, base):
+    """After the jobs above: one trade is stored, then a second one arrives."""
+    def batches():
+        return spark.read.parquet(f"{base}/gold/lotes_streaming/parciais").select("batch_id").distinct().count()
+
+    jobs.run_stream_gold(spark, base, ASOF)
+    assert batches() == 1
+    body = {"timestamp": "2024-01-01T11:00:00", "ticker": "PROMO", "preco": 95.0, "quantidade": 9001, "tipo": "venda",
+            "corretora": "c", "id_transacao": "2"}
+    more = spark.createDataFrame([(bytearray(json.dumps(body).encode()),), (bytearray(b"{"),)], "Body binary")
+    more.write.mode("append").parquet(f"{base}/bronze/kafka")
+    jobs.run_stream(spark, base, "2026-01-01T00:00:00").awaitTermination()
+    for _ in range(2):  # the second run finds nothing new
+        jobs.run_stream_gold(spark, base, ASOF)
+        assert batches() == 2
+    kept = snapshots.read_current(spark, f"{base}/gold/fraude_streaming")
+    assert rows(kept, "id_transacao") == [("1",), ("2",)]
+    everything = jobs.JOBS["gold_ranking_realtime"].build(jobs.Lake(spark, base, ASOF, 1))
+    stored = snapshots.read_current(spark, f"{base}/gold/ranking_acoes_realtime")
+    assert rows(stored.select(*everything.columns)) == rows(everything)
+    assert spark.read.parquet(f"{base}/quarantine/streaming").count() == 1
+
+
 def test_second_run_is_a_new_version(spark, base):
     assert jobs.run(spark, "silver_bcb", base, "2026-01-02").endswith("ver=2")
     assert snapshots.list_versions(spark, f"{base}/silver/bcb") == ["1", "2"]
