@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import sys
 from collections.abc import Callable, Iterator, Sequence
@@ -42,7 +44,22 @@ def bucket_of(key: Column, modulus: int) -> Column:
 
 
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+    """``mapInArrow``; when a task ends its worker, which Spark keeps, hands unused memory back."""
+
+    def run(batches):
+        yield from fn(batches)
+        release()
+
+    return df.mapInArrow(run, schema)
+
+
+def release() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def texts_of(column: pa.Array) -> list[bytes]:
@@ -50,7 +67,7 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def text_chunks(batch: pa.RecordBatch, name: str, max_bytes: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+def text_chunks(batch: pa.RecordBatch, name: str, max_bytes: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of a batch whose texts together hold about ``max_bytes``, so memory does not follow text length."""
     column = batch.column(batch.schema.get_field_index(name))
     sizes = pc.binary_length(column.cast(pa.binary()).fill_null(b"")).to_pylist()

@@ -301,7 +301,7 @@ def add_ids(docs: DataFrame, vocab: Vocabulary, key: str = "doc_id", text: str =
     def run(batches):
         model = held(shared)
         for batch in batches:
-            for part, raw in text_chunks(batch, batch.schema.names[at], 2 << 20):
+            for part, raw in text_chunks(batch, batch.schema.names[at], 1 << 20):
                 keys = [b"" if k is None else str(k).encode() for k in part.column(at_key).to_pylist()]
                 ids, counts = encode(model, [r.decode() for r in raw], keys, dropout, seed, variants)
                 ends = np.concatenate([[0], np.cumsum(counts)])

@@ -225,7 +225,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score",
         fitted = held(shared)
         words = fitted.lookup()
         for batch in batches:
-            for part, raw in text_chunks(batch, batch.schema.names[at]):
+            for part, raw in text_chunks(batch, batch.schema.names[at], 4 << 20):
                 if len(words) > KEPT:
                     words = fitted.lookup()
                 if fitted.share is not None:
