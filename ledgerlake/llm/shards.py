@@ -35,6 +35,8 @@ LENGTH = 1024
 PER_SHARD = 8192
 HEADER = 16
 ROUNDS = 6
+#: zstandard level of sequences at rest between the two steps and in the shuffle.
+PACK_LEVEL = 6
 # Fixed value: the split pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -152,7 +154,9 @@ def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, k
     size = 2 if max(end, max(ranks.values(), default=0)) < 1 << 16 else 4
     stride = HEADER + size * length
     where = scratch_dir(spark, "sequences")
-    packed(docs, ranks, end, key, text, length).write.option("compression", "zstd").parquet(where)
+    packed(docs, ranks, end, key, text, length).write.options(
+        **{"compression": "zstd", "parquet.compression.codec.zstd.level": str(PACK_LEVEL)}
+    ).parquet(where)
     staged = spark.read.parquet(where)
     counts = staged.groupBy("task").agg(F.count("*").alias("n")).orderBy("task").toArrow()  # one row per task
     n = counts.column("n").to_numpy()
@@ -170,6 +174,9 @@ def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, k
 
     def deal(batches):
         """Records of one shard from one batch together, compressed."""
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=PACK_LEVEL)
         for batch in batches:
             number, slot = numbered(batch.columns)
             sizes, tokens = batch.column(2).to_numpy(), batch.column(3)
@@ -182,13 +189,15 @@ def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, k
                 body = head.tobytes() + b"".join([tokens[int(i)].as_py() for i in group])
                 yield pa.record_batch(
                     [pa.array([int(slot[group[0]]) // per_shard], pa.int32()), pa.array([len(group)], pa.int32()),
-                     pa.array([zlib.compress(body, 1)], pa.binary())],
+                     pa.array([pack.compress(body)], pa.binary())],
                     names=["shard", "n", "body"],
                 )
 
     def write(batches):
+        import zstandard
         from pyarrow import fs
 
+        unpack = zstandard.ZstdDecompressor()
         system, root = fs.FileSystem.from_uri(path)
         open_shard, held_bytes, got = None, None, 0
 
@@ -211,7 +220,7 @@ def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, k
                         yield flush()
                     open_shard, got = shard, 0
                     held_bytes = bytearray(stride * min(per_shard, order.n - shard * per_shard))
-                raw = memoryview(zlib.decompress(body))
+                raw = memoryview(unpack.decompress(body))
                 head = np.frombuffer(raw[: 24 * count], dtype=np.int64).reshape(count, 3)
                 at = 24 * count
                 for slot, number, tokens in head.tolist():
