@@ -4,10 +4,11 @@ Texts are split at ASCII white space, ASCII letters lower-cased; their shingles
 text is one shingle). Two different texts are linked if the Jaccard similarity of their shingle sets is 0.8 or more;
 classes are the connected components of links.
 
-Signature: every distinct shingle with weight 1 + ln(count) is a Poisson process of that rate whose
-points fall on random registers; a register keeps the shingle of its earliest point, so equal registers
-estimate the probability Jaccard similarity. A process ends as soon as its next point comes later than the
-latest register.
+Signature: every distinct shingle is a Poisson process whose points fall on random registers; a register keeps the
+shingle of its earliest point. A process ends as soon as its next point comes later than the latest register. At rate
+1 equal registers estimate the similarity of the sets, by which links are defined; at rate 1 + ln(count) they
+estimate the probability Jaccard similarity. Texts are banded by both kinds, so a pair whose repeat counts differ is
+found as surely as any other. Without a repeated shingle the two kinds are the same.
 
 Work: equal texts collapse to one node first (by digest, counted in each task). Nodes meet in buckets of equal
 bands. Each bucket links its members to its least node (a star, linear in the bucket), these candidates are
@@ -17,7 +18,7 @@ compared in blocks of bounded size: by signatures first, then on the texts of me
 is cut, no pair inside a component is made, and pairs are verified where they meet, so only links leave a task.
 
 With 32 bands of 6 registers a pair at similarity 0.8 shares no bucket with probability 6e-5, at 0.85 3e-7.
-The signature comparison in blocks asks for 0.7, 3.5 standard deviations below 0.8.
+The signature comparison in blocks, of registers at rate 1, asks for 0.7, 3.5 standard deviations below 0.8.
 
 NULL texts are empty; empty texts are equal to each other. Repeated rows belong to the class of their text. A row
 without id takes part; class_id is the least id in the class, NULL if it has none.
@@ -106,17 +107,30 @@ def band_keys(registers: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def both_signatures(raw: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Registers at rate 1 and at rate 1 + ln(count); the same ones for a text without a repeated shingle."""
+    hashes, owner, weight = weighted(*shingles(raw))
+    plain = signatures(hashes, owner, np.ones(len(hashes)), len(raw), size)
+    heavy = plain.copy()
+    again = np.unique(owner[weight > 1])
+    if len(again):
+        of = np.isin(owner, again)
+        heavy[again] = signatures(hashes[of], np.searchsorted(again, owner[of]), weight[of], len(again), size)
+    return plain, heavy
+
+
 def sketch(texts: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(digest, bands, marks): band keys and one byte per register, one row per distinct text."""
+    """(digest, bands, marks), one row per distinct text: band keys of the plain and then of the weighted registers, and
+    one byte per plain register."""
     size = bands * rows
 
     def run(batches):
         for batch in batches:
             for part, raw in text_chunks(batch, "text", 3 << 20):
-                registers = signatures(*weighted(*shingles(raw)), len(raw), size)
-                keys = band_keys(registers, bands, rows)
-                marks = (mix64(registers) & np.uint64(255)).astype(np.uint8)
-                offsets = pa.array(np.arange(len(raw) + 1, dtype=np.int32) * bands)
+                plain, heavy = both_signatures(raw, size)
+                keys = np.concatenate([band_keys(plain, bands, rows), band_keys(heavy, bands, rows)], axis=1)
+                marks = (mix64(plain) & np.uint64(255)).astype(np.uint8)
+                offsets = pa.array(np.arange(len(raw) + 1, dtype=np.int32) * 2 * bands)
                 yield pa.record_batch(
                     [part.column(0), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())),
                      pa.array([m.tobytes() for m in marks], pa.binary())],
@@ -282,7 +296,7 @@ def links(texts: DataFrame, bands: int = BANDS, rows: int = ROWS, least: float =
           block: int = BLOCK) -> DataFrame:
     """Verified links (a, b) between digests of ``texts`` (digest, text), enough of them to connect every class."""
     nodes = stage(sketch(texts, bands, rows), "sketches")
-    spread = nodes.select("digest", F.explode("bands").alias("band"))
+    spread = nodes.select("digest", F.explode(F.array_distinct("bands")).alias("band"))
     buckets = spread.groupBy("band").agg(F.min("digest").alias("least"), F.count("*").alias("n")).where("n > 1")
     met = stage(spread.join(buckets.select("band", "least"), "band"), "buckets")
     star = met.where("digest != least").select(F.col("least").alias("a"), F.col("digest").alias("b")).distinct()

@@ -115,6 +115,26 @@ def test_weights_count_repetitions():
     assert len(hashes) == len(shingle_set(a.decode())) and weight.max() > 1.5 and weight.min() == 1
 
 
+def test_pairs_whose_repeat_counts_differ(spark, frame):
+    rng = random.Random(6)
+    pairs = []
+    for i in range(60):
+        n, line, times = ((104, 10, 300), (64, 8, 50))[i % 2]
+        base = [f"w{rng.random()}" for _ in range(n)]
+        at = n // 2
+        pairs += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[:at] + base[at : at + line] * times + base[at + line :]))]
+    docs = spark.createDataFrame([(bytearray(str(i).encode()), t) for i, t in pairs], "digest binary, text string")
+    made = {int(bytes(r["digest"])): r for r in k.sketch(docs, k.BANDS, k.ROWS).collect()}
+    for i in range(0, 120, 2):
+        a, b = made[i], made[i + 1]
+        assert set(a["bands"]) & set(b["bands"])
+        assert np.mean([x == y for x, y in zip(a["marks"], b["marks"])]) >= k.NEAR
+    got = defaultdict(set)
+    for r in k.classes(frame(pairs)).collect():
+        got[r["class_id"]].add(r["doc_id"])
+    assert {frozenset(x) for x in got.values()} == brute(pairs) and len(got) == 60
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 1), (9, 8), (8, 7), (7, 6), (6, 5), (20, 20), (4, 40), (4, 40)]
     got = defaultdict(set)
