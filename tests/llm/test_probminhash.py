@@ -1,5 +1,6 @@
 import random
 from collections import defaultdict
+from math import comb
 
 import numpy as np
 import pytest
@@ -135,6 +136,12 @@ def test_pairs_whose_repeat_counts_differ(spark, frame):
     assert {frozenset(x) for x in got.values()} == brute(pairs) and len(got) == 60
 
 
+def test_signature_comparison_loses_less_than_banding():
+    n = k.BANDS * k.ROWS
+    below = sum(comb(n, j) * k.LEAST**j * (1 - k.LEAST) ** (n - j) for j in range(n + 1) if j / n < k.NEAR)
+    assert below < 0.01 * (1 - k.LEAST**k.ROWS) ** k.BANDS
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (3, 1), (9, 8), (8, 7), (7, 6), (6, 5), (20, 20), (4, 40), (4, 40)]
     got = defaultdict(set)
