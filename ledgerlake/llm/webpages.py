@@ -45,15 +45,19 @@ BLOCK_TAGS = frozenset(
     "pre search section select summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|noscript|template|textarea|svg|math|title|select|option|button|iframe|object"
-CLOSES_P = BLOCK_TAGS - {"body", "html", "head", "button", "option", "optgroup", "title"}
+#: Their content is no markup and, without an end tag, runs to the end of the page.
+RAW_TAGS = "script|style|textarea|title"
+#: Elements whose blocks are left out. One without its own end tag ends with its parent, and its blocks stay.
+OMITTED = frozenset("noscript template svg math select option button iframe object".split())
+CLOSES_P = BLOCK_TAGS - OMITTED - {"body", "html", "head", "optgroup", "title"}
 #: An opening tag of the key ends an open element of the same group in the nearest list or table.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol menu dl table tbody thead tfoot article section div main body nav aside".split())
 NOT_TEXT = frozenset("nav aside footer header form menu search dialog".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW_TAGS})\b[^>]*+>.*?(?:</\1\s*+>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW_TAGS})(?:/>|(?=[\s/>])(?:(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*+>)"
+    r"(?:(?<=[\s\"']/>)|.*?(?:</\1(?=[\s/>])[^>]*+(?:>|\Z)|\Z)))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|\Z)|<[!?][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
@@ -76,6 +80,7 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked = links = 0
     path: tuple[str, ...] = ()
+    omitted: list[tuple[int, int, tuple[str, ...]]] = []  # open ones: place in names, blocks before, path before
 
     def close() -> None:
         nonlocal linked
@@ -86,8 +91,13 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    def drop(to: int) -> None:
-        nonlocal links
+    def drop(to: int, own_end: bool = False) -> None:
+        nonlocal links, path
+        while omitted and omitted[-1][0] >= to:
+            close()
+            place, before, path = omitted.pop()
+            if names[place] == "option" or own_end and place == to:  # the end tag of an option is optional
+                del out[before:]
         links -= sum(1 for n in names[to:] if n == "a")
         del names[to:], marks[to:]
 
@@ -111,13 +121,23 @@ def blocks(page: str) -> list[Block]:
             close()
         elif name == "br" or name == "img":
             parts.append(" ")
+        if name in OMITTED:
+            close()
         if end:
-            if name in names:
-                drop(len(names) - 1 - names[::-1].index(name))
+            # a paragraph around an omitted element is not ended in it
+            if name in names[omitted[-1][0] + 1 if omitted and name == "p" else 0 :]:
+                drop(len(names) - 1 - names[::-1].index(name), True)
         elif name not in VOID_TAGS and not attrs.endswith("/"):
-            if name in CLOSES_P and "p" in names:
+            if block and omitted and names[omitted[-1][0]] == "option":
+                drop(omitted[-1][0])
+            if name == "button" and name in names:  # the open one has no end tag; what it holds goes on
+                i = len(names) - 1 - names[::-1].index(name)
+                del names[i], marks[i]
+                omitted = [(o[0] - (o[0] > i), *o[1:]) for o in omitted if o[0] != i]
+            inner = omitted[-1][0] + 1 if omitted else 0
+            if name in CLOSES_P and "p" in names[inner:]:
                 drop(len(names) - 1 - names[::-1].index("p"))
-            for i in range(len(names) - 1, -1, -1) if name in SIBLINGS else ():
+            for i in range(len(names) - 1, inner - 1, -1) if name in SIBLINGS else ():
                 if names[i] in SIBLINGS[name]:
                     drop(i)
                     break
@@ -128,14 +148,18 @@ def blocks(page: str) -> list[Block]:
                 for kind, *values in _NAMES.findall(attrs):
                     sign = "#" if kind.lower() == "id" else "."
                     own += [f"{sign}{w}" for w in _SPLIT.split("".join(values).lower()) if w]
+            if name in OMITTED:
+                omitted.append((len(names), len(out), path))
             names.append(name)
             marks.append(tuple(own))
             links += name == "a"
-        if block:
+        if block and name not in OMITTED or not end and omitted and omitted[-1][0] == len(names) - 1:
             path = tuple(m for own in marks for m in (*own, "/"))
     if at < len(page):
         parts.append(page[at:])
     close()
+    if omitted and names[omitted[-1][0]] == "option":
+        drop(omitted[-1][0])
     return out
 
 

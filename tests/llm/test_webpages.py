@@ -19,6 +19,25 @@ def test_blocks():
     assert [b.text for b in k.blocks("a <b c='<i>' d=\"e\">f</b> <i g")] == ["a f"]
 
 
+@pytest.mark.parametrize("before", [
+    "<svg-icon></svg-icon>", "<button-group></button-group>", "<title-card></title-card>", "<template-part></template-part>",
+    "<select-box></select-box>", '<svg class="x" />', "<math/>", "<object/>", "<title/>", '<script src="x" />',
+    "<datalist><option value=A>A<option>B</datalist>", "<select><option>A<option>B</select>", "<select><option>A", "<option>A",
+    "<button>", "<noscript>", "<object>", "<nav><button></nav>", "<svg><title>A</title><svg></svg><text>B</text></svg>",
+    "<button><div>A</div></button>", "<noscript><p>A</noscript>", '<script data-x="a>b">A</script >', "<style>p{}</STYLE\n>",
+    "<button><button>A</button>", "<template><table><tr><td>A</table></template>", "<iframe>A</iframe>",
+])
+def test_elements_left_out_end_where_they_end(before):
+    page = f"<body>{before}<article><p>One</p><p>Two <button>no</button> three</p></article><button>B</button></body>"
+    assert [b.text for b in k.blocks(page)] == ["One", "Two", "three"]
+    assert all(k.is_text(b.path) for b in k.blocks(page))
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "textarea", "title"])
+def test_raw_elements_run_to_the_end(tag):
+    assert [b.text for b in k.blocks(f"<p>One</p><{tag}>no <p>no</p>")] == ["One"]
+
+
 def test_gradient_is_the_slope_of_the_loss():
     rng = np.random.default_rng(0)
     vectors = [rng.normal(size=(n, 5)).astype(np.float64) for n in (4, 2)]
