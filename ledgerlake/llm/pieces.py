@@ -1,12 +1,14 @@
 """SentencePiece encoding with seeded merge dropout, and lossless decoding.
 
 Merge-type (BPE) models: the best-scored pair of neighbouring symbols whose joined form is a piece merges first, the left
-one of equals. With dropout every candidate pair is skipped for good if a keyed hash of (seed, variant of the
+one of equals. With dropout every candidate pair is skipped for good if a keyed hash of (seed, row key, place of the
 occurrence, word, bounds of the pair) falls below ``dropout``; nothing is drawn at random, so a rerun gives the same ids.
-Each occurrence of a word gets one of ``variants`` numbers from a hash of seed, row key and place.
 
-Pieces never join across a blank followed by a letter, so text is cut into blanks-plus-word units; equal units of
-the same variant in a slice are segmented once, all together in numpy (long units by a heap of their own).
+Pieces never join across a blank followed by a letter, so text is cut into blanks-plus-word units. Without dropout equal
+units of a slice are segmented once, all together in numpy (long units by a heap of their own). With dropout each
+occurrence draws its own skips; it shares a segmentation only where it skips just the same of all candidates that came
+up in it: first the plain one, then that of one occurrence of each set of skipped plain candidates. The others are
+segmented each on its own.
 Characters without a piece, and the blank mark itself, become byte pieces, so decoding gives back every text.
 
 NULL texts are empty and have no ids. Repeated rows get equal ids. A NULL key counts as an empty one.
@@ -27,8 +29,9 @@ from pyspark.sql import types as T
 from .base import arrow_map, held, mix64, share, text_chunks
 
 MARK = "▁"
-VARIANTS = 8
 LONG = 48
+#: Units segmented together, and candidates tested together.
+TOGETHER, TESTED = 16_384, 1 << 18
 _UNIT = re.compile(r" +[^ \n]*|[^ \n]+|\n+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int64(1) << np.int64(40)
@@ -113,16 +116,17 @@ def load(path: str) -> Vocabulary:
 
 
 def keep_mask(word: np.ndarray, begin: np.ndarray, middle: np.ndarray, end: np.ndarray, limit: np.uint64) -> np.ndarray:
-    """False where the candidate pair is skipped; ``word`` holds a hash of unit, variant and seed."""
+    """False where the candidate pair is skipped; ``word`` holds a hash of unit, occurrence and seed."""
     with np.errstate(over="ignore"):
         place = (begin.astype(np.uint64) << np.uint64(42)) ^ (middle.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
         return (mix64(word ^ (place * _ODD)) >> np.uint64(1)) >= limit
 
 
-def segment(vocab: Vocabulary, ids: np.ndarray, owner: np.ndarray, hashed: np.ndarray, dropout: float):
+def segment(vocab: Vocabulary, ids: np.ndarray, owner: np.ndarray, hashed: np.ndarray, dropout: float, seen: list | None = None):
     """Merge all units at once. ``ids`` per character (negative: unknown), ``owner`` the unit of each, in order.
 
     Each round merges the best pair of every unit. Returns ids and owners of the symbols that remain, in order.
+    ``seen`` gets (owner, begin, middle, end) of all candidates that came up, skipped or not.
     """
     limit = np.uint64(int(dropout * (1 << 63)))
     begin = np.arange(len(ids))
@@ -131,7 +135,7 @@ def segment(vocab: Vocabulary, ids: np.ndarray, owner: np.ndarray, hashed: np.nd
     # rank and target of the pair that starts at each symbol; _NONE: no candidate
     out_at, out_ids, out_owner = [], [], []
     base = np.searchsorted(owner, np.arange(owner[-1] + 1 if len(owner) else 0))
-    target, rank = _pairs(vocab, ids, owner, begin, end, hashed, limit, dropout, base)
+    target, rank = _pairs(vocab, ids, owner, begin, end, hashed, limit, dropout, base, seen)
     while len(ids):
         first = np.flatnonzero(np.diff(owner, prepend=-1))
         best = np.minimum.reduceat(rank * np.int64(1 << 22) + (begin - base[owner]), first)
@@ -157,7 +161,7 @@ def segment(vocab: Vocabulary, ids: np.ndarray, owner: np.ndarray, hashed: np.nd
         at = at - np.arange(len(at))
         # only pairs with the new symbol change
         touched = np.concatenate([at, (at - 1)[(at > 0) & (owner[at - 1] == owner[at])]])
-        target[touched], rank[touched] = _pairs_at(vocab, touched, ids, owner, begin, end, hashed, limit, dropout, base)
+        target[touched], rank[touched] = _pairs_at(vocab, touched, ids, owner, begin, end, hashed, limit, dropout, base, seen)
     if not out_at:
         return ids, owner
     at = np.concatenate(out_at)
@@ -165,11 +169,11 @@ def segment(vocab: Vocabulary, ids: np.ndarray, owner: np.ndarray, hashed: np.nd
     return np.concatenate(out_ids)[order], np.concatenate(out_owner)[order]
 
 
-def _pairs(vocab, ids, owner, begin, end, hashed, limit, dropout, base):
-    return _pairs_at(vocab, np.arange(len(ids)), ids, owner, begin, end, hashed, limit, dropout, base)
+def _pairs(vocab, ids, owner, begin, end, hashed, limit, dropout, base, seen):
+    return _pairs_at(vocab, np.arange(len(ids)), ids, owner, begin, end, hashed, limit, dropout, base, seen)
 
 
-def _pairs_at(vocab, at, ids, owner, begin, end, hashed, limit, dropout, base):
+def _pairs_at(vocab, at, ids, owner, begin, end, hashed, limit, dropout, base, seen):
     target = np.full(len(at), -1, dtype=np.int64)
     rank = np.full(len(at), _NONE, dtype=np.int64)
     has = np.flatnonzero(at + 1 < len(ids))
@@ -177,6 +181,10 @@ def _pairs_at(vocab, at, ids, owner, begin, end, hashed, limit, dropout, base):
     left = at[has]
     to = vocab.merged(ids[left], ids[left + 1])
     ok = to >= 0
+    if seen is not None:
+        c = left[ok]
+        off = base[owner[c]]
+        seen.append((owner[c], begin[c] - off, begin[c + 1] - off, end[c + 1] - off))
     if dropout:
         who, off = owner[left], base[owner[left]]
         ok &= keep_mask(hashed[who], begin[left] - off, begin[left + 1] - off, end[left + 1] - off, limit)
@@ -184,7 +192,7 @@ def _pairs_at(vocab, at, ids, owner, begin, end, hashed, limit, dropout, base):
     return target, rank
 
 
-def segment_long(vocab: Vocabulary, ids: list[int], hashed: np.uint64, dropout: float) -> list[int]:
+def segment_long(vocab: Vocabulary, ids: list[int], hashed: np.uint64, dropout: float, seen: list | None = None) -> list[int]:
     """The same for one unit of any length, with an agenda."""
     limit = np.uint64(int(dropout * (1 << 63)))
     n = len(ids)
@@ -199,6 +207,8 @@ def segment_long(vocab: Vocabulary, ids: list[int], hashed: np.uint64, dropout:
         b = np.array([ids[i] for i in pairs[:, 1]], dtype=np.int64)
         to = vocab.merged(a, b)
         ends = np.array([end[i] for i in pairs[:, 1]], dtype=np.int64)
+        if seen is not None:
+            seen.append((pairs[to >= 0, 0], pairs[to >= 0, 1], ends[to >= 0]))
         keep = keep_mask(np.repeat(word, len(to)), pairs[:, 0], pairs[:, 1], ends, limit) if dropout else True
         for i, j, t, e in zip(pairs[(to >= 0) & keep, 0].tolist(), pairs[(to >= 0) & keep, 1].tolist(),
                               to[(to >= 0) & keep].tolist(), ends[(to >= 0) & keep].tolist()):
@@ -218,8 +228,7 @@ def segment_long(vocab: Vocabulary, ids: list[int], hashed: np.uint64, dropout:
     return [x for x, a in zip(ids, alive) if a]
 
 
-def encode(vocab: Vocabulary, texts: list[str], keys: list[bytes], dropout: float = 0.0, seed: int = 0,
-           variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
+def encode(vocab: Vocabulary, texts: list[str], keys: list[bytes], dropout: float = 0.0, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in order and the number of ids of each."""
     known: dict[str, int] = {}
     numbers: list[int] = []
@@ -232,27 +241,97 @@ def encode(vocab: Vocabulary, texts: list[str], keys: list[bytes], dropout: floa
     if not numbers:
         return np.zeros(0, dtype=np.int32), counts
     unit = np.array(numbers, dtype=np.int64)
-    variants = variants if dropout else 1
-    if variants > 1:
+    names = list(known)
+    if not dropout:
+        flat, sizes = _encode_units(vocab, names, np.zeros(len(names), np.uint64), 0.0)
+        made = unit
+    else:
+        hashes = np.array([xxhash.xxh3_64_intdigest(u, seed) for u in names], dtype=np.uint64)
         stream = np.array([xxhash.xxh3_64_intdigest(k, seed) for k in keys], dtype=np.uint64)
         place = np.arange(len(unit)) - np.repeat(np.cumsum(counts) - counts, counts)
         with np.errstate(over="ignore"):
-            unit = unit * variants + (mix64(np.repeat(stream, counts) + place.astype(np.uint64) * _ODD) % np.uint64(variants)).astype(np.int64)
-    made, inverse = np.unique(unit, return_inverse=True)
-    names = list(known)
-    hashes = np.array([xxhash.xxh3_64_intdigest(u, seed) for u in names], dtype=np.uint64) if dropout else np.zeros(len(names), np.uint64)
-    hashed = mix64(hashes[made // variants] + (made % variants).astype(np.uint64))
-    flat, sizes = _encode_units(vocab, [names[k] for k in (made // variants).tolist()], hashed, dropout)
+            hashed = mix64(hashes[unit] + mix64(np.repeat(stream, counts) + place.astype(np.uint64) * _ODD))
+        flat, sizes, made = _with_dropout(vocab, names, unit, hashed, dropout)
     begin = np.cumsum(sizes) - sizes
-    each = sizes[inverse]
+    each = sizes[made]
     ends = np.cumsum(each)
-    gather = np.arange(int(ends[-1])) - np.repeat(ends - each, each) + np.repeat(begin[inverse], each)
+    gather = np.arange(int(ends[-1])) - np.repeat(ends - each, each) + np.repeat(begin[made], each)
     bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
     return flat[gather].astype(np.int32), np.diff(bounds)
 
 
-def _encode_units(vocab: Vocabulary, units: list[str], hashed: np.ndarray, dropout: float):
-    """Ids of units in order and how many each has."""
+def _with_dropout(vocab: Vocabulary, names: list[str], unit: np.ndarray, hashed: np.ndarray, dropout: float):
+    """Ids and sizes of the segmentations made, and for each occurrence which of them is its own."""
+    seen: list = []
+    flat, sizes = _encode_units(vocab, names, np.zeros(len(names), np.uint64), 0.0, seen)
+    flats, all_sizes, total = [flat], [sizes], len(names)
+    made = unit.copy()
+    skips = _skips(seen, unit, hashed, dropout, len(names))
+    rest = np.flatnonzero(skips)
+    # occurrences of a unit that skip the same plain candidates: one of them goes first
+    _, first, group = np.unique(hashed_pair(unit[rest], skips[rest]), return_index=True, return_inverse=True)
+    seen = []
+    flat, sizes = _encode_units(vocab, [names[k] for k in unit[rest[first]].tolist()], hashed[rest[first]], dropout, seen)
+    flats.append(flat)
+    all_sizes.append(sizes)
+    made[rest] = total + group
+    total += len(first)
+    own = _skips(seen, np.arange(len(first)), hashed[rest[first]], dropout, len(first))
+    rest = rest[_skips(seen, group, hashed[rest], dropout, len(first)) != own[group]]
+    if len(rest):
+        flat, sizes = _encode_units(vocab, [names[k] for k in unit[rest].tolist()], hashed[rest], dropout)
+        flats.append(flat)
+        all_sizes.append(sizes)
+        made[rest] = total + np.arange(len(rest))
+    return np.concatenate(flats), np.concatenate(all_sizes), made
+
+
+def hashed_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix64(mix64(a.astype(np.uint64) + _ODD) ^ b)
+
+
+def _skips(seen: list, which: np.ndarray, hashed: np.ndarray, dropout: float, n: int) -> np.ndarray:
+    """For each occurrence a hash of the candidates it skips, of those in ``seen`` for entry ``which``; 0 for none."""
+    limit = np.uint64(int(dropout * (1 << 63)))
+    out = np.zeros(len(which), dtype=np.uint64)
+    if not seen:
+        return out
+    owner, begin, middle, end = (np.concatenate(x) for x in zip(*seen))
+    order = np.argsort(owner, kind="stable")
+    begin, middle, end = begin[order], middle[order], end[order]
+    number = np.bincount(owner, minlength=n)
+    start = np.cumsum(number) - number
+    each = number[which]
+    ends = np.cumsum(each)
+    low = 0
+    while low < len(which):
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + TESTED, side="right")))
+        who = np.repeat(np.arange(low, high), each[low:high])
+        at = np.arange(len(who)) - np.repeat(ends[low:high] - each[low:high] - done, each[low:high]) + start[which[who]]
+        skip = ~keep_mask(hashed[who], begin[at], middle[at], end[at], limit)
+        who, at = who[skip], at[skip]
+        with np.errstate(over="ignore"):
+            np.add.at(out, who, mix64((at - start[which[who]] + 1).astype(np.uint64)))
+        low = high
+    return out
+
+
+def _encode_units(vocab: Vocabulary, units: list[str], hashed: np.ndarray, dropout: float, seen: list | None = None):
+    """Ids of units in order and how many each has; ``seen`` gets the candidates as in ``segment``."""
+    ids, sizes = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for k in range(0, len(units), TOGETHER):
+        found: list | None = None if seen is None else []
+        got = _encode_some(vocab, units[k : k + TOGETHER], hashed[k : k + TOGETHER], dropout, found)
+        ids.append(got[0])
+        sizes.append(got[1])
+        if seen is not None:
+            seen.extend((who + k, *where) for who, *where in found)
+    return np.concatenate(ids), np.concatenate(sizes)
+
+
+def _encode_some(vocab: Vocabulary, units: list[str], hashed: np.ndarray, dropout: float, seen: list | None):
     points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
     lengths = np.array([len(u) for u in units], dtype=np.int64)
     distinct, inverse = np.unique(points, return_inverse=True)
@@ -261,12 +340,15 @@ def _encode_units(vocab: Vocabulary, units: list[str], hashed: np.ndarray, dropo
     owner = np.repeat(np.arange(len(units)), lengths)
     long = lengths > LONG
     short = ~long[owner]
-    got_ids, got_owner = segment(vocab, ids[short], owner[short], hashed, dropout) if short.any() else (ids[:0], owner[:0])
+    got_ids, got_owner = segment(vocab, ids[short], owner[short], hashed, dropout, seen) if short.any() else (ids[:0], owner[:0])
     if long.any():
         first = np.cumsum(lengths) - lengths
         parts, owners_ = [got_ids], [got_owner]
         for k in np.flatnonzero(long):
-            own = np.array(segment_long(vocab, ids[first[k] : first[k] + lengths[k]].tolist(), hashed[k], dropout), dtype=np.int64)
+            found: list | None = None if seen is None else []
+            own = np.array(segment_long(vocab, ids[first[k] : first[k] + lengths[k]].tolist(), hashed[k], dropout, found), dtype=np.int64)
+            if seen is not None:
+                seen.extend((np.full(len(where[0]), k), *where) for where in found)
             parts.append(own)
             owners_.append(np.full(len(own), k))
         got_ids, got_owner = np.concatenate(parts), np.concatenate(owners_)
@@ -289,7 +371,7 @@ def decode(vocab: Vocabulary, ids) -> bytes:
 
 
 def add_ids(docs: DataFrame, vocab: Vocabulary, key: str = "doc_id", text: str = "text", out: str = "ids",
-            dropout: float = 0.1, seed: int = 17, variants: int = VARIANTS, lossless: str | None = "lossless") -> DataFrame:
+            dropout: float = 0.1, seed: int = 17, lossless: str | None = "lossless") -> DataFrame:
     """All columns of ``docs``, the ids of each text and whether decoding them gave the text back."""
     shared = share(docs, vocab)
     base = docs.drop(*[c for c in (out, lossless) if c])
@@ -303,7 +385,7 @@ def add_ids(docs: DataFrame, vocab: Vocabulary, key: str = "doc_id", text: str =
         for batch in batches:
             for part, raw in text_chunks(batch, batch.schema.names[at], 1 << 20):
                 keys = [b"" if k is None else str(k).encode() for k in part.column(at_key).to_pylist()]
-                ids, counts = encode(model, [r.decode() for r in raw], keys, dropout, seed, variants)
+                ids, counts = encode(model, [r.decode() for r in raw], keys, dropout, seed)
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 columns = [*part.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))]
                 names = [*part.schema.names, out]

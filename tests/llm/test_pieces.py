@@ -67,6 +67,35 @@ def test_dropout_varies_and_repeats(vocab):
     assert all(len(vocab.strings[i].decode("utf-8", "ignore")) <= 1 for i in k.encode(vocab, [text], [b"1"], 1.0, 7)[0])
 
 
+def test_each_occurrence_draws_its_own_skips(vocab):
+    n = 20_000
+    rows = split(*k.encode(vocab, ["to"] * n, [str(i).encode() for i in range(n)], 0.1, 7))
+    plain = split(*k.encode(vocab, ["to"], [b""]))[0]
+    ways = {tuple(r) for r in rows}
+    assert len(plain) == 1 and len(ways) > 2
+    seen = []
+    k._encode_units(vocab, [" to"], np.zeros(1, np.uint64), 0.0, seen)
+    assert sum(len(x[0]) for x in seen) >= 3
+    text = " ".join(["internationalization"] * 3000)
+    ids = k.encode(vocab, [text], [b"1"], 0.1, 7)[0].tolist()
+    assert k.decode(vocab, ids).decode() == text
+    words = {tuple(r) for r in split(*k.encode(vocab, ["internationalization"] * 3000, [str(i).encode() for i in range(3000)], 0.1, 7))}
+    assert len(words) > 8
+
+
+def test_shared_segmentations_equal_own_ones(vocab):
+    rng = random.Random(4)
+    words = ["the", "theory", "thinking", "a", "of", "internationalization", "x" * 60, "漢字"]
+    names = [" " + w for w in words]
+    unit = np.array([rng.randrange(len(words)) for _ in range(3000)])
+    hashed = k.mix64(np.arange(3000, dtype=np.uint64))
+    for dropout in (0.1, 0.5, 1.0):
+        flat, sizes, made = k._with_dropout(vocab, names, unit, hashed, dropout)
+        got = split(flat, sizes)
+        own = split(*k._encode_units(vocab, [names[u] for u in unit], hashed, dropout))
+        assert [got[m] for m in made] == own
+
+
 def test_table(spark, frame, vocab):
     docs = frame([(1, "ab cd"), (None, None), (2, ""), (1, "ab cd"), (3, "word " * 5000)])
     rows = k.add_ids(docs, vocab, out="token_ids").collect()
