@@ -18,7 +18,7 @@ compared in blocks of bounded size: by signatures first, then on the texts of me
 is cut, no pair inside a component is made, and pairs are verified where they meet, so only links leave a task.
 
 With 32 bands of 6 registers a pair at similarity 0.8 shares no bucket with probability 6e-5, at 0.85 3e-7.
-The signature comparison in blocks, of registers at rate 1, asks for 0.65; a pair at 0.8 falls below with 4e-7.
+The signature comparison in blocks, of registers at rate 1, asks for 0.65; a pair at 0.8 falls below with 5e-7.
 
 NULL texts are empty; empty texts are equal to each other. Repeated rows belong to the class of their text. A row
 without id takes part; class_id is the least id in the class, NULL if it has none.
