@@ -351,16 +351,16 @@ def grouped(docs: DataFrame, key: str, text: str, **options) -> tuple[DataFrame,
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Per row of ``docs``: key, class_id (least key in its class) and n_links, the links verified at its text.
+    """Per row of ``docs``: key, class_id (least key in its class) and verified_links, the links verified at its text.
 
-    Links inside a component that was already connected are not looked for, so n_links is a lower bound.
+    Links inside a component that was already connected are not looked for: verified_links is not the number of links.
     """
     rows, named = grouped(docs, key, text, **options)
     least = named.groupBy("root").agg(F.min("least").alias("class_id"))
     table = stage(named.join(least, "root").select("digest", "class_id", "n_links", F.lit(True).alias("grouped")), "classes")
     return rows.join(table, "digest", "left").select(
         F.col("key").alias(key), F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("key")).alias("class_id"),
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("verified_links"),
     )
 
 

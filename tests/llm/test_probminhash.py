@@ -154,3 +154,7 @@ def test_components(spark):
 def test_empty_table(spark, frame):
     assert k.classes(frame([])).count() == 0
     assert k.keep_one(frame([])).count() == 0
+
+
+def test_links_are_named_for_what_they_count(frame):
+    assert k.classes(frame([(1, "a")])).columns == ["doc_id", "class_id", "verified_links"]
