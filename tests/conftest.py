@@ -31,9 +31,3 @@ def sf():
     if not Path(SF).exists():
         pytest.skip("no test data")
     return SF
-
-
-def rows(df, *cols):
-    """Rows as a sorted list of tuples."""
-    picked = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.rules import Rule, apply_rules

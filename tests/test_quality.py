@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frames import rows
 
 from ledgerlake.operators import quality as q
 from ledgerlake.sources import snapshots

@@ -5,7 +5,7 @@ import random
 import statistics
 
 import pytest
-from conftest import rows
+from frames import rows
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import windows
