@@ -168,3 +168,36 @@ def op5(spark, sf):
     from .chat import format_chats
 
     return format_chats(table(spark, sf, "conversations"))
+
+
+# crc32 of a text's bytes, bit by bit
+_SQL_CRC = """xor(list_reduce(list_prepend(4294967295::bigint, [('0x' || x)::bigint for x in regexp_extract_all(hex(encode({text})), '..')]),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda r, _: case when r % 2 = 1 then xor(r // 2, 3988292384) else r // 2 end)),
+  4294967295)"""
+
+
+@query(
+    "op13_spelling_variants",
+    f"""
+with recursive runs as (select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') as run from documents),
+once as (select run, {_SQL_CRC.format(text="coalesce(cast(doc_id as varchar), '') || ':' || run")} as h, n
+  from (select doc_id, run, count(*) as n from runs where length(run) >= 7 group by all)),
+w as (select case when h % 31 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, sum(n) as n
+  from once group by 1 having length(word) >= 7 and sum(n) >= 2),
+less as (select word, n, -1 as i, word as part from w union all
+  select word, n, i, left(word, i) || substr(word, i + 2) from (select word, n, unnest(generate_series(0, length(word) - 1)) as i from w)),
+pairs as (select distinct a.word, a.n, b.word as other, b.n as other_n from less a join less b on a.part = b.part
+  where a.word <> b.word and (a.i = b.i or a.i = -1 or b.i = -1)),
+best as (select word, count(*) as n_near, min(struct_pack(less := -other_n, other := other)) as best from pairs group by word),
+t as (select w.word, cast(w.n as bigint) as n, coalesce(n_near, 0) as n_near,
+    case when -best.less >= 10 * w.n then best.other end as form, case when -best.less >= 10 * w.n then cast(-best.less as bigint) end as form_n
+  from w left join best using (word)),
+chain as (select word, word as root, form as onward from t union all
+  select chain.word, t.word, t.form from chain join t on chain.onward = t.word)
+select t.word, form, root, n, n_near, form_n from t join chain on t.word = chain.word where onward is null""",
+)
+def op13(spark, sf):
+    from .spelling import variants
+
+    return variants(table(spark, sf, "documents"))
