@@ -201,3 +201,54 @@ def op13(spark, sf):
     from .spelling import variants
 
     return variants(table(spark, sf, "documents"))
+
+
+def _sql_leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("cast(doc_id as varchar)", "source", "lang", "cast(n_chars as varchar)", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _sql_next(digests: str) -> str:
+    return f"[sha256(array_to_string({digests}[3 * i + 1 : 3 * i + 3], '')) for i in generate_series(0, (len({digests}) - 1) // 3)]"
+
+
+def _sql_steps(levels: str, place: str) -> str:
+    """What stands before and after a node in its run, parted by a bar."""
+    at = f"({place} // cast(pow(3, lvl) as bigint))"
+    return f"array_to_string(d[{at} // 3 * 3 + 1 : {at}], '') || '|' || array_to_string(d[{at} + 2 : {at} // 3 * 3 + 3], '') as step"
+
+
+@query(
+    "op12_merkle_manifest",
+    f"""
+with recursive parity as (select *, {_SQL_CRC.format(text="cast(doc_id as varchar)")} % 2 = 0 as odd from documents),
+leaves as (select doc_id, coalesce('s' || source, 'n') as tree, {_sql_leaf('text')} as leaf,
+  {_sql_leaf("case when odd then replace(text, chr(10), '') else text end")} as altered from parity),
+places as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as place, row_number() over () as rid from leaves),
+low as (select tree, 0 as lvl, list(leaf order by place) as d from places group by tree
+  union all select tree, lvl + 1, {_sql_next('d')} from low where len(d) > 1),
+subs as (select tree, d[1] as subroot, row_number() over (order by tree) - 1 as rank from low where len(d) = 1),
+high as (select 0 as lvl, list(subroot order by rank) as d from subs
+  union all select lvl + 1, {_sql_next('d')} from high where len(d) > 1),
+steps as (select rid, lvl, {_sql_steps('low', 'place')} from places join low using (tree) where len(d) > 1
+  union all select rid, 1000 + lvl, {_sql_steps('high', 'rank')} from places join subs using (tree), high where len(d) > 1),
+paths as (select rid, list(step order by lvl) as path from steps group by rid),
+done as (select doc_id, leaf, subroot, (select d[1] from high where len(d) = 1) as root,
+  sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) as proof_sha256,
+  list_reduce(list_prepend(altered, coalesce(path, [])), lambda h, s: sha256(split_part(s, '|', 1) || h || split_part(s, '|', 2))) as folded_root
+  from places join subs using (tree) left join paths using (rid))
+select *, folded_root = root as verified from done""",
+)
+def op12(spark, sf):
+    from . import merkle
+
+    columns = ("doc_id", "source", "lang", "n_chars", "text")
+    text = F.col("text")
+    cut = (bucket_of(F.col("doc_id"), 2) == 0) & text.contains("\n")
+    altered = F.when(cut, merkle.leaf_of(*[F.col(c) for c in columns[:-1]], F.replace(text, F.lit("\n"), F.lit(""))))
+    rows = merkle.manifest(table(spark, sf, "documents"), columns, altered=altered)
+    rows = rows.withColumn("folded_root", merkle.fold(F.coalesce("altered", "leaf"), F.col("proof")))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
