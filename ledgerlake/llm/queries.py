@@ -252,3 +252,13 @@ def op12(spark, sf):
         "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query("op11_cross_parsing")
+def op11(spark, sf):
+    from . import langid
+
+    docs = picked(table(spark, sf, "documents"), "doc_id", "text", "lang")
+    held_out = F.coalesce(bucket_of(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = langid.train(docs, ~held_out)
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
