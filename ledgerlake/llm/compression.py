@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .base import arrow_map, held, share, text_chunks
-from .sampling import labelled_sample
+from .sampling import fitted_on_sample
 
 PER_LABEL = 4000
 SAMPLE_BYTES = 200_000
@@ -125,7 +125,7 @@ def fit(texts: list[bytes], labels: list[int], share_good: float | None = None)
     y = np.array(labels, dtype=float)
     share = float(y.mean()) if len(y) and share_good is None else (0.5 if share_good is None else share_good)
     if len(set(labels)) < 2:
-        return Model(None, (_logit(share),))
+        return Model(None, (logit(share),))
     half = np.zeros(len(y), dtype=bool)
     for label in (0, 1):  # every other row of each label trains the dictionaries
         half[np.flatnonzero(y == label)[::2]] = True
@@ -135,11 +135,11 @@ def fit(texts: list[bytes], labels: list[int], share_good: float | None = None)
     rest = ~half if len(set(y[~half])) == 2 else np.ones(len(y), dtype=bool)
     x = features(compressors(dictionaries), [t for t, r in zip(texts, rest) if r])
     w = fit_curve(x, y[rest])
-    w[0] += _logit(share) - _logit(float(y[rest].mean()))  # back to the true share of the labels
+    w[0] += logit(share) - logit(float(y[rest].mean()))  # back to the true share of the labels
     return Model(dictionaries, tuple(w))
 
 
-def _logit(p: float) -> float:
+def logit(p: float) -> float:
     p = min(max(p, 1e-4), 1 - 1e-4)
     return math.log(p / (1 - p))
 
@@ -154,7 +154,7 @@ def scores(model: Model, made: list | None, texts: list[bytes]) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text",
           per_label: int = PER_LABEL, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Fit on a bounded sample of the labelled rows of ``docs``; NULL labels and keys are left out."""
-    return fit(*labelled_sample(docs, labels, label, key, text, per_label, sample_bytes))
+    return fitted_on_sample(docs, labels, label, key, text, per_label, sample_bytes, fit)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

@@ -1,14 +1,19 @@
 """Toxicity by multiple-instance learning: a text is toxic if any of its sentences is.
 
-A sentence has the probability sigmoid(bias + sum of its words' weights); a word's weight is the sum of the
-weights of its hashed parts (the word, its first three to six letters, its last four). The text's
-score is the noisy-or of its sentences, and only labels of whole texts are used: the gradient of the noisy-or
+A sentence is the set of its words, up to a word that ends in a stop or to the end of a line. Sentences without a word
+do not count, and one that repeats in a text counts once. A sentence has the probability sigmoid(bias + sum of its words'
+weights); a word's weight is the sum of the weights of its hashed parts (the word, its first three to six letters, its
+last four). Sentences are combined by noisy-or, and only labels of whole texts are used: the gradient of the noisy-or
 hands the blame to sentences, which are then reported as spans.
 
-Training reads a bounded sample of labelled rows (``per_label`` of each label, whole texts of at most
+The noisy-or of many harmless sentences grows with their number. So a logistic curve over its hazard (the sum of
+-log(1 - p)) and the number of sentences gives the score; it is fitted on a quarter of the sample that the weights have
+not seen.
+
+Training reads a bounded sample of labelled rows in one task (``per_label`` of each label, whole texts of at most
 ``sample_bytes``); scoring reads every row and whole texts, and a worker keeps the weights of words it has met. A NULL or
-empty text has no sentence and scores 0. Repeated rows are scored one by one. Without rows of both labels every
-text scores the share of label 1.
+empty text, or one without a word, has no sentence and scores 0. Repeated rows are scored one by one. Without rows of
+both labels every text scores the share of label 1.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import arrow_map, held, share, text_chunks
-from .sampling import labelled_sample
+from .base import arrow_map, held, mix64, share, text_chunks
+from .compression import fit_curve, logit
+from .sampling import fitted_on_sample
 
 PER_LABEL = 4000
 SAMPLE_BYTES = 200_000
@@ -38,11 +44,11 @@ KEPT = 400_000
 _h = xxhash.xxh3_64_intdigest
 _EDGES = bytes(i for i in range(128) if not (48 <= i < 58 or 97 <= i < 123 or 65 <= i < 91))
 _STOPS = (b".", b"!", b"?")
-_SENTENCE = re.compile(rb"[^ \t\r\n][^\n]*?(?:[.!?]+(?=[ \t\r\n]|$)|(?=\n)|$)")
+_TOKEN = re.compile(rb"[^ \t\n\r\x0b\x0c]+|\n")
 
 
 def tokens_of(text: bytes) -> list[bytes]:
-    """Lower-cased words; a line break becomes a stop of its own."""
+    """Lower-cased words with their punctuation; a line break becomes a stop of its own."""
     return text.lower().replace(b"\n", b" . ").split()
 
 
@@ -62,41 +68,61 @@ class Model:
     bias: float
     weights: np.ndarray
     share: float | None = None  # the constant score where there is nothing to learn from
-    known: dict = field(default_factory=dict, repr=False)
-
-    def __getstate__(self):
-        return {"bias": self.bias, "weights": self.weights, "share": self.share, "known": {}}
+    curve: tuple[float, ...] | None = None  # by 1, log hazard and log number of sentences; None: the noisy-or itself
 
     def lookup(self) -> Words:
         return Words(self.weights)
 
 
 class Words(dict):
-    """word -> row of two growing tables: its weight and whether it ends a sentence."""
+    """word -> row of growing tables: its weight, whether it ends a sentence, and whether it is more than punctuation."""
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.table, self.mask, self.weight, self.stop = memoryview(weights), len(weights) - 1, [], []
+        self.table, self.mask, self.weight, self.stop, self.real = memoryview(weights), len(weights) - 1, [], [], []
 
     def __missing__(self, word: bytes) -> int:
         at = len(self.weight)
         table, mask = self.table, self.mask
-        self.weight.append(sum([table[h & mask] for h in parts_of(word)]))
+        parts = parts_of(word)
+        self.weight.append(sum([table[h & mask] for h in parts]))
         self.stop.append(word.endswith(_STOPS))
+        self.real.append(bool(parts))
         self[word] = at
         return at
 
 
-def distinct(number: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each word once in each sentence."""
-    return np.divmod(np.unique(number * size + word), size)
+_NONE = np.zeros(0, dtype=np.int64)
+
 
+def sets_of(words: np.ndarray, ends: np.ndarray, stop: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sentence, word) pairs and the text of every sentence, from words of all texts and the end of each text.
 
-def owners(number: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The text of every sentence, from the end of each text in tokens."""
-    out = np.zeros(int(number[-1]) + 1, dtype=np.int64)
-    out[number] = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-    return out
+    Each word is there once in a sentence, each set of words once in a text.
+    """
+    if not len(words):
+        return _NONE, _NONE, _NONE
+    closes = stop[words]
+    closes[ends[ends > 0] - 1] = True
+    number = np.concatenate([[0], np.cumsum(closes)[:-1]])
+    owner = np.zeros(int(number[-1]) + 1, dtype=np.int64)
+    owner[number] = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    own, word = np.divmod(np.unique(number * len(stop) + words), len(stop))
+    own, word = own[real[word]], word[real[word]]
+    if not len(own):
+        return _NONE, _NONE, _NONE
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    owner = owner[own[first]]
+    with np.errstate(over="ignore"):
+        sets = mix64(np.add.reduceat(mix64(word + 1), first) ^ mix64(~owner))
+    kept = np.zeros(len(first), dtype=bool)
+    kept[np.unique(sets, return_index=True)[1]] = True
+    size = np.diff(np.append(first, len(own)))
+    return np.repeat(np.cumsum(kept) - 1, size)[np.repeat(kept, size)], word[np.repeat(kept, size)], owner[kept]
+
+
+def sigmoid(logits):
+    return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
 
 
 def sentences(words: Words, texts: list[bytes], bias: float) -> tuple[np.ndarray, np.ndarray]:
@@ -107,25 +133,37 @@ def sentences(words: Words, texts: list[bytes], bias: float) -> tuple[np.ndarray
     for i, text in enumerate(texts):
         ids.extend(map(get, tokens_of(text)))
         ends[i] = len(ids)
-    if not ids:
-        return np.zeros(0), np.zeros(0, dtype=np.int64)
-    at = np.array(ids, dtype=np.int64)
-    closes = np.array(words.stop, dtype=bool)[at]
-    closes[ends[ends > 0] - 1] = True
-    number = np.concatenate([[0], np.cumsum(closes)[:-1]])
-    owner = owners(number, ends)
-    own, word = distinct(number, at, len(words.weight))
-    logits = bias + np.bincount(own, weights=np.array(words.weight)[word], minlength=len(owner))
-    return 1 / (1 + np.exp(-np.clip(logits, -30, 30))), owner
+    own, word, owner = sets_of(np.array(ids, dtype=np.int64), ends, np.array(words.stop, dtype=bool), np.array(words.real, dtype=bool))
+    logits = bias + np.bincount(own, weights=np.array(words.weight)[word] if len(word) else None, minlength=len(owner))
+    return sigmoid(logits), owner
+
+
+def hazard(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(owner, weights=-np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n)
+
+
+def curve_inputs(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    number = np.bincount(owner, minlength=n)
+    return np.stack([np.ones(n), np.log(np.maximum(hazard(p, owner, n), 1e-12)), np.log(np.maximum(number, 1))], axis=1)
+
+
+def scored(p: np.ndarray, owner: np.ndarray, n: int, curve: tuple[float, ...] | None) -> np.ndarray:
+    """The score of each of ``n`` texts; without a sentence 0."""
+    if curve is None:
+        return noisy_or(p, owner, n)
+    return np.where(np.bincount(owner, minlength=n) > 0, sigmoid(curve_inputs(p, owner, n) @ np.array(curve)), 0.0)
 
 
 def noisy_or(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
-    return -np.expm1(np.bincount(owner, weights=np.log1p(-np.minimum(p, 1 - 1e-12)), minlength=n))
+    return -np.expm1(-hazard(p, owner, n))
 
 
 def fit(texts: list[bytes], labels: list[int], share: float, bits: int = BITS, epochs: int = 40, rate: float = 0.05,
-        ridge: float = 1e-4, seed: int = 3) -> Model:
-    """Minimise the log loss of the noisy-or by mini-batches; ``share`` of label 1 weights the two labels."""
+        ridge: float = 0.5, seed: int = 3) -> Model:
+    """Minimise the log loss of the noisy-or by mini-batches; ``share`` of label 1 weights the two labels.
+
+    ``ridge`` is shared out over the texts. The weights of the epoch with the least loss on the texts kept for the curve count.
+    """
     if len(set(labels)) < 2:
         return Model(0.0, np.zeros(1), share)
     size = 1 << bits
@@ -136,12 +174,18 @@ def fit(texts: list[bytes], labels: list[int], share: float, bits: int = BITS, e
         docs.append(np.array(rows, dtype=np.int64))
     stop = np.array([w.endswith(_STOPS) for w in types], dtype=bool)
     hashed = [np.array([h & (size - 1) for h in parts_of(w)], dtype=np.int64) for w in types]
+    real = np.array([len(h) > 0 for h in hashed], dtype=bool)
+    # of each label every fourth text is kept for the curve
+    y = np.array(labels, dtype=float)
+    later = np.zeros(len(docs), dtype=bool)
+    for value in (0, 1):
+        later[np.flatnonzero(y == value)[3::4]] = True
     begin = np.concatenate([[0], np.cumsum([len(h) for h in hashed])])
     parts = np.concatenate([np.zeros(0, dtype=np.int64), *hashed])
     kind = np.repeat(np.arange(len(types)), np.diff(begin))
     # a part must occur in several sample texts
     seen = np.zeros(size, dtype=np.int64)
-    for rows in docs:
+    for rows in (docs[i] for i in np.flatnonzero(~later)):
         own = np.unique(rows)
         if len(own):
             seen[np.unique(np.concatenate([hashed[i] for i in own]))] += 1
@@ -150,34 +194,33 @@ def fit(texts: list[bytes], labels: list[int], share: float, bits: int = BITS, e
 
     lines = []  # per text: the number of its sentences, and each distinct word of each of them
     for rows in docs:
-        if len(rows):
-            closes = stop[rows]
-            number = np.concatenate([[0], np.cumsum(closes)[:-1]])
-            lines.append((int(number[-1]) + 1, *distinct(number, rows, len(types))))
-        else:
-            lines.append((0, rows, rows))
+        own, word, owner = sets_of(rows, np.array([len(rows)]), stop, real)
+        lines.append((len(owner), own, word))
+
+    def logits_of(chosen):
+        sizes = np.array([lines[i][0] for i in chosen], dtype=np.int64)
+        own = np.concatenate([_NONE, *[lines[i][1] + at for i, at in zip(chosen, np.cumsum(sizes) - sizes)]])
+        word = np.concatenate([_NONE, *[lines[i][2] for i in chosen]])
+        by_type = np.bincount(kind, weights=w[parts], minlength=len(types))
+        logits = bias + np.bincount(own, weights=by_type[word], minlength=int(sizes.sum()))
+        return logits, own, word, np.repeat(np.arange(len(chosen)), sizes)
 
-    y = np.array(labels, dtype=float)
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     w, bias = np.zeros(size), -5.0
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     rng = np.random.default_rng(seed)
+    ridge, unseen = ridge / max(len(docs), 1), np.flatnonzero(later)
+    best, least = (w.copy(), bias), np.inf
     step = 0
     batch = 600
     for _ in range(epochs):
-        order = rng.permutation(len(docs))
+        order = rng.permutation(np.flatnonzero(~later))
         for start in range(0, len(order), batch):
             chosen = order[start : start + batch]
-            sizes = np.array([lines[i][0] for i in chosen])
-            if not sizes.sum():
+            logits, own, word, owner = logits_of(chosen)
+            if not len(logits):
                 continue
-            first = np.cumsum(sizes) - sizes
-            own = np.concatenate([lines[i][1] + at for i, at in zip(chosen, first)])
-            word = np.concatenate([lines[i][2] for i in chosen])
-            owner = np.repeat(np.arange(len(chosen)), sizes)
-            by_type = np.bincount(kind, weights=w[parts], minlength=len(types))
-            logits = bias + np.bincount(own, weights=by_type[word], minlength=len(owner))
-            p = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+            p = sigmoid(logits)
             doc = noisy_or(p, owner, len(chosen))
             # d loss / d logit of a sentence: p for label 0, -(1 - doc) p / doc for label 1
             pull = np.where(y[chosen] == 1, -(1 - doc) / np.maximum(doc, 1e-9), 1.0) * weight[chosen]
@@ -191,22 +234,57 @@ def fit(texts: list[bytes], labels: list[int], share: float, bits: int = BITS, e
             c1, c2 = 1 - 0.9**step, 1 - 0.999**step
             w -= rate * (m / c1) / (np.sqrt(v / c2) + 1e-6)
             bias -= rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-6)
-    return Model(float(bias), w.astype(np.float32))
+        if len(unseen):
+            logits, _, _, owner = logits_of(unseen)
+            doc = np.clip(noisy_or(sigmoid(logits), owner, len(unseen)), 1e-9, 1 - 1e-9)
+            loss = -(weight[unseen] * np.where(y[unseen] == 1, np.log(doc), np.log1p(-doc))).sum()
+        else:
+            loss = -step
+        if loss < least:
+            best, least = (w.copy(), bias), loss
+    w, bias = best[0].astype(np.float32).astype(float), best[1]
+    chosen = unseen
+    curve = None
+    if len(set(y[chosen])) == 2:
+        logits, _, _, owner = logits_of(chosen)
+        held = np.bincount(owner, minlength=len(chosen)) > 0  # texts without a sentence score 0 whatever the curve
+        x, kept = curve_inputs(sigmoid(logits), owner, len(chosen))[held], y[chosen][held]
+        if len(set(kept)) == 2:
+            curve = fit_curve(x, kept)
+            curve[0] += logit(share) - logit(float(kept.mean()))  # back to the true share of the labels
+            # more hazard never lowers a score
+            curve = tuple(curve) if curve[1] > 0 else None
+    return Model(float(bias), w.astype(np.float32), None, curve)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text",
           per_label: int = PER_LABEL, sample_bytes: int = SAMPLE_BYTES) -> Model:
-    texts, ys, share = labelled_sample(docs, labels, label, key, text, per_label, sample_bytes)
-    return fit(texts, ys, share)
+    return fitted_on_sample(docs, labels, label, key, text, per_label, sample_bytes, fit)
 
 
 def spans_of(text: bytes, words: Words, bias: float, least: float) -> Iterator[tuple[int, int, float]]:
-    """Byte ranges of sentences whose probability is ``least`` or more."""
-    for found in _SENTENCE.finditer(text):
-        logit = bias + sum([words.weight[words[w]] for w in set(tokens_of(found.group()))])
-        p = 1 / (1 + math.exp(-min(max(logit, -30.0), 30.0)))
-        if p >= least:
-            yield found.start(), found.end(), p
+    """Byte ranges of sentences whose probability is ``least`` or more, repeated ones included."""
+    begin, end, inside = 0, 0, set()
+
+    def found():
+        if any(words.real[i] for i in inside):
+            p = 1 / (1 + math.exp(-min(max(bias + sum(words.weight[i] for i in inside if words.real[i]), -30.0), 30.0)))
+            if p >= least:
+                yield begin, end, p
+
+    for token in _TOKEN.finditer(text):
+        if token.group() == b"\n":
+            yield from found()
+            inside = set()
+            continue
+        if not inside:
+            begin = token.start()
+        at, end = words[token.group().lower()], token.end()
+        inside.add(at)
+        if words.stop[at]:
+            yield from found()
+            inside = set()
+    yield from found()
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score", spans: str | None = "spans",
@@ -232,7 +310,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score",
                     values, p, owner = np.full(len(raw), fitted.share), np.zeros(0), np.zeros(0, np.int64)
                 else:
                     p, owner = sentences(words, raw, fitted.bias)
-                    values = noisy_or(p, owner, len(raw)) if len(p) else np.zeros(len(raw))
+                    values = scored(p, owner, len(raw), fitted.curve)
                 columns, names = [*part.columns, pa.array(values, pa.float64())], [*part.schema.names, out]
                 if spans:
                     hot = set(owner[p >= least].tolist())

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import compression, toxicity
+from ledgerlake.llm import compression, sampling, toxicity
 from ledgerlake.llm.queries import QUERIES
 
 
@@ -55,6 +55,57 @@ def test_repeated_word_counts_once_in_a_sentence():
     assert len(a) == len(b) == 1 and a[0] >= b[0] > 0.5
 
 
+def scores_of(model, texts):
+    words = model.lookup()
+    p, owner = toxicity.sentences(words, [t.encode() for t in texts], model.bias)
+    return toxicity.scored(p, owner, len(texts), model.curve)
+
+
+@pytest.mark.parametrize("curve", [None, (0.3, 1.1, -0.4)])
+def test_line_breaks_and_repeated_sentences_do_not_change_a_score(curve):
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(-3.0, rng.normal(size=1 << 10).astype(np.float32), None, curve)
+    lines = [f"word{i} and other{i % 7} words." for i in range(50)]
+    plain = " ".join(lines)
+    same = ["\n".join(lines), "\n\n\n".join(lines) + "\n\n", plain + "\n" + plain, " ".join(lines * 20), "... \n -- " + plain + " !\n?"]
+    assert scores_of(model, [plain, *same]) == pytest.approx([scores_of(model, [plain])[0]] * 6)
+    assert scores_of(model, ["", "\n\n", " . ! -- "]).tolist() == [0, 0, 0]
+
+
+def test_spans_are_the_scored_sentences():
+    model = toxicity.Model(-1.0, np.full(1 << 4, 0.4, dtype=np.float32))
+    text = "One two three.\x0bFour five! \nsix\x0cseven \n\n ... eight nine ten eleven"
+    words = model.lookup()
+    p, owner = toxicity.sentences(words, [text.encode()], model.bias)
+    spans = list(toxicity.spans_of(text.encode(), words, model.bias, 0.0))
+    assert [text[a:b] for a, b, _ in spans] == ["One two three.", "Four five!", "six\x0cseven", "eight nine ten eleven"]
+    assert [q for *_, q in spans] == pytest.approx(p.tolist())
+
+
+def test_long_clean_texts_stay_clean(spark, frame):
+    def of_many_lengths(y, word, rng):
+        return " ".join(toxic_text(y and not i, word, rng) for i in range(rng.choice([1, 1, 2, 4, 8])))
+
+    docs, labels = labelled(frame, spark, of_many_lengths, "toxic", 600)
+    model = toxicity.train(docs, labels, "toxic")
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 6)))
+    clean = [" ".join(" ".join(word() for _ in range(8)) + "." for _ in range(n)) for n in (1, 6, 20, 60, 200)]
+    toxic = [t.replace(".", ". An vilewordx is.", 1) for t in clean]
+    got = scores_of(model, clean + toxic)
+    assert (got[:5] < 0.5).all() and (got[5:8] >= 0.5).all()
+
+
+def test_sample_is_bounded_by_bytes(spark, frame):
+    docs = frame([(i, f"{i:03d}" + "x" * 97) for i in range(60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, toxic int")
+    def fit(texts, ys, share):
+        return toxicity.Model(float(len(texts)), np.array([sum(ys)]), share)
+
+    model = sampling.fitted_on_sample(docs, labels, "toxic", "doc_id", "text", 25, 200, fit, 1000)
+    assert (model.bias, model.weights.tolist(), model.share) == (20.0, [10], 0.5)
+
+
 def test_toxicity_without_labels(spark, frame):
     docs = frame([(1, "a b"), (2, None)])
     model = toxicity.train(docs, spark.createDataFrame([(1, 1)], "doc_id bigint, toxic int"), "toxic")
