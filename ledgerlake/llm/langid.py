@@ -7,7 +7,7 @@ words: the label with more rows, then the smaller name). The score is the share
 ``WEIGHED`` letters: 1 if no other comes near, one over the number of languages if all are alike.
 
 *Learning* is bounded: of each of the ``LANGUAGES`` most frequent labels, the slices (the first ``SLICE`` characters) of
-the distinct texts with the smallest hashes, together ``SAMPLE_BYTES`` over all languages. Copies collapse before
+distinct texts in order of a hash, together ``SAMPLE_BYTES`` over all languages. Copies collapse before
 they are shuffled. One task per language builds an automaton and returns its edges; tables for parsing are made from them
 in the workers, about 120 MB whatever the number of languages. *Prediction* reads every row and whole texts.
 
@@ -38,6 +38,8 @@ UNKNOWN = "und"
 LANGUAGES = 256
 SAMPLE_BYTES = 400_000
 SLICE = 400
+#: How many times the texts needed are looked at, for want of which copies of one text leave a smaller sample.
+SPARE = 8
 #: Letters of a text that weigh in its score; its language is decided by all of them.
 WEIGHED = 64
 #: Bytes parsed in step with each other, and the length of one piece.
@@ -136,15 +138,19 @@ def train(docs: DataFrame, learn: Column, lang: str = "lang", text: str = "text"
     """A model of the rows of ``docs`` where ``learn`` holds."""
     rows = docs.where(learn).select(F.col(f"`{lang}`").cast("string").alias("name"), F.col(f"`{text}`").alias("text"))
     rows = rows.where("name is not null and text is not null")
-    seen = rows.groupBy("name").count().orderBy(F.desc("count"), "name").limit(most_languages)
-    names = [r[0] for r in seen.collect()]
+    seen = dict(rows.groupBy("name").count().orderBy(F.desc("count"), "name").limit(most_languages).collect())
+    names = list(seen)
     if not names:
         return model_of([])
     room = max(sample_bytes // len(names), 1)
     per_language = -(-room // slice_chars) * 2
-    hashed = rows.withColumn("h", F.xxhash64("text"))
-    # copies meet in one row before the shuffle; the ranks are limited on both sides of it
-    known = hashed.where(F.col("name").isin(names)).groupBy("name", "h").agg(F.lit(1))
+    # hashes are kept below a limit that leaves about SPARE times the texts needed, so the ranks see a bounded number
+    below = {name: min(1 << 32, (SPARE * per_language << 32) // n + 1) for name, n in seen.items()}
+    limits = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])
+    hashed = rows.withColumn("h", F.xxhash64("text")).where(F.col("name").isin(names))
+    hashed = hashed.where(F.pmod("h", F.lit(1 << 32)) < F.element_at(limits, F.col("name")))
+    # copies meet in one row before the shuffle
+    known = hashed.groupBy("name", "h").agg(F.lit(1))
     chosen = known.select("name", "h", F.expr("row_number() over (partition by name order by h)").alias("rank")).where(F.col("rank") <= per_language)
     # per_language x languages is at most 2 x sample bytes / slice, plus two a language
     slices = hashed.join(F.broadcast(chosen.select("name", "h")), ["name", "h"])
