@@ -156,10 +156,11 @@ def op9(spark, sf):
     ranks = shards.read_ranks(BYTE_PAIR_RANKS)
     path = shards.shard_path(spark)
     sequences, files, _ = shards.materialise(docs, ranks, len(ranks), path)
-    on_disk = shards.read_back(files, path).select("slot", F.col("number").alias("on_disk"), "crc32")
-    return sequences.join(on_disk, "slot").select(
+    on_disk = shards.read_back(files, path).select("slot", "in_place", F.col("number").alias("on_disk"), "crc32")
+    # one row per sequence on both sides; the small index that ``on_disk`` is read by says nothing of its size
+    return sequences.join(on_disk.hint("merge"), "slot").select(
         "slot", F.col("number").alias("sequence"), "shard", "record", "n_tokens", F.col("keys").alias("doc_ids"),
-        (F.col("on_disk") == F.col("number")).alias("in_place"), "crc32",
+        (F.col("in_place") & (F.col("on_disk") == F.col("number"))).alias("in_place"), "crc32",
     )
 
 

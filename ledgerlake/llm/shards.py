@@ -9,7 +9,8 @@
    partition, whose task writes one file of equal records: 16 bytes (sequence number, token count), then ``length`` tokens,
    little-endian, padded with the end token. Slot s lies at record s mod per_shard of file s // per_shard.
 
-A file is written under a name of its own and then renamed, so a repeated task replaces it by the same bytes.
+A file is written under a name of its own and then renamed, so a repeated task replaces it by the same bytes. The manifest
+comes last: while it is missing the shards are not whole. Readers take lengths, token width, key and N from it.
 Reading goes by pyarrow's file systems, so shards may lie wherever those and Spark both reach.
 
 NULL and empty texts are one end token. Repeated rows are tokenized each. An empty table makes no shard.
@@ -18,9 +19,10 @@ NULL and empty texts are one end token. Repeated rows are tokenized each. An emp
 from __future__ import annotations
 
 import base64
+import json
 import uuid
 import zlib
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +78,57 @@ class Order:
         return self._walk(slots, range(ROUNDS - 1, -1, -1))
 
 
+MANIFEST = "manifest.json"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """What a reader has to know of the shards below a path."""
+
+    sequences: int
+    key: int
+    length: int
+    per_shard: int
+    token_bytes: int
+    end: int
+
+    @property
+    def stride(self) -> int:
+        return HEADER + self.token_bytes * self.length
+
+    @property
+    def kind(self):
+        return np.uint16 if self.token_bytes == 2 else np.uint32
+
+    @property
+    def shards(self) -> int:
+        return -(-self.sequences // self.per_shard)
+
+    @property
+    def order(self) -> Order:
+        return Order(self.sequences, self.key)
+
+
+def put(path: str, name: str, content) -> None:
+    """Write a file below ``path`` under a name of its own, then give it its name."""
+    from pyarrow import fs
+
+    system, root = fs.FileSystem.from_uri(path)
+    attempt = f"{root}/_attempts/{uuid.uuid4().hex}"
+    system.create_dir(f"{root}/_attempts", recursive=True)
+    with system.open_output_stream(attempt) as out:
+        out.write(content)
+    system.move(attempt, f"{root}/{name}")
+
+
+def read_layout(path: str) -> Layout:
+    from pyarrow import fs
+
+    system, root = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(f"{root}/{MANIFEST}") as file:
+        return Layout(**json.loads(file.read()))
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
@@ -145,14 +198,13 @@ def packed(docs: DataFrame, ranks: dict[bytes, int], end: int, key: str, text: s
 
 
 def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, key: str = "doc_id", text: str = "text",
-                length: int = LENGTH, per_shard: int = PER_SHARD, secret: int = 2024) -> tuple[DataFrame, DataFrame, Order]:
+                length: int = LENGTH, per_shard: int = PER_SHARD, secret: int = 2024) -> tuple[DataFrame, DataFrame, Layout]:
     """Write the shards below ``path``.
 
-    Returns the sequences (number, slot, shard, record, n_tokens, keys), the shards (shard, file, records) and the order.
+    Returns the sequences (number, slot, shard, record, n_tokens, keys), the shards (shard, file, records) and the layout.
     """
     spark = docs.sparkSession
     size = 2 if max(end, max(ranks.values(), default=0)) < 1 << 16 else 4
-    stride = HEADER + size * length
     where = scratch_dir(spark, "sequences")
     packed(docs, ranks, end, key, text, length).write.options(
         **{"compression": "zstd", "parquet.compression.codec.zstd.level": str(PACK_LEVEL)}
@@ -160,9 +212,9 @@ def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, k
     staged = spark.read.parquet(where)
     counts = staged.groupBy("task").agg(F.count("*").alias("n")).orderBy("task").toArrow()  # one row per task
     n = counts.column("n").to_numpy()
-    order = Order(int(n.sum()), secret)
+    layout = Layout(int(n.sum()), secret, length, per_shard, size, end)
+    order, stride = layout.order, layout.stride
     starts = dict(zip(counts.column("task").to_pylist(), (np.cumsum(n) - n).tolist()))
-    shards = -(-order.n // per_shard)
     placed = share(docs, (order, starts))
     pad = np.full(length, end, dtype=np.uint16 if size == 2 else np.uint32).tobytes()
 
@@ -195,19 +247,12 @@ def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, k
 
     def write(batches):
         import zstandard
-        from pyarrow import fs
 
         unpack = zstandard.ZstdDecompressor()
-        system, root = fs.FileSystem.from_uri(path)
         open_shard, held_bytes, got = None, None, 0
 
         def flush():
-            name = f"{root}/shard-{open_shard:08d}.bin"
-            attempt = f"{root}/_attempts/{uuid.uuid4().hex}"
-            system.create_dir(f"{root}/_attempts", recursive=True)
-            with system.open_output_stream(attempt) as out:
-                out.write(held_bytes)
-            system.move(attempt, name)
+            put(path, f"shard-{open_shard:08d}.bin", held_bytes)
             return pa.record_batch(
                 [pa.array([open_shard], pa.int32()), pa.array([f"shard-{open_shard:08d}.bin"]), pa.array([got], pa.int64())],
                 names=["shard", "file", "records"],
@@ -235,12 +280,13 @@ def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, k
             yield flush()
 
     dealt = arrow_map(staged.select("task", "place", "n_tokens", "tokens"), deal, "shard int, n int, body binary")
-    tasks = max(1, shards)
+    tasks = max(1, layout.shards)
     written = arrow_map(
         dealt.repartitionById(tasks, F.col("shard")).sortWithinPartitions("shard"), write, "shard int, file string, records bigint"
     )
     index = scratch_dir(spark, "shard-index")
     written.write.parquet(index)
+    put(path, MANIFEST, json.dumps(asdict(layout)).encode())
 
     def locate(batches):
         for batch in batches:
@@ -256,15 +302,17 @@ def materialise(docs: DataFrame, ranks: dict[bytes, int], end: int, path: str, k
         staged.select("task", "place", "n_tokens", "keys"), locate,
         f"number bigint, slot bigint, shard int, record int, n_tokens int, keys {keys}",
     )
-    return sequences, spark.read.parquet(index), order
+    return sequences, spark.read.parquet(index), layout
 
 
-def read_slots(path: str, first: int, last: int, length: int = LENGTH, per_shard: int = PER_SHARD, size: int = 2):
+def read_slots(path: str, first: int, last: int, layout: Layout | None = None):
     """(slot, sequence number, tokens) of the slots first..last-1, by one seek per shard: what a resumed reader does."""
     from pyarrow import fs
 
+    layout = layout or read_layout(path)
     system, root = fs.FileSystem.from_uri(path)
-    stride, kind = HEADER + size * length, np.uint16 if size == 2 else np.uint32
+    stride, kind, per_shard = layout.stride, layout.kind, layout.per_shard
+    last = min(last, layout.sequences)
     while first < last:
         shard, record = divmod(first, per_shard)
         many = min(last - first, per_shard - record)
@@ -277,21 +325,27 @@ def read_slots(path: str, first: int, last: int, length: int = LENGTH, per_shard
         first += many
 
 
-def read_back(shards: DataFrame, path: str, length: int = LENGTH, per_shard: int = PER_SHARD, size: int = 2) -> DataFrame:
-    """(slot, number, n_tokens, crc32 of the tokens' bytes) of every record on disk, shard by shard."""
+def read_back(shards: DataFrame, path: str) -> DataFrame:
+    """(slot, number, in_place, n_tokens, crc32 of the tokens' bytes) of every record on disk, shard by shard.
+
+    ``in_place``: the record holds the sequence that the order has there, as the manifest alone tells.
+    """
 
     def run(batches):
+        layout = read_layout(path)
+        order, per_shard = layout.order, layout.per_shard
         for batch in batches:
             for shard, records in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 found = [(s, n, len(t), zlib.crc32(t.tobytes())) for s, n, t in
-                         read_slots(path, shard * per_shard, shard * per_shard + records, length, per_shard, size)]
+                         read_slots(path, shard * per_shard, shard * per_shard + records, layout)]
                 slot, number, tokens, crc = zip(*found)
                 yield pa.record_batch(
-                    [pa.array(slot, pa.int64()), pa.array(number, pa.int64()), pa.array(tokens, pa.int32()), pa.array(crc, pa.int64())],
-                    names=["slot", "number", "n_tokens", "crc32"],
+                    [pa.array(slot, pa.int64()), pa.array(number, pa.int64()), pa.array(order.numbers(slot) == np.array(number)),
+                     pa.array(tokens, pa.int32()), pa.array(crc, pa.int64())],
+                    names=["slot", "number", "in_place", "n_tokens", "crc32"],
                 )
 
-    return arrow_map(shards.select("shard", "records"), run, "slot bigint, number bigint, n_tokens int, crc32 bigint")
+    return arrow_map(shards.select("shard", "records"), run, "slot bigint, number bigint, in_place boolean, n_tokens int, crc32 bigint")
 
 
 def shard_path(spark: SparkSession) -> str:
