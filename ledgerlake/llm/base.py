@@ -17,16 +17,28 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import stage
 
-__all__ = ["arrow_map", "bucket_of", "hash64", "held", "mix64", "picked", "share", "stage", "text_chunks", "texts_of"]
+__all__ = ["arrow_map", "bucket_of", "free_shared", "hash64", "held", "mix64", "picked", "share", "stage", "text_chunks", "texts_of"]
 
 
 # Executors get this subpackage's functions with the job and need no copy of it on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
+_SHARED: list = []
+
+
 def share(df: DataFrame, value):
     """Broadcast a bounded object; a task gets it back with ``held``."""
-    return df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+    _SHARED.append(shared)
+    return shared
+
+
+def free_shared() -> None:
+    """Give back all that was shared, once the rows made with it are written. Unwritten frames lose their model."""
+    while _SHARED:
+        _SHARED.pop().destroy()
+    release()
 
 
 def held(shared):

@@ -40,6 +40,8 @@ WORDS = 5
 LEAST = 0.8
 BANDS, ROWS = 32, 6
 NEAR = 0.65
+#: Texts of more than ``COPIES`` copies count as hot, the ``HOT`` most frequent of them.
+COPIES, HOT = 200, 20_000
 BLOCK = 256
 
 _h = xxhash.xxh3_64_intdigest
@@ -141,9 +143,11 @@ def sketch(texts: DataFrame, bands: int, rows: int) -> DataFrame:
     return made.groupBy("digest").agg(F.first("bands").alias("bands"), F.first("marks").alias("marks"))
 
 
-def sifted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``texts`` whose digest may be in ``wanted``; texts that nobody asked for do not travel."""
-    return split_by(texts, F.col("digest"), wanted, "digest")[1]
+def fetched(texts: DataFrame, wanted: DataFrame, label: str) -> DataFrame:
+    """(digest, text) of the digests in ``wanted``. Texts that nobody asked for do not travel, and copies meet before they do."""
+    sifted = split_by(texts, F.col("digest"), wanted, "digest")[1]
+    each = sifted.groupBy("digest").agg(F.first("text").alias("text"))
+    return stage(each.join(wanted, "digest", "left_semi"), label)
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
@@ -160,10 +164,7 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     pairs = stage(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
     # only texts in some pair travel, each distinct one once
-    wanted = stage(wanted, "wanted")
-    needed = stage(
-        sifted(texts, wanted).join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text")), "pair-texts"
-    )
+    needed = fetched(texts, stage(wanted, "wanted"), "pair-texts")
     both = (
         pairs.join(needed.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
         .join(needed.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
@@ -257,9 +258,7 @@ def compared_in_blocks(members: DataFrame, texts: DataFrame, least: float, near:
     flagged = dealt_in_blocks(members, block).groupBy("band", "lo", "hi").applyInArrow(likely, "band bigint, digest binary").distinct()
     flagged = stage(flagged, "likely")
     wanted = stage(flagged.select("digest").distinct(), "wanted")
-    needed = stage(
-        sifted(texts, wanted).join(wanted, "digest", "left_semi").groupBy("digest").agg(F.first("text").alias("text")), "likely-texts"
-    )
+    needed = fetched(texts, wanted, "likely-texts")
     carried = stage(members.join(flagged, ["band", "digest"], "left_semi").join(needed, "digest"), "likely-members")
 
     def verify(table: pa.Table) -> pa.Table:
@@ -336,7 +335,7 @@ def digest_of(text: Column) -> Column:
 
 
 def grouped(docs: DataFrame, key: str, text: str, **options) -> tuple[DataFrame, DataFrame]:
-    """(key, digest) of every row, and (digest, root, n_links, least) of every text with copies or links."""
+    """(key, digest) of every row, and (digest, root, n_links, least, copies) of every text with copies or links."""
     column = F.col(f"`{text}`")
     rows = docs.select(F.col(f"`{key}`").alias("key"), digest_of(column).alias("digest"))
     edges = links(docs.select(digest_of(column).alias("digest"), F.coalesce(column, F.lit("")).alias("text")), **options)
@@ -345,11 +344,29 @@ def grouped(docs: DataFrame, key: str, text: str, **options) -> tuple[DataFrame,
     owned = rows.groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("copies"))
     named = owned.join(components(edges).withColumnRenamed("node", "digest"), "digest", "left").join(degree, "digest", "left")
     named = named.where("copies > 1 or n_links is not null").select(
-        "digest", F.coalesce("root", "digest").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "least"
+        "digest", F.coalesce("root", "digest").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "least", "copies"
     )
     return rows, stage(named, "grouped-texts")
 
 
+def joined_to(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """``rows`` (key, digest, ...) with the columns of ``table`` (digest, copies, ...), NULL where a digest is not in it.
+
+    The texts with most copies, at most ``HOT``, are broadcast, so their copies stay where they are; the rows that
+    found theirs go through the second join by keys of their own.
+    """
+    names = [c for c in table.columns if c not in ("digest", "copies")]
+    # a bounded list: all other texts have fewer copies than one HOT-th of the rows
+    hot = stage(table.where(F.col("copies") > COPIES).orderBy(F.desc("copies"), "digest").limit(HOT), "hot-texts")
+    first = rows.join(F.broadcast(hot.select(F.col("digest").alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in names])),
+                      F.col("digest") == F.col("_hot"), "left")
+    own = F.concat(F.col("digest"), F.monotonically_increasing_id().cast("string").cast("binary"))
+    first = first.withColumn("_digest", F.when(F.col("_hot").isNull(), F.col("digest")).otherwise(own))
+    second = table.select(F.col("digest").alias("_of"), *[F.col(c).alias(f"_cold_{c}") for c in names])
+    both = first.join(second, F.col("_digest") == F.col("_of"), "left")
+    return both.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in names])
+
+
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Per row of ``docs``: key, class_id (least key in its class) and verified_links, the links verified at its text.
 
@@ -357,8 +374,8 @@ def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", **options)
     """
     rows, named = grouped(docs, key, text, **options)
     least = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    table = stage(named.join(least, "root").select("digest", "class_id", "n_links", F.lit(True).alias("grouped")), "classes")
-    return rows.join(table, "digest", "left").select(
+    table = stage(named.join(least, "root").select("digest", "copies", "class_id", "n_links", F.lit(True).alias("grouped")), "classes")
+    return joined_to(rows, table).select(
         F.col("key").alias(key), F.when(F.col("grouped"), F.col("class_id")).otherwise(F.col("key")).alias("class_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("verified_links"),
     )
@@ -371,21 +388,16 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **options
     """
     rows, named = grouped(docs, key, text, **options)
     best = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "digest")).alias("best"))
-    keepers = stage(
-        named.join(best, "root").select(
-            F.col("digest").alias("_digest"), (F.col("digest") == F.col("best.digest")).alias("_keep"), F.col("least").alias("_least")
-        ), "keepers",
-    )
-    repeated = stage(rows.join(
-        keepers.where("_keep").select(F.col("_digest").alias("digest")), "digest", "left_semi"
-    ).groupBy("key", "digest").agg(F.count("*").alias("n")).where("n > 1").select("digest").distinct(), "repeated")
+    keepers = stage(named.join(best, "root").select(
+        "digest", "copies", (F.col("digest") == F.col("best.digest")).alias("keep"), "least", F.lit(True).alias("grouped")
+    ), "keepers")
+    twice = rows.groupBy("key", "digest").agg(F.count("*").alias("n")).where("n > 1").select("digest").distinct()
+    repeated = stage(twice.join(keepers.where("keep").select("digest"), "digest", "left_semi"), "repeated")
     # the columns of docs go as one struct, so none can clash; texts without copies or links stay where they are
     column = lambda name: F.col(f"`{name}`")
     packed = docs.select(F.struct(*map(column, docs.columns)).alias("row"), column(key).alias("key"), digest_of(column(text)).alias("digest"))
-    others, maybe = split_by(packed, F.col("digest"), keepers, "_digest")
-    joined = maybe.join(keepers, F.col("digest") == F.col("_digest"), "left").where(
-        F.col("_digest").isNull() | (F.col("_keep") & F.col("key").eqNullSafe(F.col("_least")))
-    )
+    others, maybe = split_by(packed, F.col("digest"), keepers, "digest")
+    joined = joined_to(maybe, keepers).where(F.col("grouped").isNull() | (F.col("keep") & F.col("key").eqNullSafe(F.col("least"))))
     if repeated.isEmpty():
         return others.select("row.*").unionByName(joined.select("row.*"))
     single = joined.join(repeated, "digest", "left_anti").select("row.*")

@@ -4,6 +4,7 @@ from math import comb
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import probminhash as k
 from ledgerlake.llm.components import components
@@ -151,6 +152,31 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_hot_texts_are_joined_apart(spark, frame, monkeypatch):
+    monkeypatch.setattr(k, "COPIES", 3)
+    pairs = corpus()[:40]
+    pairs += [(1000 + i, pairs[5][1]) for i in range(50)] + [(2000 + i, "") for i in range(9)] + [(3000, pairs[5][1])] * 4
+    got = defaultdict(set)
+    for r in k.classes(frame(pairs)).collect():
+        got[r["class_id"]].add(r["doc_id"])
+    want = brute(pairs)
+    assert {frozenset(x) for x in got.values()} == want
+    kept = [r["doc_id"] for r in k.keep_one(frame(pairs)).select("doc_id").collect()]
+    assert sorted(kept) == sorted(min(x) for x in want)
+    rows = frame(pairs).select(F.col("doc_id").alias("key"), k.digest_of(F.col("text")).alias("digest"))
+    table = rows.groupBy("digest").agg(F.count("*").alias("copies"), F.min("key").alias("least"))
+    joined = k.joined_to(rows, table)
+    assert joined.count() == len(pairs) and joined.where("least is null").isEmpty()
+
+
+def test_recall_against_all_pairs_of_a_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    got = defaultdict(set)
+    for r in k.classes(docs).collect():
+        got[r["class_id"]].add(r["doc_id"])
+    assert {frozenset(x) for x in got.values()} == brute([tuple(r) for r in docs.collect()])
+
+
 def test_empty_table(spark, frame):
     assert k.classes(frame([])).count() == 0
     assert k.keep_one(frame([])).count() == 0
