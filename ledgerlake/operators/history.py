@@ -15,6 +15,8 @@ from .joins import guarded_join
 
 NEW, CHANGED, SAME, GONE = "novo", "alterado", "igual", "ausente"
 START, END, CURRENT = "data_inicio", "data_fim", "atual"
+#: The days on which batches held a version, kept where late batches are to be taken.
+SEEN = "dias_vistos"
 
 
 class DuplicateKeyError(ValueError):
@@ -148,6 +150,60 @@ def scd2_apply(
     return closed.unionByName(moved)
 
 
+def scd2_splice(hist: DataFrame | None, batch: DataFrame, key: str, asof, check: bool = True) -> DataFrame:
+    """History after the batch of any day, in whatever order the days arrive.
+
+    Every version carries the days on which it was seen (``SEEN``), so a history tells what a day between two of its
+    dates would have found. A late day cuts the version that covers it into the days before and after, the
+    batch's row goes between, and neighbours of equal attributes are joined. A day that comes again replaces the row
+    it had. All attributes are tracked, keys missing in a batch keep their state: after any order of the same
+    batches the history equals ``scd2_from_snapshots`` of all of them.
+
+    Only keys of the batch are rewritten, each from its own versions (no more than days); the others pass through an anti
+    join. The splice is an expression over the versions of a key, so it stays in the engine.
+    """
+    if check:
+        require_unique(batch, [key])
+    attrs = [c for c in batch.columns if c != key]
+    columns = [key, *attrs, START, END, CURRENT, SEEN]
+    first = batch.withColumns({START: _date(asof), END: _open_end(), CURRENT: F.lit(True), SEEN: F.array(_date(asof))})
+    if hist is None:
+        return first.select(*columns)
+    keys = batch.select(key)
+    rest = guarded_join(hist.select(*columns), keys, [key], "left_anti")
+    # one piece per version: the days it was seen, then its attributes; pieces of a key never share a day
+    piece = lambda days, row: F.struct(days.alias("days"), row.alias("row"))
+    old = guarded_join(hist, keys, [key], "left_semi").select(
+        key, piece(F.col(SEEN), F.struct(*attrs)).alias("piece")
+    ).groupBy(key).agg(F.collect_list("piece").alias("pieces"))
+    new = batch.select(key, piece(F.array(_date(asof)), F.struct(*attrs)).alias("new"))
+    day = _date(asof)
+
+    def cut(p: Column) -> Column:
+        before, after = F.filter(p["days"], lambda d: d < day), F.filter(p["days"], lambda d: d > day)
+        return F.filter(F.array(piece(before, p["row"]), piece(after, p["row"])), lambda q: F.size(q["days"]) > 0)
+
+    def joined(done: Column, p: Column) -> Column:
+        last = F.element_at(done, -1)
+        longer = F.array(piece(F.concat(last["days"], p["days"]), last["row"]))
+        same = (F.size(done) > 0) & F.get(done, F.size(done) - 1)["row"].eqNullSafe(p["row"])
+        return F.when(same, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), longer)).otherwise(F.concat(done, F.array(p)))
+
+    met = new.join(old, key, "left")
+    around = F.flatten(F.transform(F.coalesce("pieces", F.filter(F.array("new"), lambda _: F.lit(False))), cut))
+    # the first day decides the order of pieces, since they share no day
+    in_order = F.array_sort(F.concat(around, F.array("new")), lambda a, b: F.when(a["days"][0] < b["days"][0], -1).otherwise(1))
+    met = met.select(key, in_order.alias("pieces"))
+    met = met.select(key, F.aggregate("pieces", F.filter("pieces", lambda _: F.lit(False)), joined).alias("pieces"))
+    versions = met.select(key, "pieces", F.posexplode("pieces").alias("at", "piece"))
+    until = F.get("pieces", F.col("at") + 1)["days"][0]
+    spliced = versions.select(
+        key, *[F.col(f"piece.row.{c}").alias(c) for c in attrs], F.col("piece.days")[0].alias(START),
+        F.coalesce(until, _open_end()).alias(END), until.isNull().alias(CURRENT), F.col("piece.days").alias(SEEN),
+    )
+    return rest.unionByName(spliced)
+
+
 def scd2_from_snapshots(snapshots: DataFrame, key: str, tracked: Sequence[str], day: str) -> DataFrame:
     """Full rebuild from dated snapshots: runs of equal attributes become versions.
 

@@ -1,14 +1,17 @@
 """Upsert and validity history: hand-made cases and invariants."""
 
 import datetime as dt
+import random
 
 import pytest
 from frames import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as s
+from pyspark.sql import functions as F
 
 from ledgerlake.operators import history
 from ledgerlake.operators.joins import dedup_latest, scd2_asof_join
+from ledgerlake.sources.scratch import stage
 
 D1, D2, D3 = "2024-01-01", "2024-01-02", "2024-01-03"
 FAR = dt.date(9999, 12, 31)
@@ -171,3 +174,36 @@ def test_dedup_is_deterministic(spark):
     data = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z")] * 50 + [("b", None, None)]
     df = spark.createDataFrame(data, "k string, t int, v string")
     assert rows(dedup_latest(df, ["k"], ["t"])) == [("a", 2, "z"), ("b", None, None)]
+
+
+DAYS = ["2024-01-01", "2024-01-05", "2024-01-07", "2024-01-10", "2024-01-20"]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_splice_in_any_order_equals_a_rebuild(spark, seed):
+    rng = random.Random(seed)
+    batches = {d: {k: rng.choice(["a", "b", None]) for k in range(12) if rng.random() < 0.8} for d in DAYS}
+    order = [*DAYS, rng.choice(DAYS)]
+    rng.shuffle(order)
+    hist = None
+    for day in order:
+        batch = spark.createDataFrame([(k, v) for k, v in batches[day].items()], "cli int, perfil string")
+        hist = stage(history.scd2_splice(hist, batch, "cli", day), "h")
+    seen = spark.createDataFrame([(k, v, d) for d, b in batches.items() for k, v in b.items()], "cli int, perfil string, dia string")
+    rebuilt = history.scd2_from_snapshots(seen.withColumn("dia", F.col("dia").cast("date")), "cli", ["perfil"], "dia")
+    assert rows(hist.drop(history.SEEN)) == rows(rebuilt)
+    days = {(r["cli"], str(d)) for r in hist.collect() for d in r[history.SEEN]}
+    assert days == {(k, d) for d, b in batches.items() for k in b}
+
+
+def test_splice_replaces_a_day_and_leaves_other_keys(spark):
+    make = lambda pairs: spark.createDataFrame(pairs, "cli int, perfil string")
+    hist = None
+    for day, pairs in (("2024-01-01", [(1, "a"), (2, "a")]), ("2024-01-05", [(1, "b")]), ("2024-01-09", [(1, "a")])):
+        hist = stage(history.scd2_splice(hist, make(pairs), "cli", day), "h")
+    hist = history.scd2_splice(hist, make([(1, "a")]), "cli", "2024-01-05")
+    assert [tuple(map(str, r)) for r in sorted(hist.drop(history.SEEN).collect())] == [
+        ("1", "a", "2024-01-01", "9999-12-31", "True"), ("2", "a", "2024-01-01", "9999-12-31", "True")
+    ]
+    with pytest.raises(history.DuplicateKeyError):
+        history.scd2_splice(hist, make([(1, "a"), (1, "b")]), "cli", "2024-01-06")
