@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import contextlib
+import io
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,39 +11,20 @@ from pyspark.sql import functions as F
 
 from ..functions import label_map
 
-#: Decoded size a broadcast may have, and how much larger rows are in memory than in files.
-BROADCAST_LIMIT = 128 * 1024 * 1024
-DECODED = 4
-
-# Nodes that can make more rows than they read: the planner's size says little above them.
-_GROWS = re.compile(r"\b(Generate|Expand|Union|Sample|Join|Range|Python|Pandas|Arrow|FlatMap\w*|MapElements)\b")
-
-
-def plan_bytes(df: DataFrame) -> int | None:
-    """Decoded size of a plan, estimated from the files it scans; None where it cannot be told.
-
-    Unknown when the plan cannot be reached, and when it can make rows: after an explode or a join the planner's
-    figure may be far too small.
-    """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        if _GROWS.search(str(plan.toString())):
-            return None
-        return DECODED * int(str(plan.stats().sizeInBytes()))
-    except (AttributeError, TypeError):
-        return None
+#: Rows that a side with a proven bound may have to be broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def guarded_join(
-    fact: DataFrame, dim: DataFrame, on, how: str = "left", max_bytes: int = BROADCAST_LIMIT
+    fact: DataFrame, dim: DataFrame, on, how: str = "left", rows: int | None = None, max_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """Broadcast ``dim`` only when its decoded size is known and within ``max_bytes``.
+    """Broadcast ``dim`` only where the caller proves that it has at most ``rows`` rows, and these are within ``max_rows``.
 
-    Beyond it, or when the size is not known, the join stays unhinted: it shuffles, and AQE
-    may still broadcast from measured sizes or split a key that holds a large part of ``fact``.
+    A bound follows from how a side is made: a limit, a fixed list, one row per value of a bounded list, or a count of
+    a stored table. Without one, or beyond the limit, the join carries no hint: the planner broadcasts by the size of
+    the files it reads, and AQE by measured sizes; else it shuffles, and AQE splits a key that holds a large part of ``fact``.
     """
-    size = plan_bytes(dim)
-    if size is not None and size <= max_bytes:
+    if rows is not None and rows <= max_rows:
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 
@@ -129,10 +111,10 @@ def scd2_asof_join(
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """Physical plan text as ``explain`` prints it."""
-    jvm = df.sparkSession._jvm
-    return df._jdf.queryExecution().explainString(
-        jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
-    )
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain(mode=mode)
+    return out.getvalue()
 
 
 def explain_has(df: DataFrame, text: str) -> bool:

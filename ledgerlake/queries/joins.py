@@ -17,14 +17,15 @@ def join_broadcast_left(spark, sf):
         F.col("c_custkey").alias("o_custkey"), "c_name"
     )
     o = v.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    return joins.guarded_join(o, c, "o_custkey").drop("o_custkey")
+    return joins.guarded_join(o, c, "o_custkey", rows=c.count()).drop("o_custkey")
 
 
 @query("join_size_guarded", "select l_orderkey, l_linenumber, l_quantity, o_orderstatus from lineitem left join orders on l_orderkey=o_orderkey")
 def join_size_guarded(spark, sf):
     li = v.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
     o = v.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus")
-    return joins.guarded_join(li, o, "l_orderkey", "left", max_bytes=0)  # beyond the limit: shuffle join
+    # a stored table's rows are known from its files; beyond the limit the join goes without a hint
+    return joins.guarded_join(li, o, "l_orderkey", "left", rows=o.count(), max_rows=1000)
 
 
 @query(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..plans import gold, silver
 from ..sources.readers import stream_files
 from ..sources.scratch import scratch_dir
+from ..streaming import corrections, velocity
 from ..streaming import trades as st
 from . import views as v
 from .golds import INTRADAY, RANKING, STREAM_FRAUD, VOLUME
@@ -67,6 +68,27 @@ def stream_enrich(spark, sf):
     return _ntz(spark.read.parquet(out), "timestamp")
 
 
+@query(
+    "stream_continuous",
+    f"""select timestamp, ticker, preco, quantidade, tipo, 'Corretora' as corretora, cast(id_transacao as varchar) as id_transacao, valor_total from v_trades""",
+)
+def stream_continuous(spark, sf):
+    """An always-on named stream: it runs on a timer, is stopped by name, and goes on with new files on its checkpoint."""
+    land, out, ckpt = scratch_dir(spark, "capture"), scratch_dir(spark, "stream_silver"), scratch_dir(spark, "ckpt")
+    captured = envelopes(spark, sf)
+    name = f"trades_{ckpt[-8:]}"
+    for part in range(2):
+        half = captured.where(F.pmod(F.xxhash64("Body"), F.lit(2)) == part)
+        half.repartition(4).write.mode("append").parquet(land)
+        raw = stream_files(spark, land, captured.schema, max_files=2)
+        running = st.run_trades_stream(raw, out, ckpt, STAMP, "1 second", name)
+        running.processAllAvailable()
+        if not st.stop_named(spark, name):
+            raise RuntimeError(f"the stream {name} does not run")
+    rows = spark.read.parquet(out).select("timestamp", "ticker", "preco", "quantidade", "tipo", "corretora", "id_transacao", "valor_total")
+    return _ntz(rows, "timestamp")
+
+
 @query(
     "stream_foreach_batch",
     f"""select 'anomalias' as tabela, ticker, hora, zscore_intraday as medida, tipo_anomalia as rotulo from ({INTRADAY}) a
@@ -164,6 +186,40 @@ def stream_late_data(spark, sf):
     return _ntz(spark.read.schema(agg.schema).parquet(out), "inicio", "fim")
 
 
+@query(
+    "stream_late_corrected",
+    f"""select event_type, date_trunc('hour',ts)::timestamp as inicio, date_trunc('hour',ts)::timestamp+interval 1 hour as fim,
+  2 * count(*) filter (ts < timestamp '2024-01-01 01:00:00') + count(*) filter (ts >= timestamp '2024-01-01 01:00:00') as eventos,
+  {dsum("value * case when ts < timestamp '2024-01-01 01:00:00' then 2 else 1 end")} as valor_total,
+  count(*) filter (ts < timestamp '2024-01-01 01:00:00') as atrasados,
+  count(*) filter (ts < timestamp '2024-01-01 01:00:00') > 0 as reaberta from events group by 1,2,3""",
+)
+def stream_late_corrected(spark, sf):
+    """The last file repeats the first hour, weeks behind the watermark: its rows are kept and correct closed windows."""
+    out = scratch_dir(spark, "corrected")
+    schema = v.table(spark, sf, "events").schema
+    raw = stream_files(spark, land_by_week(spark, sf), schema, max_files=1)
+    st.drain(corrections.corrected_windows(raw, "event_type", "ts", "value", out, scratch_dir(spark, "ckpt")))
+    partial = corrections.partial_schema(raw, "event_type")
+    corrections.compact_partials(spark, f"{out}/parciais", partial, lambda rows: corrections.merge_windows(rows, "event_type"))
+    return _ntz(corrections.windows_so_far(spark, out, partial, "event_type"), "inicio", "fim")
+
+
+@query(
+    "stream_velocity",
+    """select event_id, user_id, count(*) over (partition by user_id order by ts range between interval 600 seconds preceding and current row) as eventos_janela,
+  count(*) over (partition by user_id order by ts range between interval 600 seconds preceding and current row)>=2 as alerta_velocidade from events""",
+)
+def stream_velocity(spark, sf):
+    """The velocity rule while events arrive, in files by time: state by key, removed by timers."""
+    out = scratch_dir(spark, "velocity")
+    raw = stream_files(spark, land_by_week(spark, sf, late=False), v.table(spark, sf, "events").schema, max_files=1)
+    raw = raw.select("event_id", "user_id", "ts")
+    rows = velocity.stream_velocity(raw, "user_id", "ts", 600, 2).drop("ts")
+    st.drain(st.stream_to_table(rows, out, scratch_dir(spark, "ckpt")))
+    return spark.read.schema(rows.schema).parquet(out)
+
+
 @query("stream_dedup", "select event_id, event_type, value from events")
 def stream_dedup(spark, sf):
     """Every event is landed twice; ids seen within the delay are dropped."""

@@ -5,6 +5,8 @@ Checkpoints and outputs are never removed here: a restart continues where it sto
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Callable
 from typing import Any
 
@@ -238,10 +240,13 @@ def progress_rows(query: StreamingQuery) -> DataFrame:
 
 
 class StreamMetrics(StreamingQueryListener):
-    """Listener that appends one row per finished micro-batch to a metrics path."""
+    """Listener that keeps one row per finished micro-batch and appends them to a metrics path, ``every`` at a time."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, every: int = 500):
+        self.spark, self.path, self.every = spark, path, every
+        self.rows: list[tuple] = []
+        self.last: dict[str, int] = {}
+        self.lock = threading.Lock()
 
     def onQueryStarted(self, event):
         pass
@@ -252,13 +257,33 @@ class StreamMetrics(StreamingQueryListener):
             p.name or str(p.id), p.batchId, p.timestamp, p.numInputRows,
             float(p.processedRowsPerSecond or 0.0), p.durationMs.get("triggerExecution", 0),
         )
-        self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+        with self.lock:
+            self.rows.append(row)
+            self.last[str(p.runId)] = p.batchId
+            full = len(self.rows) >= self.every
+        if full:
+            self.flush()
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        self.flush()
+
+    def flush(self) -> None:
+        with self.lock:
+            rows, self.rows = self.rows, []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def wait_for(self, query: StreamingQuery, seconds: float = 60.0) -> None:
+        """Until the last batch of a finished query has been told; progress comes after the batch."""
+        last = query.lastProgress
+        until = time.monotonic() + seconds
+        while last is not None and self.last.get(str(query.runId), -1) < last["batchId"]:
+            if time.monotonic() > until:
+                raise TimeoutError(f"no progress of batch {last['batchId']} within {seconds} s")
+            time.sleep(0.05)
 
 
 def drain_recorded(start: Callable[[], StreamingQuery], spark: SparkSession, path: str) -> DataFrame:
@@ -266,9 +291,8 @@ def drain_recorded(start: Callable[[], StreamingQuery], spark: SparkSession, pat
     listener = StreamMetrics(spark, path)
     spark.streams.addListener(listener)
     try:
-        drain(start())
-        # progress events are delivered after the batch: wait for the last one
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        listener.wait_for(drain(start()))
     finally:
         spark.streams.removeListener(listener)
+        listener.flush()
     return spark.read.schema(PROGRESS).parquet(path)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import windows
 from ledgerlake.plans import gold
 from ledgerlake.sources.readers import stream_files
+from ledgerlake.streaming import corrections, velocity
 from ledgerlake.streaming import trades as st
 
 STAMP = "2024-01-01T00:00:00"
@@ -165,3 +166,58 @@ def test_metrics_listener(spark, tmp_path):
         assert total == 2
     finally:
         spark.streams.removeListener(listener)
+
+
+def land(spark, path, items, schema="id int, k string, ts timestamp, value double"):
+    stamped = [(i, k, None if at is None else dt.datetime(2024, 1, 1) + dt.timedelta(seconds=at), x) for i, k, at, x in items]
+    spark.createDataFrame(stamped, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def drained(spark, path, start):
+    raw = stream_files(spark, path, "id int, k string, ts timestamp, value double", max_files=1)
+    return st.drain(start(raw))
+
+
+def test_velocity_equals_batch_and_state_is_given_back(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
+    first = [(1, "a", 0, 1.0), (2, "a", 5, 1.0), (3, "b", 5, 1.0), (4, "a", 5, 1.0), (5, None, 6, 1.0), (6, "a", None, 1.0)]
+    land(spark, src, first)
+    land(spark, src, [(7, "a", 12, 1.0), (8, "b", 500, 1.0), (9, "a", 11, 1.0)])
+    start = lambda raw: st.stream_to_table(velocity.stream_velocity(raw, "k", "ts", 10, 2, "1 minute"), out, ckpt)
+    drained(spark, src, start)
+    # in a later run, from the same checkpoint: the state of "b" still counts, that of "a" is gone
+    land(spark, src, [(10, "b", 505, 1.0), (11, "z", 5000, 1.0)])
+    done = drained(spark, src, start)
+    got = rows(spark.read.parquet(out).select("id", "eventos_janela", "alerta_velocidade"))
+    events = spark.read.parquet(src)
+    assert got == rows(windows.velocity_flag(events, "k", "ts", 10, 2).select("id", "eventos_janela", "alerta_velocidade"))
+    assert done.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1  # only "z"
+
+
+def test_late_rows_correct_closed_windows(spark, tmp_path):
+    src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
+    land(spark, src, [(1, "a", 0, 1.5), (2, "a", 3599, None), (3, "b", 10, 2.0)])
+    land(spark, src, [(4, "a", 4 * 3600, 1.0), (5, None, 4 * 3600, 1.0), (6, "a", None, 9.0)])
+    land(spark, src, [(7, "a", 60, 0.25), (8, "b", 3 * 3600, 4.0)])
+    start = lambda raw: corrections.corrected_windows(raw, "k", "ts", "value", out, ckpt)
+    drained(spark, src, start)
+    events = spark.read.parquet(src)
+    schema = corrections.partial_schema(events, "k")
+    want = rows(events.where("ts is not null").groupBy("k", F.window("ts", "1 hour")["start"].alias("inicio")).agg(
+        F.count("*").alias("eventos"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 2).alias("valor_total")
+    ))
+    read = lambda: corrections.windows_so_far(spark, out, schema, "k")
+    assert rows(read(), "k", "inicio", "eventos", "valor_total") == want
+    # the row of minute 1 reopens a window; the one of 3:00 is not behind the watermark
+    assert [tuple(r) for r in read().where("reaberta").select("k", "eventos", "atrasados").collect()] == [("a", 3, 1)]
+    assert [r["id"] for r in spark.read.parquet(f"{out}/atrasadas").collect()] == [7]
+    # compacted, then one more batch, then compacted again: always the same windows
+    merge = lambda df: corrections.merge_windows(df, "k")
+    assert corrections.compact_partials(spark, f"{out}/parciais", schema, merge) == 2
+    assert rows(read(), "k", "inicio", "eventos", "valor_total") == want
+    land(spark, src, [(9, "b", 20, 1.0)])
+    drained(spark, src, start)
+    assert corrections.compact_partials(spark, f"{out}/parciais", schema, merge) == 3
+    assert corrections.compact_partials(spark, f"{out}/parciais", schema, merge) == 3
+    assert [tuple(r)[3:7] for r in rows(read().where("k = 'b' and eventos = 2"))] == [(2, 1, True, 3.0)]
+    assert len(corrections.stored_partials(spark, f"{out}/parciais", schema).inputFiles()) >= 1
