@@ -246,7 +246,7 @@ class StreamMetrics(StreamingQueryListener):
         self.spark, self.path, self.every = spark, path, every
         self.rows: list[tuple] = []
         self.last: dict[str, int] = {}
-        self.lock = threading.Lock()
+        self.lock, self.writing = threading.Lock(), threading.Lock()
 
     def onQueryStarted(self, event):
         pass
@@ -271,10 +271,12 @@ class StreamMetrics(StreamingQueryListener):
         self.flush()
 
     def flush(self) -> None:
-        with self.lock:
-            rows, self.rows = self.rows, []
-        if rows:
-            self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
+        """Write what is kept; when it returns, whatever was kept before is written, by this call or another."""
+        with self.writing:
+            with self.lock:
+                rows, self.rows = self.rows, []
+            if rows:
+                self.spark.createDataFrame(rows, PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
 
     def wait_for(self, query: StreamingQuery, seconds: float = 60.0) -> None:
         """Until the last batch of a finished query has been told; progress comes after the batch."""
