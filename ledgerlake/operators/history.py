@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import presets
-from ..sources.tables import conform
+from ..sources.scratch import stage
+from ..sources.tables import conform, write_partitioned
 from .aggregates import table_counts
 from .joins import guarded_join
 
@@ -281,6 +283,52 @@ def erase_subject(
     return remaining, table_counts(removed).withColumnRenamed("registros", "removidos")
 
 
+def erase_in_place(spark: SparkSession, path: str, by: Sequence[str], key: str, keys: DataFrame) -> list[str]:
+    """Remove the subjects in ``keys`` from a table partitioned by ``by``, rewriting only partitions that hold one of them.
+
+    The files with a matching row name the partitions. Their remaining rows are written aside first, then take the place
+    of the partition, by dynamic overwrite where rows remain and as an empty folder where none do; every other file
+    stays as it is. A run that fails is repeated: rows are only ever replaced by a copy that is already whole. Returns the folders rewritten.
+    """
+    base = path.rstrip("/")
+    table = spark.read.option("basePath", base).parquet(base)
+    subjects = keys.select(key).distinct()
+    # names of folders: as many as partitions that are touched
+    placed = table.select(key, F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("folder"))
+    held = guarded_join(placed, subjects, [key], "left_semi").select("folder").distinct()
+    folders = sorted(r[0] for r in held.collect())
+    if not folders:
+        return []
+    touched = spark.read.schema(table.schema).option("basePath", base).parquet(*folders)
+    kept = stage(guarded_join(touched, subjects, [key], "left_anti"), "kept")
+    write_partitioned(kept.select(*table.columns), base, by)
+    remain = {r[0] for r in kept.select(F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in by])).distinct().collect()}
+    for folder in folders:
+        if not any(unquote(folder).endswith(f"/{name}") for name in remain):
+            kept.limit(0).drop(*by).write.mode("overwrite").parquet(unquote(folder) if folder.startswith("file:") else folder)
+    return folders
+
+
+def daily_states(hist: DataFrame, attr: str, since, until) -> DataFrame:
+    """(dia, attr, clientes): how many keys were in each state on every day in ``[since, until)``.
+
+    A version adds one to its state where it begins and takes one where it ends; running sums over the days give the
+    counts. No row is made per key and day: per state there are as many rows as days.
+    """
+    first, last = F.greatest(F.col(START), _date(since)), F.least(F.col(END), _date(until))
+    moves = hist.where((F.col(START) < _date(until)) & (F.col(END) > _date(since))).select(
+        F.col(attr), F.explode(F.array(F.struct(first.alias("dia"), F.lit(1).alias("n")), F.struct(last.alias("dia"), F.lit(-1).alias("n")))).alias("m")
+    )
+    sums = moves.groupBy(attr, F.col("m.dia").alias("dia")).agg(F.sum("m.n").alias("n"))
+    days = sums.groupBy(attr).agg(F.lit(None).alias("_none")).select(
+        attr, F.explode(F.sequence(_date(since), F.date_sub(_date(until), 1))).alias("dia")
+    )
+    grid = days.select(attr, "dia", F.lit(0).cast("bigint").alias("n")).unionByName(sums.where(F.col("dia") < _date(until)))
+    grid = grid.groupBy(attr, "dia").agg(F.sum("n").alias("n"))
+    running = Window.partitionBy(attr).orderBy("dia").rowsBetween(Window.unboundedPreceding, 0)
+    return grid.select("dia", attr, F.sum("n").over(running).alias("clientes")).where(F.col("clientes") > 0)
+
+
 def retain(df: DataFrame, date_col: str, days: int, asof) -> DataFrame:
     """Keep the last ``days`` up to ``asof``; on a partition column this only prunes folders."""
     oldest = dt.date.fromisoformat(str(asof)) - dt.timedelta(days=days)

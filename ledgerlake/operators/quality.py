@@ -9,10 +9,10 @@ import logging
 import time
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from typing import Any
+from typing import Any, NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import presets
@@ -20,6 +20,7 @@ from ..functions import count_where, dec_round, null_count, safe_div
 from ..sources.readers import validate_payload
 from ..sources.scratch import stage
 from ..sources.snapshots import write_snapshot
+from ..sources.tables import mark_written, path_exists
 from .joins import latest_slice
 
 log = logging.getLogger(__name__)
@@ -99,13 +100,17 @@ def check_allowed(df: DataFrame, col: str, values: Sequence[Any]) -> DataFrame:
     return df.agg(n.alias("invalidos"), (n == 0).alias("ok"))
 
 
-def run_checks(df: DataFrame, spec: Mapping[str, Mapping[str, Any]]) -> DataFrame:
-    """Report of the requested checks, one row each, in the order given.
+class _Plan(NamedTuple):
+    """Checks as aggregates over all rows, sums of these over keys, and the cells of the report."""
 
-    Known checks: completeness, schema_drift, uniqueness, nulls, row_count, range,
-    consistency (the last two take one mapping or a list). Others are only logged. With a
-    uniqueness check the rows are first combined per key, so it is still a single scan.
-    """
+    measures: dict[str, Column]
+    second: dict[str, Column]
+    cells: list[tuple[Column, ...]]
+    unique_on: list[str] | None
+    rows: str
+
+
+def _planned(df: DataFrame, spec: Mapping[str, Mapping[str, Any]]) -> _Plan:
     measures: dict[str, Column] = {}
     second: dict[str, Column] = {}
     cells: list[tuple[Column, ...]] = []
@@ -159,13 +164,27 @@ def run_checks(df: DataFrame, spec: Mapping[str, Mapping[str, Any]]) -> DataFram
                 cell(check, p["column"], bad, 0.0, bad == 0)
         else:
             log.warning("unknown check %s", check)
-    if unique_on:
-        per_key = df.groupBy(*unique_on).agg(*measures.values())
-        repeated = count_where(F.col(rows) > 1).alias("_repeated")
-        totals = per_key.agg(repeated, *second.values()).fillna(0)
+    return _Plan(measures, second, cells, unique_on, rows)
+
+
+_REPORT = ("verificacao", "coluna", "valor", "limite", "ok")
+
+
+def run_checks(df: DataFrame, spec: Mapping[str, Mapping[str, Any]]) -> DataFrame:
+    """Report of the requested checks, one row each, in the order given.
+
+    Known checks: completeness, schema_drift, uniqueness, nulls, row_count, range,
+    consistency (the last two take one mapping or a list). Others are only logged. With a
+    uniqueness check the rows are first combined per key, so it is still a single scan.
+    """
+    plan = _planned(df, spec)
+    if plan.unique_on:
+        per_key = df.groupBy(*plan.unique_on).agg(*plan.measures.values())
+        repeated = count_where(F.col(plan.rows) > 1).alias("_repeated")
+        totals = per_key.agg(repeated, *plan.second.values()).fillna(0)
     else:
-        totals = df.agg(*measures.values())
-    return _stack(totals, cells, ("verificacao", "coluna", "valor", "limite", "ok"))
+        totals = df.agg(*plan.measures.values())
+    return _stack(totals, plan.cells, _REPORT)
 
 
 def check_schema_problems(df: DataFrame, expected: Mapping[str, str]) -> list[str]:
@@ -194,6 +213,33 @@ def publish(df: DataFrame, path: str, ver, checks: Mapping[str, Mapping[str, Any
         df.unpersist()
 
 
+def publish_observed(df: DataFrame, path: str, ver, checks: Mapping[str, Mapping[str, Any]]) -> DataFrame:
+    """Write a new version once, check what was written while it was, and commit it if all checks hold.
+
+    The measures are gathered by the write itself, so the rows are neither kept nor computed twice. Only a check of
+    uniqueness reads again, and of the written files no more than the key. Without its success marker a folder is no
+    version: a table that fails leaves none, and the next attempt replaces it. Returns the report.
+    """
+    spark = df.sparkSession
+    dest = f"{path.rstrip('/')}/ver={ver}"
+    if path_exists(spark, f"{dest}/_SUCCESS"):
+        raise FileExistsError(f"version {dest} already exists")
+    plan = _planned(df, checks)
+    seen = Observation()
+    df.observe(seen, *plan.measures.values()).write.mode("overwrite").option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(dest)
+    values = seen.get
+    totals = spark.range(1).select(*[F.lit(values[name]).cast("double").alias(name) for name in plan.measures])
+    if plan.unique_on:
+        keys = spark.read.schema(df.schema).parquet(dest).groupBy(*plan.unique_on).agg(F.count("*").alias("_n"))
+        totals = totals.withColumn("_repeated", F.lit(keys.where("_n > 1").count()))
+    report = stage(_stack(totals, plan.cells, _REPORT), "report")
+    raise_on_fail(report)
+    mark_written(spark, dest)
+    return report
+
+
 def table_metrics(df: DataFrame, layer: str, table: str, asof: str, version: int = 0) -> DataFrame:
     """Rows, NULLs, duplicate rows and quality in percent from one scan.
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators import history, incremental
 from ..sources import snapshots
-from ..sources.scratch import stage
+from ..sources.scratch import scratch_dir, stage
+from ..sources.tables import write_partitioned
 from . import views as v
 from .registry import query
 from .views import FAR
@@ -180,3 +181,23 @@ def cdc_maintain(spark, sf):
         if result is not None:
             state, offsets = stage(result, "totals"), stage(offsets, "offsets")
     return state.withColumn("soma_ordens", F.col("soma_ordens").cast("long")).drop("n_ordens")
+
+
+@query("erase_in_place", "select o_orderkey, o_custkey, cast(year(o_orderdate) as int) as ano from orders where o_custkey not in (select c_custkey from customer where c_acctbal < -990)")
+def erase_in_place(spark, sf):
+    """A few subjects erased from a partitioned table: only the partitions that hold one are written again."""
+    path = scratch_dir(spark, "orders_by_year")
+    o = v.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("ano"))
+    write_partitioned(o, path, ["ano"])
+    gone = v.table(spark, sf, "customer").where("c_acctbal < -990").select(F.col("c_custkey").alias("o_custkey"))
+    history.erase_in_place(spark, path, ["ano"], "o_custkey", gone)
+    return spark.read.parquet(path)
+
+
+@query(
+    "scd2_daily_states",
+    """select dia, perfil_risco, count(*) as clientes from (select cast(unnest(generate_series(date '1996-11-01', date '1998-02-28', interval 1 day)) as date) as dia) d
+join v_hist on data_inicio <= dia and dia < data_fim group by 1, 2""",
+)
+def scd2_daily_states(spark, sf):
+    return history.daily_states(v.history(spark, sf), "perfil_risco", "1996-11-01", "1998-03-01")

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import presets
-from ..operators import quality
+from ..operators import profiles, quality, windows
 from ..operators.aggregates import pivot_series
 from ..plans import runlog
 from ..sources import snapshots
-from ..sources.scratch import scratch_dir
+from ..sources.scratch import scratch_dir, stage
 from . import views as v
 from .registry import query
 from .scans import PAYLOAD_CASES, payloads
@@ -311,3 +311,67 @@ def runlog_states(spark, sf):
 )
 def runlog_by_layer(spark, sf):
     return runlog.tasks_by_layer(v.run_log(spark, sf))
+
+
+PROFILED = ["l_quantity", "l_extendedprice", "l_partkey", "l_returnflag"]
+
+
+def _profile_merge_sql(c: str) -> str:
+    return f"""select '{c}' as coluna, count(*) as registros, count(*) filter ({c} is null) as nulos, true as minimo_ok, true as maximo_ok,
+  true as distintos_ok, true as mediana_ok from lineitem"""
+
+
+@query("profile_merge", " union all ".join(_profile_merge_sql(c) for c in PROFILED))
+def profile_merge(spark, sf):
+    """Profiles of every ship month, stored and merged without the rows, against exact figures of all rows."""
+    li = v.table(spark, sf, "lineitem").withColumn("mes", F.date_format("l_shipdate", "yyyy-MM"))
+    months = stage(profiles.profile_parts(li, PROFILED, "mes"), "profiles")
+    numbers = PROFILED[:3]
+    whole = profiles.read_profile(profiles.merge_profiles(months, numeric=numbers), [0.5])
+    exact, parts = [F.lit(1).alias("_one")], []
+    for c in PROFILED:
+        exact += [F.count_distinct(c).alias(f"d_{c}"), F.min(c).cast("string").alias(f"lo_{c}"), F.max(c).cast("string").alias(f"hi_{c}")]
+    # the share of rows below and up to the estimated median must enclose one half, within the error of ranks
+    medians = {r["coluna"]: r["q50"] for r in whole.select("coluna", "q50").collect()}  # one row per column
+    for c in numbers:
+        number = F.col(c).cast("double")
+        exact += [F.avg((number < medians[c]).cast("int")).alias(f"below_{c}"), F.avg((number <= medians[c]).cast("int")).alias(f"upto_{c}")]
+    facts = stage(li.agg(*exact), "facts")
+    for c in PROFILED:
+        row = whole.where(F.col("coluna") == c).withColumn("_one", F.lit(1)).join(facts, "_one")
+        off = F.abs(F.col("distintos_aprox") - F.col(f"d_{c}")) / F.col(f"d_{c}")
+        median = (
+            (F.col(f"below_{c}") <= 0.5 + 3 * profiles.RANK_ERROR) & (F.col(f"upto_{c}") >= 0.5 - 3 * profiles.RANK_ERROR) if c in numbers else F.lit(True)
+        )
+        parts.append(row.select(
+            "coluna", "registros", "nulos", (F.col("minimo") == F.col(f"lo_{c}")).alias("minimo_ok"), (F.col("maximo") == F.col(f"hi_{c}")).alias("maximo_ok"),
+            (off <= 4 * profiles.DISTINCT_ERROR).alias("distintos_ok"), median.alias("mediana_ok"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("drift_distribution", "select 1 as posicao, 'deslocado' as coluna, true as acima union all select 2, 'igual', false")
+def drift_distribution(spark, sf):
+    """A column that moved by a third of its range against one that did not, from sketches of two halves of the lines."""
+    li = v.table(spark, sf, "lineitem")
+    half = F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(2))
+    rows = li.select(half.alias("parte"), F.col("l_quantity").alias("igual"), (F.col("l_quantity") + half * 17).alias("deslocado"))
+    parts = stage(profiles.profile_parts(rows, ["igual", "deslocado"], "parte"), "profiles")
+    far = profiles.distribution_drift(parts.where("parte = 0"), parts.where("parte = 1"))
+    return windows.rank_by(far, [F.desc("ks"), F.asc("coluna")], "posicao").select("posicao", "coluna", ((F.col("ks") > 0.2) & (F.col("psi") > 0.2)).alias("acima"))
+
+
+@query("publish_observed", "select 1 as ver, count(*) as registros, sum(o_custkey) as soma from orders")
+def publish_observed(spark, sf):
+    """Checked while written: the good version counts, the bad one leaves none."""
+    path = scratch_dir(spark, "observed")
+    o = v.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    quality.publish_observed(o, path, 1, {
+        "completeness": {"required_columns": ["o_orderkey"]}, "uniqueness": {"key_column": "o_orderkey"}, "nulls": {"max_null_percentage": 0.0},
+        "row_count": {"min_rows": 1}, "range": {"column": "o_totalprice", "min_val": 0, "max_val": 10**9},
+    })
+    try:
+        quality.publish_observed(o, path, 2, {"consistency": {"column": "o_orderstatus", "allowed_values": ["F"]}})
+    except quality.DataQualityError:
+        pass
+    return snapshots.read_snapshots(spark, path).groupBy("ver").agg(F.count("*").alias("registros"), F.sum("o_custkey").alias("soma"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.history import retain
 from ..plans.silver import enrich_trades
-from ..sources import readers, snapshots, tables
+from ..sources import clustering, readers, snapshots, tables
 from ..sources.scratch import scratch_dir
 from . import views as v
 from .registry import query
@@ -277,6 +277,15 @@ def compact_cluster(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("zorder_cluster", "select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate from lineitem")
+def zorder_cluster(spark, sf):
+    """Lines clustered by part, supplier and date at once: every file covers a small box of all three."""
+    path = scratch_dir(spark, "zordered")
+    li = v.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    clustering.rewrite_zordered(li, path, ["l_partkey", "l_suppkey", "l_shipdate"], 16)
+    return spark.read.parquet(path)
+
+
 @query(
     "retention_filter",
     "select o_orderkey, o_totalprice from orders where cast(o_orderdate as date)>=date '2000-12-31' - interval 730 days",

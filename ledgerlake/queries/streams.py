@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import gold, silver
+from ..sources import evolving
 from ..sources.readers import stream_files
 from ..sources.scratch import scratch_dir
 from ..streaming import corrections, velocity
@@ -279,3 +280,17 @@ def stream_quarantine(spark, sf):
     kept = spark.read.parquet(good).select(F.lit("silver").alias("destino"), F.lit(None).cast("string").alias("motivo"))
     rejected = spark.read.parquet(bad).select(F.lit("quarentena").alias("destino"), "motivo")
     return kept.unionByName(rejected).groupBy("destino", "motivo").agg(F.count("*").alias("registros"))
+
+
+@query("stream_schema_rescue", "select event_id, user_id, value, case when event_id % 3 > 0 then event_type end as event_type, cast(null as varchar) as _resgatado from events")
+def stream_schema_rescue(spark, sf):
+    """A field that comes up while the stream runs is rescued, taken into the schema, and read back for all its rows."""
+    land, out, ckpt, schemas = (scratch_dir(spark, n) for n in ("json", "rescued", "ckpt", "schemas"))
+    evolving.store_schema(spark, schemas, "event_id bigint, user_id bigint, value double")
+    e = v.table(spark, sf, "events")
+    for part in range(3):  # without the field, with it before the schema knows it, and after
+        rows = e.where(F.col("event_id") % 3 == part).select("event_id", "user_id", "value", *(["event_type"] if part else []))
+        rows.select(F.to_json(F.struct("*")).alias("value")).write.mode("append").text(land)
+        st.drain(evolving.rescuing_stream(spark, land, out, ckpt, schemas))
+        evolving.evolve(spark, out, schemas)
+    return evolving.read_rescued(spark, out, schemas)

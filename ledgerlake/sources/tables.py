@@ -17,6 +17,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
 
 
+def mark_written(spark: SparkSession, path: str) -> None:
+    """Put the success marker into a folder: from then on it counts as written."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(hpath, True).close()
+
+
 def table_exists(spark: SparkSession, ref: str) -> bool:
     return path_exists(spark, ref) if is_path(ref) else spark.catalog.tableExists(ref)
 
