@@ -294,18 +294,18 @@ def erase_in_place(spark: SparkSession, path: str, by: Sequence[str], key: str,
     table = spark.read.option("basePath", base).parquet(base)
     subjects = keys.select(key).distinct()
     # names of folders: as many as partitions that are touched
-    placed = table.select(key, F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("folder"))
-    held = guarded_join(placed, subjects, [key], "left_semi").select("folder").distinct()
+    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("_folder")
+    held = guarded_join(table.select(key, folder), subjects, [key], "left_semi").select("_folder").distinct()
     folders = sorted(r[0] for r in held.collect())
     if not folders:
         return []
-    touched = spark.read.schema(table.schema).option("basePath", base).parquet(*folders)
-    kept = stage(guarded_join(touched, subjects, [key], "left_anti"), "kept")
+    # the engine names files as URIs
+    touched = spark.read.schema(table.schema).option("basePath", base).parquet(*map(unquote, folders))
+    kept = stage(guarded_join(touched.select("*", folder), subjects, [key], "left_anti"), "kept")
+    remain = {r[0] for r in kept.select("_folder").distinct().collect()}
     write_partitioned(kept.select(*table.columns), base, by)
-    remain = {r[0] for r in kept.select(F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in by])).distinct().collect()}
-    for folder in folders:
-        if not any(unquote(folder).endswith(f"/{name}") for name in remain):
-            kept.limit(0).drop(*by).write.mode("overwrite").parquet(unquote(folder) if folder.startswith("file:") else folder)
+    for emptied in sorted(set(folders) - remain):
+        kept.select(*[c for c in table.columns if c not in by]).limit(0).write.mode("overwrite").parquet(unquote(emptied))
     return folders
 
 

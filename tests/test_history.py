@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import history
 from ledgerlake.operators.joins import dedup_latest, scd2_asof_join
 from ledgerlake.sources.scratch import stage
+from ledgerlake.sources.tables import write_partitioned
 
 D1, D2, D3 = "2024-01-01", "2024-01-02", "2024-01-03"
 FAR = dt.date(9999, 12, 31)
@@ -207,3 +208,36 @@ def test_splice_replaces_a_day_and_leaves_other_keys(spark):
     ]
     with pytest.raises(history.DuplicateKeyError):
         history.scd2_splice(hist, make([(1, "a"), (1, "b")]), "cli", "2024-01-06")
+
+
+def test_erase_leaves_untouched_files(spark, tmp_path):
+    import os
+
+    path = str(tmp_path / "t")
+    data = [(i, y, z) for i in range(40) for y in (2020, 2021, 2022) for z in ("a b", None) if not (y == 2022 and i > 1)]
+    write_partitioned(spark.createDataFrame(data, "id int, ano int, zona string"), path, ["ano", "zona"])
+    times = lambda: {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    # subject 7 is in every year but 2022, subjects 0 and 1 are all of 2022: they go from one zone only
+    before = times()
+    gone = spark.createDataFrame([(99,), (None,)], "id int")
+    assert history.erase_in_place(spark, path, ["ano", "zona"], "id", gone) == [] and times() == before
+    history.erase_in_place(spark, path, ["ano", "zona"], "id", spark.createDataFrame([(7,), (7,)], "id int"))
+    after = times()
+    kept = {f: t for f, t in before.items() if "ano=2022" in f}
+    assert kept and kept.items() <= after.items() and not {f for f in before if "ano=2022" not in f} & set(after)
+    history.erase_in_place(spark, path, ["ano", "zona"], "id", spark.createDataFrame([(0,), (1,)], "id int"))
+    want = [r for r in data if r[0] not in (0, 1, 7)]
+    assert rows(spark.read.schema("id int, ano int, zona string").parquet(path), "id", "ano", "zona") == sorted(want, key=repr)
+
+
+def test_daily_states_equal_the_history_on_each_day(spark):
+    rng = random.Random(3)
+    seen = [(k, rng.choice(["a", "b", None]), f"2024-01-{day:02d}") for k in range(9) for day in (1, 4, 9) if rng.random() < 0.8]
+    hist = history.scd2_from_snapshots(spark.createDataFrame(seen, "cli int, v string, dia string").withColumn("dia", F.col("dia").cast("date")), "cli", ["v"], "dia")
+    hist = stage(hist, "h")
+    got = {(str(r["dia"]), r["v"]): r["clientes"] for r in history.daily_states(hist, "v", "2023-12-30", "2024-01-12").collect()}
+    want = {}
+    for day in ["2023-12-30", *[f"2024-01-{d:02d}" for d in range(1, 12)]]:
+        for r in history.scd2_at(hist, day).groupBy("v").count().collect():
+            want[day, r["v"]] = r["count"]
+    assert got == want

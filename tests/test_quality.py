@@ -1,5 +1,6 @@
 import pytest
 from frames import rows
+from pyspark.sql import functions as F
 
 from ledgerlake.operators import quality as q
 from ledgerlake.sources import snapshots
@@ -98,3 +99,30 @@ def test_monitor_survives_a_table_that_fails_while_running(spark):
     df = spark.createDataFrame([(1,)], "id int")
     bad = df.selectExpr("id / (id - 1) as x")  # division by zero when executed
     assert rows(q.monitor_all({"a.bad": bad, "a.x": df}, "2024-01-01"), "tabela") == [("x",)]
+
+
+def test_publish_observed_commits_only_what_passes(spark, tmp_path):
+    path, made = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+    good = spark.createDataFrame([(1, "a", 2.0), (2, "b", None)], "id int, k string, x double")
+    checks = {
+        "completeness": {"required_columns": ["id"]}, "uniqueness": {"key_column": "id"}, "row_count": {"min_rows": 2},
+        "nulls": {"max_null_percentage": 0.5}, "range": {"column": "x", "min_val": 0, "max_val": 5}, "consistency": {"column": "k", "allowed_values": ["a", "b"]},
+    }
+
+    def counting(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    report = q.publish_observed(good.mapInPandas(counting, good.schema), path, 1, checks)
+    assert made.value == 2  # computed once
+    assert rows(report) == rows(q.run_checks(good, checks))
+    assert snapshots.list_versions(spark, path) == ["1"] and snapshots.read_current(spark, path).count() == 2
+    for bad in (good.union(good), good.limit(0), good.withColumn("k", F.lit("z")), good.withColumn("x", F.lit(9.0))):
+        with pytest.raises(q.DataQualityError):
+            q.publish_observed(bad, path, 2, checks)
+        assert snapshots.list_versions(spark, path) == ["1"]
+    q.publish_observed(good, path, 2, checks)  # takes the place of the failed attempts
+    assert snapshots.list_versions(spark, path) == ["1", "2"] and snapshots.read_current(spark, path).count() == 2
+    with pytest.raises(FileExistsError):
+        q.publish_observed(good, path, 2, checks)
