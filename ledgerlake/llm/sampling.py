@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import arrow_map
+from .base import arrow_map, release
 
 #: A sample holds at most so many bytes of text of each label.
 LABEL_BYTES = 24 << 20
@@ -52,6 +52,7 @@ def fitted_on_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, t
                 if room[y] >= 0:
                     texts.append(text)
                     ys.append(y)
+        release()  # what tasks before this one left
         model = fit(texts, ys, share)
         values = [getattr(model, f.name) for f in fields(model)]
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(values)], pa.binary())], names=["model"])

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -170,38 +171,46 @@ def fit(texts: list[bytes], labels: list[int], share: float, bits: int = BITS, e
     types: dict[bytes, int] = {}
     docs = []
     for text in texts:
-        rows = [types.setdefault(w, len(types)) for w in tokens_of(text)]
-        docs.append(np.array(rows, dtype=np.int64))
-    stop = np.array([w.endswith(_STOPS) for w in types], dtype=bool)
-    hashed = [np.array([h & (size - 1) for h in parts_of(w)], dtype=np.int64) for w in types]
-    real = np.array([len(h) > 0 for h in hashed], dtype=bool)
+        docs.append(np.array([types.setdefault(w, len(types)) for w in tokens_of(text)], dtype=np.int32))
+    n_types = len(types)
+    stop = np.fromiter((w.endswith(_STOPS) for w in types), dtype=bool, count=n_types)
+    flat, number = array("I"), array("B")
+    for word in types:
+        found = parts_of(word)
+        flat.extend([h & (size - 1) for h in found])
+        number.append(len(found))
+    del types
+    parts, number = np.array(flat, dtype=np.int32), np.array(number, dtype=np.int64)
+    del flat
+    real, begin = number > 0, np.concatenate([[0], np.cumsum(number)])
+    kind = np.repeat(np.arange(n_types, dtype=np.int32), number)
     # of each label every fourth text is kept for the curve
     y = np.array(labels, dtype=float)
     later = np.zeros(len(docs), dtype=bool)
     for value in (0, 1):
         later[np.flatnonzero(y == value)[3::4]] = True
-    begin = np.concatenate([[0], np.cumsum([len(h) for h in hashed])])
-    parts = np.concatenate([np.zeros(0, dtype=np.int64), *hashed])
-    kind = np.repeat(np.arange(len(types)), np.diff(begin))
     # a part must occur in several sample texts
     seen = np.zeros(size, dtype=np.int64)
     for rows in (docs[i] for i in np.flatnonzero(~later)):
         own = np.unique(rows)
-        if len(own):
-            seen[np.unique(np.concatenate([hashed[i] for i in own]))] += 1
+        each = number[own]
+        ends = np.cumsum(each)
+        at = np.arange(int(each.sum())) + np.repeat(begin[own] - ends + each, each)
+        seen[np.unique(parts[at])] += 1
     kept = seen[parts] >= LEAST_TEXTS
     parts, kind = parts[kept], kind[kept]
 
     lines = []  # per text: the number of its sentences, and each distinct word of each of them
-    for rows in docs:
-        own, word, owner = sets_of(rows, np.array([len(rows)]), stop, real)
-        lines.append((len(owner), own, word))
+    for i, rows in enumerate(docs):
+        own, word, owner = sets_of(rows.astype(np.int64), np.array([len(rows)]), stop, real)
+        lines.append((len(owner), own.astype(np.int32), word.astype(np.int32)))
+        docs[i] = _NONE  # no longer needed, and large together
 
     def logits_of(chosen):
         sizes = np.array([lines[i][0] for i in chosen], dtype=np.int64)
         own = np.concatenate([_NONE, *[lines[i][1] + at for i, at in zip(chosen, np.cumsum(sizes) - sizes)]])
         word = np.concatenate([_NONE, *[lines[i][2] for i in chosen]])
-        by_type = np.bincount(kind, weights=w[parts], minlength=len(types))
+        by_type = np.bincount(kind, weights=w[parts], minlength=n_types)
         logits = bias + np.bincount(own, weights=by_type[word], minlength=int(sizes.sum()))
         return logits, own, word, np.repeat(np.arange(len(chosen)), sizes)
 
@@ -225,7 +234,7 @@ def fit(texts: list[bytes], labels: list[int], share: float, bits: int = BITS, e
             # d loss / d logit of a sentence: p for label 0, -(1 - doc) p / doc for label 1
             pull = np.where(y[chosen] == 1, -(1 - doc) / np.maximum(doc, 1e-9), 1.0) * weight[chosen]
             g_sentence = pull[owner] * p / len(chosen)
-            g_type = np.bincount(word, weights=g_sentence[own], minlength=len(types))
+            g_type = np.bincount(word, weights=g_sentence[own], minlength=n_types)
             g = np.bincount(parts, weights=g_type[kind], minlength=size) + ridge * w
             gb = g_sentence.sum()
             step += 1
