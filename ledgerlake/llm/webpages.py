@@ -6,7 +6,8 @@ numbers (length, share of linked text, place). A bidirectional LSTM in numpy rea
 block, so a block is judged with all others of its page in view.
 
 The network is trained here, on a bounded sample of pages: blocks inside ``article`` or ``main`` elements (not in
-a nested menu, form, sidebar or the like) are text, others are not. Pages carry few layouts, so each sampled page is also
+a nested menu, form, sidebar or the like, nor in a part whose class or id names an advert, comments, a notice) are text,
+others are not. Pages carry few layouts, so each sampled page is also
 laid out anew: its own text in other containers, with menus, headers, sidebars, notices, adverts, forms and comments of other
 classes around it, labels known by construction.
 
@@ -53,6 +54,11 @@ CLOSES_P = BLOCK_TAGS - OMITTED - {"body", "html", "head", "optgroup", "title"}
 #: An opening tag of the key ends an open element of the same group in the nearest list or table.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol menu dl table tbody thead tfoot article section div main body nav aside".split())
+#: Words of classes and ids of parts inside an article that are not its text.
+NOT_TEXT_NAMES = frozenset(
+    "ad ads adsbygoogle advert adverts advertisement banner breadcrumb breadcrumbs comment commentlist comments consent cookie disqus "
+    "menu navbar newsletter notice pagination promo related share sharing sidebar social sponsored subscribe".split()
+)
 NOT_TEXT = frozenset("nav aside footer header form menu search dialog".split())
 
 _TOKEN = re.compile(
@@ -164,9 +170,9 @@ def blocks(page: str) -> list[Block]:
 
 
 def is_text(path: tuple[str, ...]) -> bool:
-    """The rule behind the training labels: inside article or main, and in no part that is never text."""
+    """The rule behind the training labels: inside article or main, and in no part that is never text by tag or by name."""
     inside = max((i for i, m in enumerate(path) if m in ("article", "main")), default=-1)
-    return inside >= 0 and not any(m in NOT_TEXT for m in path[inside:])
+    return inside >= 0 and not any(m in NOT_TEXT or m[0] in ".#" and m[1:] in NOT_TEXT_NAMES for m in path[inside:])
 
 
 def _vector(key: str, size: int) -> np.ndarray:
@@ -451,7 +457,7 @@ def laid_out_anew(text: list[str], other: list[str], rng) -> tuple[str, list[int
         labels += [0] * n
     opening, closing = TEXT_BOXES[rng.integers(len(TEXT_BOXES))]
     page.append(opening)
-    inner = rng.random() < 0.3
+    inner = rng.random() < 0.5
     for k, block in enumerate(text):
         tag = ("h1" if rng.random() < 0.7 else "h2") if k == 0 else ("p", "p", "p", "p", "blockquote", "li", "h2", "pre", "div")[rng.integers(9)]
         page.append(f"<{tag}>{escape(block)}</{tag}>")
@@ -469,13 +475,13 @@ def laid_out_anew(text: list[str], other: list[str], rng) -> tuple[str, list[int
 
 
 def train(pages: DataFrame, html: str = "html", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES, seed: int = 9) -> Net | None:
-    """Fit on ``sample`` pages of at most ``sample_bytes``, those with the smallest hash; None if none has an article."""
+    """Fit on ``sample`` different pages of at most ``sample_bytes``, those with the smallest hash; None if none has an article."""
     column = F.col(f"`{html}`")
     order = F.xxhash64(column, F.lit(9))
-    keys = pages.where(column.isNotNull() & (F.octet_length(column) <= sample_bytes)).select(order.alias("h")).orderBy("h").limit(sample)
-    chosen = pages.select(order.alias("h"), column.alias("page")).join(F.broadcast(keys.distinct()), "h").where(
+    keys = pages.where(column.isNotNull() & (F.octet_length(column) <= sample_bytes)).select(order.alias("h")).distinct().orderBy("h").limit(sample)
+    chosen = pages.select(order.alias("h"), column.alias("page")).join(F.broadcast(keys), "h").where(
         F.octet_length("page") <= sample_bytes
-    ).orderBy("h", "page").limit(sample)
+    ).groupBy("h").agg(F.min("page").alias("page")).orderBy("h")
     return fit_pages([r["page"] for r in chosen.select("page").collect()], seed)
 
 

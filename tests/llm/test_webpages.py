@@ -97,6 +97,45 @@ def test_other_layouts(spark, sf):
     assert total > 300 and wrong / total < 0.03
 
 
+# Pages written by hand, with the text that a reader would take from them.
+PAGES = [
+    (
+        """<html><head><title>Site</title><style>p{}</style></head><body><nav><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul></nav>
+<div class="ad">Buy the new chair today.</div><article><h1>Rain over the hills</h1><p>The rain came in the morning, and it stayed
+all day.</p><div class="ad">Cheap umbrellas, only this week.</div><p>People in the valley said that they had seen
+worse&nbsp;&mdash; much worse.</p><section class="comments"><p>I was there, it was wet.</p><p>Nice photos!</p></section></article>
+<footer><p>All rights reserved.</p></footer></body></html>""",
+        "Rain over the hills\nThe rain came in the morning, and it stayed all day.\nPeople in the valley said that they had seen worse \u2014 much worse.",
+    ),
+    (
+        """<html><body><header class="site-header"><a href=/>Daily</a> <a href=/s>Sport</a></header><main><article class="story"><h2>A long match</h2>
+<div class="cookie-notice"><p>We use cookies, please agree to them.</p></div><p>The match went on for five hours, with two breaks.</p>
+<blockquote>We never gave up, said the captain.</blockquote><p>The next one is on Sunday.</p><div id="comments"><div class="comment">First!</div>
+<div class="comment">What a match, well played by both.</div></div></article></main><aside><p>Read this too: the best ten matches.</p></aside></body></html>""",
+        "A long match\nThe match went on for five hours, with two breaks.\nWe never gave up, said the captain.\nThe next one is on Sunday.",
+    ),
+    (
+        """<!DOCTYPE html><html><body><nav><a href=/a>One</a><a href=/b>Two</a></nav><article><h1>Bread &amp; salt</h1><p>Take flour, water and
+salt; mix them well.<p>Let the dough rest, then bake it for an hour.<div class="newsletter subscribe"><p>Get our letter every week.</p></div>
+<p>It keeps for three days.</article><form class="search"><p>Search the site</p></form><footer>About us. Imprint.</footer></body></html>""",
+        "Bread & salt\nTake flour, water and salt; mix them well.\nLet the dough rest, then bake it for an hour.\nIt keeps for three days.",
+    ),
+]
+
+
+def test_pages_written_by_hand(spark, sf):
+    net = k.train(spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/pages.parquet"))
+    for page, want in PAGES:
+        assert "\n".join(b.text for b in k.blocks(page) if k.is_text(b.path)) == want
+        assert k.extract(net, [page], {}) == [want]
+
+
+@pytest.mark.parametrize("part", ['<div class="ad">x y</div>', '<section class="comments"><p>x y</p></section>', '<p id="cookie-notice">x y</p>'])
+def test_named_parts_are_not_taught_as_text(part):
+    found = k.blocks(f"<article><p>a b</p>{part}<p>c d</p></article>")
+    assert [b.text for b in found if k.is_text(b.path)] == ["a b", "c d"] and len(found) == 3
+
+
 def test_odd_rows(spark, frame):
     rows = [(1, None), (2, ""), (2, ""), (None, "<article><p>a</p></article>" * 2), (3, "<p>" * 3000 + "deep"), (4, "<article>" + "<p>w x y</p>" * 5000)]
     pages = frame(rows, ("page_id", "html"))
