@@ -8,9 +8,12 @@ its segments have added and that plus the most that levels not yet read can add;
 below the k-th best lower end are out. Reading stops when the rest is small enough to be scored exactly (or nothing
 is left to read); every row still possible is then scored from its integers, so results are exact.
 
+Each query carries a floor, the k-th best of its exact scores in one block: the k best of all rows reach it, so a block
+none of whose rows can is refused from its bounds alone, and rows below it leave no task.
+
 Queries against all rows: query blocks meet index blocks in an equi-join on shelves (index blocks are dealt to
 shelves, query blocks copied to each). A pair of blocks is the unit of work and memory; k rows per query leave it and
-meet in a top-k window. Neither rows nor queries are broadcast.
+meet in a top-k window. Of rows only that one block is broadcast, and no queries.
 
 Vectors that are NULL or hold NULL or non-finite components take no part. Shorter vectors count as padded with zeros.
 Repeated rows are rows of their own: a query is only kept from meeting its own row. A NULL id is never a
@@ -25,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .base import arrow_map, stage
+from .base import arrow_map, held, share, stage
 
 SCALE = 1024
 LEVELS = 128
@@ -119,6 +122,8 @@ class Index:
         use = np.flatnonzero(query)
         size = np.abs(query[use])
         constant = int(np.where(query > 0, query * self.low, query * self.high).sum())
+        if constant + int((size * (self.high - self.low)[use]).sum()) < floor:
+            return np.zeros(0, dtype=np.int64)  # no row of the block can reach the floor
         negative = (query[use] < 0).astype(np.int64)
         counts = np.where(negative[:, None] == 0, self.sizes[0][use], self.sizes[1][use])
         # rows above a level come first in reading order
@@ -165,16 +170,53 @@ class Index:
         return alive
 
 
-def best_of_pair(index: Index, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, k: int):
-    """(query number, row number in the block, score) of the k best and of all tied with the k-th, for each query."""
+def floors_of(ints: np.ndarray, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, k: int) -> np.ndarray:
+    """For each query the k-th best score among these rows, its own left out: the k best of all rows reach it."""
+    if len(rows) <= k:
+        return np.full(len(queries), np.iinfo(np.int64).min)
+    dims = min(ints.shape[1], queries.shape[1])
+    scores = queries[:, :dims] @ ints[:, :dims].T
+    scores[query_rows[:, None] == rows[None, :]] = np.iinfo(np.int64).min
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+
+
+def with_floors(asked: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """``asked`` with ``q_floors``, from the first index block: one block, which goes to every task."""
+    first = index.orderBy("block").limit(1).select("rows", "dims", "ints").toArrow()
+    lists = [np.array(first.column(c)[0].as_py() if first.num_rows else [], dtype=np.int64) for c in ("rows", "ints")]
+    shared = share(asked, (lists[0], lists[1].reshape(len(lists[0]), -1) if len(lists[0]) else np.zeros((0, 0), np.int64)))
+
+    def run(batches):
+        rows, ints = held(shared)
+        for batch in batches:
+            floors = []
+            for q_rows, q_ints in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+                q_rows = np.array(q_rows, dtype=np.int64)
+                floors.append(floors_of(ints, rows, np.array(q_ints, dtype=np.int64).reshape(len(q_rows), -1), q_rows, k).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(floors, pa.list_(pa.int64()))], names=[*batch.schema.names, "q_floors"]
+            )
+
+    columns = [F.col(c).alias(f"q_{c}") for c in ("rows", "ids", "dims", "ints")]
+    schema = "q_rows array<bigint>, q_ids array<bigint>, q_dims int, q_ints array<bigint>, q_floors array<bigint>"
+    return arrow_map(asked.select(*columns), run, schema)
+
+
+def best_of_pair(index: Index, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, k: int, floors: np.ndarray | None = None):
+    """(query number, row number in the block, score) of the k best and of all tied with the k-th, for each query.
+
+    ``floors``: scores that the k best of all rows are known to reach; rows below are left out.
+    """
     where = {r: i for i, r in enumerate(rows.tolist())}
     dims = max(index.ints.shape[1], queries.shape[1])
     if queries.shape[1] < dims:
         queries = np.pad(queries, ((0, 0), (0, dims - queries.shape[1])))
     out = []
     for j, q in enumerate(queries[:, : index.ints.shape[1]]):
-        chosen = index.best(q, k, where.get(int(query_rows[j])))
+        floor = -np.inf if floors is None else int(floors[j])
+        chosen = index.best(q, k, where.get(int(query_rows[j])), floor)
         exact = index.ints[chosen] @ q
+        chosen, exact = chosen[exact >= floor], exact[exact >= floor]
         if len(chosen) > k:
             bar = np.partition(exact, len(exact) - k)[len(exact) - k]
             chosen, exact = chosen[exact >= bar], exact[exact >= bar]
@@ -193,7 +235,7 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
     index = stage(blocks_of(rows.select("row", "id", "vector"), block, True), "index")
     shelves = max(1, -(-index.count() // per_shelf))
     asked = blocks_of(rows.where("asks").select("row", "id", "vector"), QUERIES, False)
-    asked = stage(asked.select(*[F.col(c).alias(f"q_{c}") for c in ("rows", "ids", "dims", "ints")]), "queries")
+    asked = stage(with_floors(asked, index, k), "queries")
     pairs = index.withColumn("shelf", F.pmod(F.xxhash64("block"), F.lit(shelves))).join(
         asked.withColumn("shelf", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shelves - 1).cast("long")))), "shelf"
     )
@@ -210,7 +252,7 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
                     ints = numpy("ints")
                     known = Index(ints.reshape(-1, dims) if dims else ints.reshape(len(at["rows"].values), 0), numpy("orders"))
                 q_rows = numpy("q_rows")
-                number, doc, score = best_of_pair(known, numpy("rows"), numpy("q_ints").reshape(len(q_rows), -1), q_rows, k)
+                number, doc, score = best_of_pair(known, numpy("rows"), numpy("q_ints").reshape(len(q_rows), -1), q_rows, k, numpy("q_floors"))
                 q_ids, ids = at["q_ids"].values, at["ids"].values
                 yield pa.record_batch(
                     [pa.array(q_rows[number]), q_ids.take(pa.array(number)), ids.take(pa.array(doc)), pa.array(numpy("rows")[doc]), pa.array(score)],
@@ -218,7 +260,7 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
                 )
 
     found = arrow_map(
-        pairs.select("block", "rows", "ids", "dims", "ints", "orders", "q_rows", "q_ids", "q_dims", "q_ints"), run,
+        pairs.select("block", "rows", "ids", "dims", "ints", "orders", "q_rows", "q_ids", "q_dims", "q_ints", "q_floors"), run,
         "q_row bigint, query_id bigint, id bigint, row bigint, score bigint",
     )
     order = Window.partitionBy("q_row").orderBy(F.desc("score"), F.asc_nulls_last("id"), "row")
