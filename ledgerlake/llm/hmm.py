@@ -1,18 +1,19 @@
 """Hidden Markov language model over whole texts.
 
 A text is its words (ASCII letters lower-cased, split at ASCII white space) and one end token. The
-``head`` most frequent training tokens have emission parameters of their own; all other tokens share
-one class per state, inside which each token has its exact smoothed share of the training counts. The
-probabilities of all known tokens and of one slot for unknown ones sum to one in each state.
+``head`` most frequent training tokens have emission parameters of their own; the others are dealt by a hash into tail
+classes, whose number grows with the square root of theirs, and every state emits the classes as it does tokens. Inside a
+class each token has its exact smoothed share of the training counts, and one slot is for unknown ones. The
+probabilities of all known tokens and of the slots sum to one in each state.
 
 Work per step, all over whole tables:
 
 * token counts: partial counts in each task, one sum by token;
-* texts become rows of head ids, written once; rarer tokens of each text go beside them with their
+* texts become rows of ids (of head tokens and of classes), written once; rarer tokens of each text go beside them with their
   counts and meet the token table in a join (a rare token cannot be a hot key of the training side,
   and a text brings each token once);
 * each Baum-Welch pass sums expected counts inside a task and by token after it, so what reaches the
-  driver is one (head x states) table, however large the corpus is;
+  driver is one (head and classes x states) table;
 * scoring is one more pass with the scaled forward recursion, without approximation.
 
 NULL texts are empty (one end token). Repeated rows are scored one by one. Rows with a NULL id take
@@ -22,6 +23,7 @@ probability one.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -34,6 +36,8 @@ from .base import arrow_map, held, share, mix64, stage, text_chunks
 
 END = b" "  # no word holds white space
 HEAD = 1 << 16
+#: Tail classes for every unit of the square root of the number of tail tokens.
+TAIL = 4
 STATES = 8
 PASSES = 4
 #: Weight of the unigram prior in the emission of a state, in tokens.
@@ -46,7 +50,7 @@ COUNTED = 400_000
 
 @dataclass
 class Hmm:
-    """start (K), move (K x K), emit (head + 1 x K); the last row is the class of all other tokens."""
+    """start (K), move (K x K), emit (head and classes x K)."""
 
     start: np.ndarray
     move: np.ndarray
@@ -81,14 +85,14 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return arrow_map(texts.select("text"), run, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def encode(docs: DataFrame, head: list[bytes], key_type: str) -> DataFrame:
-    """Per row: ids of its tokens in order (len(head) for any other), and the other tokens with counts."""
+def encode(docs: DataFrame, head: list[bytes], classes: int, key_type: str) -> DataFrame:
+    """Per row: ids of its tokens in order (those of classes follow those of ``head``), and the other tokens with counts."""
     shared = share(docs, head)
     schema = f"row bigint, key {key_type}, learn boolean, ids array<int>, rare array<struct<token:binary,n:int>>"
 
     def run(batches):
         ids_of = {w: i for i, w in enumerate(held(shared))}
-        other, get = len(ids_of), ids_of.get
+        other, get, crc = len(ids_of), ids_of.get, zlib.crc32
         for batch in batches:
             for part, raw in text_chunks(batch, "text"):
                 flat: list[int] = []
@@ -96,10 +100,13 @@ def encode(docs: DataFrame, head: list[bytes], key_type: str) -> DataFrame:
                 for text in raw:
                     tokens = words(text)
                     tokens.append(END)
-                    ids = [get(w, other) for w in tokens]
+                    ids = [get(w, -1) for w in tokens]
+                    rare: Counter = Counter()
+                    if -1 in ids:
+                        rare.update([w for w, i in zip(tokens, ids) if i < 0])
+                        ids = [other + crc(w) % classes if i < 0 else i for w, i in zip(tokens, ids)]
                     flat += ids
                     ends.append(len(flat))
-                    rare = Counter([w for w, i in zip(tokens, ids) if i == other])
                     rare_tokens += rare
                     rare_counts += rare.values()
                     rare_ends.append(len(rare_tokens))
@@ -196,7 +203,7 @@ def expected(model: Hmm, ids, lengths, emitted: np.ndarray, moved: np.ndarray, s
 
 
 def baum_welch_counts(encoded: DataFrame, model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected emissions (K x head + 1), moves and starts over all rows that learn."""
+    """Expected emissions (K x head and classes), moves and starts over all rows that learn."""
     shared = share(encoded, model)
 
     def run(batches):
@@ -210,20 +217,20 @@ def baum_welch_counts(encoded: DataFrame, model: Hmm) -> tuple[np.ndarray, np.nd
                 any_row = True
                 expected(hmm, ids, lengths, emitted, moved, started, CHUNK)
         if any_row:
-            seen = np.flatnonzero(emitted.sum(axis=0) > 1e-6)
+            seen = np.flatnonzero(emitted.sum(axis=0))
             keys = np.concatenate([seen, -1 - np.arange(k + 1)]).astype(np.int32)
             values = np.concatenate([emitted[:, seen].T, moved, started[None, :]])
             for i in range(0, len(keys), 20_000):
                 yield pa.record_batch(
                     [pa.array(keys[i : i + 20_000]),
-                     *[pa.array(values[i : i + 20_000, j].astype(np.float32)) for j in range(k)]],
+                     *[pa.array(values[i : i + 20_000, j]) for j in range(k)]],
                     names=["key", *[f"s{j}" for j in range(k)]],
                 )
 
     k = len(model.start)
     cols = [f"s{j}" for j in range(k)]
-    parts = arrow_map(encoded.where("learn").select("ids"), run, "key int, " + ", ".join(f"{c} float" for c in cols))
-    table = parts.groupBy("key").agg(*[F.sum(F.col(c).cast("double")).alias(c) for c in cols]).toArrow()  # head + K + 2 rows at most
+    parts = arrow_map(encoded.where("learn").select("ids"), run, "key int, " + ", ".join(f"{c} double" for c in cols))
+    table = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in cols]).toArrow()  # head, classes and K + 1 rows at most
     shared.unpersist()
     keys = table.column("key").to_numpy()
     values = np.stack([table.column(c).to_numpy() for c in cols], axis=1) if len(keys) else np.zeros((0, k))
@@ -256,14 +263,13 @@ def reestimate(prior: np.ndarray, emitted, moved, started, weight: float) -> Hmm
     return Hmm((started + 1) / (started.sum() + k), (moved + 1) / (moved.sum(axis=1, keepdims=True) + k), emit)
 
 
-def score_ids(coded: DataFrame, model: Hmm, unigram: np.ndarray, key_type: str) -> DataFrame:
-    """Log10 likelihood and unigram sum of the head ids of every row; other tokens count as their class."""
-    shared = share(coded, (model, np.log10(unigram)))
+def score_ids(coded: DataFrame, model: Hmm, head_logs: np.ndarray, class_logs: np.ndarray, key_type: str) -> DataFrame:
+    """Log10 likelihood of the ids of every row less that of their classes, and the base sum of its head tokens."""
+    shared = share(coded, (model, np.append(head_logs, np.zeros(len(class_logs))), np.append(np.zeros(len(head_logs)), class_logs), len(head_logs)))
     schema = f"row bigint, key {key_type}, learn boolean, n_tokens bigint, n_head bigint, hmm double, base double"
 
     def run(batches):
-        hmm, logs = held(shared)
-        other = len(logs) - 1
+        hmm, logs, of_classes, other = held(shared)
         for batch in batches:
             ids, lengths = flat_ids(batch.column(3))
             if not len(lengths):
@@ -272,66 +278,101 @@ def score_ids(coded: DataFrame, model: Hmm, unigram: np.ndarray, key_type: str)
             for rows, timed, active, first in chunks(ids, lengths, CHUNK):
                 likelihood[rows] = forward(hmm, timed, active, first, keep=False)[0]
             begin = np.cumsum(lengths) - lengths
-            known = ids != other
-            base = np.add.reduceat(np.where(known, logs[ids], 0.0), begin)
+            likelihood -= np.add.reduceat(of_classes[ids], begin)
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(lengths),
-                 pa.array(np.add.reduceat(known.astype(np.int64), begin)), pa.array(likelihood), pa.array(base)],
+                 pa.array(np.add.reduceat((ids < other).astype(np.int64), begin)), pa.array(likelihood), pa.array(np.add.reduceat(logs[ids], begin))],
                 names=["row", "key", "learn", "n_tokens", "n_head", "hmm", "base"],
             )
 
     return arrow_map(coded.select("row", "key", "learn", "ids"), run, schema)
 
 
-def score(
-    docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", states: int = STATES, passes: int = PASSES,
-    head: int = HEAD, prior: float = PRIOR, seed: int = 11,
-) -> DataFrame:
-    """Train on the rows where ``learn`` holds and score every row.
+@dataclass
+class Trained:
+    """A fitted model with what scoring needs: the coded rows, the token counts, head tokens and the mass of classes."""
 
-    Returns key, learn, n_tokens, n_known (tokens seen in training), train_tokens, base_score (log10
-    of the add-one unigram probability) and score (log10 of the model's probability of the text).
-    ``head``, ``states`` and ``passes`` bound the model, not the data: every pass reads all rows.
-    """
+    rows: DataFrame
+    vocabulary: DataFrame
+    tokens: list[bytes]
+    counts: np.ndarray
+    mass: np.ndarray  # probability of every class, a slot for unknown tokens included
+    n_total: int
+    v_total: int
+    hmm: Hmm
+
+    @property
+    def scale(self) -> float:
+        """What counts + 1 are divided by in the model: every class has a slot for unknown tokens."""
+        return float(self.n_total + self.v_total + len(self.mass))
+
+    @property
+    def base_scale(self) -> float:
+        return float(self.n_total + self.v_total + 1)
+
+
+def train(
+    docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", states: int = STATES, passes: int = PASSES,
+    head: int = HEAD, prior: float = PRIOR, seed: int = 11, tail: int = TAIL,
+) -> Trained:
+    """Fit on the rows where ``learn`` holds; all rows are coded on the way."""
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{key}`").alias("key"),
         F.coalesce(learn, F.lit(False)).alias("learn"), F.col(f"`{text}`").alias("text"),
     )
-    key_type = rows.schema["key"].dataType.simpleString()
     vocabulary = stage(count_tokens(rows.where("learn")), "hmm-tokens")
     n_total, v_total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     top = vocabulary.orderBy(F.desc("n"), "token").limit(head).toArrow()  # at most ``head`` rows
     tokens, counts = top.column("token").to_pylist(), np.array(top.column("n").to_pylist(), dtype=np.float64)
-    scale = n_total + v_total + 1
-    # the last class: all other known tokens and one slot for unknown ones
-    p_other = (n_total - counts.sum() + v_total - len(tokens) + 1) / scale
-    unigram = np.append((counts + 1) / scale, p_other)
-
-    coded = stage(encode(rows, tokens, key_type), "hmm-ids")  # the row number is a stored value from here on
+    classes = max(1, int(tail * np.sqrt(v_total - len(tokens))))
+    # counts + 1 of the tail tokens of every class: of all tokens, less those of the head
+    sums = vocabulary.groupBy((F.crc32("token") % classes).cast("int").alias("c")).agg(F.sum(F.col("n") + 1).alias("n")).toArrow()
+    mass = np.ones(classes)
+    mass[sums.column("c").to_numpy()] += sums.column("n").to_numpy()
+    np.subtract.at(mass, np.array([zlib.crc32(t) % classes for t in tokens], dtype=np.int64), counts + 1)
+    scale = n_total + v_total + classes
+    unigram = np.append(counts + 1, mass) / scale
+
+    coded = stage(encode(rows, tokens, classes, rows.schema["key"].dataType.simpleString()), "hmm-ids")  # the row number is a stored value from here on
     model = first_model(unigram, states, seed)
     for _ in range(passes if n_total else 0):
         model = reestimate(unigram, *baum_welch_counts(coded, model), prior)
+    return Trained(coded, vocabulary, tokens, counts, mass / scale, int(n_total), int(v_total), model)
+
+
+def score(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """Train on the rows where ``learn`` holds and score every row; ``options`` as for ``train``.
 
+    Returns key, learn, n_tokens, n_known (tokens seen in training), train_tokens, base_score (log10
+    of the add-one unigram probability) and score (log10 of the model's probability of the text).
+    ``head``, ``states`` and ``passes`` bound the model, not the data: every pass reads all rows.
+    """
+    fitted = train(docs, learn, key, text, **options)
+    n = F.coalesce("n", F.lit(0)) + 1
     rare = (
-        coded.select("row", F.explode("rare").alias("r"))
+        fitted.rows.select("row", F.explode("rare").alias("r"))
         .select("row", F.col("r.token").alias("token"), F.col("r.n").alias("times"))
-        .join(vocabulary, "token", "left")
+        .join(fitted.vocabulary, "token", "left")
         .groupBy("row")
         .agg(
-            F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(scale)))).alias("rare_log"),
+            F.sum(F.col("times") * F.log10(n / F.lit(fitted.base_scale))).alias("rare_log"),
             F.sum("times").alias("n_rare"),
             F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
         )
     )
     zero = F.lit(0)
+    head_logs = np.log10((fitted.counts + 1) / fitted.base_scale)
+    key_type = fitted.rows.schema["key"].dataType.simpleString()
+    # a rare token's share is of the model's scale
+    other_scale = float(np.log10(fitted.base_scale / fitted.scale))
     return (
-        score_ids(coded, model, unigram, key_type)
+        score_ids(fitted.rows, fitted.hmm, head_logs, np.log10(fitted.mass), key_type)
         .join(rare, "row", "left")
         .select(
             F.col("key").alias(key), "learn", "n_tokens",
             (F.col("n_head") + F.coalesce("rare_known", zero)).alias("n_known"),
-            F.lit(n_total).cast("long").alias("train_tokens"),
+            F.lit(fitted.n_total).cast("long").alias("train_tokens"),
             (F.col("base") + F.coalesce("rare_log", zero)).alias("base_score"),
-            (F.col("hmm") + F.coalesce("rare_log", zero) - F.coalesce("n_rare", zero) * float(np.log10(p_other))).alias("score"),
+            (F.col("hmm") + F.coalesce("rare_log", zero) + F.coalesce("n_rare", zero) * other_scale).alias("score"),
         )
     )

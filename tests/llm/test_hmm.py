@@ -74,6 +74,50 @@ def test_counts_and_base_score(spark, frame):
         assert row["score"] < 0
 
 
+def test_score_against_a_plain_forward_recursion(spark, frame):
+    """Every token with its own emission, tail classes undone; and all emissions of a state sum to one."""
+    rng = np.random.default_rng(3)
+    vocabulary = [f"w{i}" for i in range(60)]
+    p = np.arange(60, 0, -1.0) ** 2
+    texts = [" ".join(rng.choice(vocabulary, size=rng.integers(0, 30), p=p / p.sum())) for _ in range(80)] + ["unseen w1 unseen new", None]
+    docs = frame(list(enumerate(texts)))
+    learn = F.col("doc_id") < 70
+    options = {"head": 12, "states": 3, "passes": 2, "prior": 20.0}
+    fitted = hmm.train(docs, learn, **options)
+    classes = len(fitted.mass)
+    assert classes > 10
+    counts = {bytes(r["token"]): r["n"] for r in fitted.vocabulary.collect()}
+    tail = [t for t in counts if t not in fitted.tokens]
+    mass = np.zeros(classes)
+    for t in tail:
+        mass[zlib.crc32(t) % classes] += (counts[t] + 1) / fitted.scale
+    assert mass + 1 / fitted.scale == pytest.approx(fitted.mass)
+
+    def emission(token):
+        if token in fitted.tokens:
+            return fitted.hmm.emit[fitted.tokens.index(token)]
+        c = zlib.crc32(token) % classes
+        return fitted.hmm.emit[12 + c] * ((counts.get(token, 0) + 1) / fitted.scale / fitted.mass[c])
+
+    slots = sum(fitted.hmm.emit[12 + c] / fitted.scale / fitted.mass[c] for c in range(classes))
+    assert sum(emission(t) for t in counts) + slots == pytest.approx(np.ones(3))
+    for r in hmm.score(docs, learn, **options).collect():
+        a, total = fitted.hmm.start, 0.0
+        for i, token in enumerate([*(texts[r["doc_id"]] or "").encode().lower().split(), b" "]):
+            a = (a if i == 0 else a @ fitted.hmm.move) * emission(token)
+            total += math.log10(a.sum())
+            a = a / a.sum()
+        assert r["score"] == pytest.approx(total)
+
+
+def test_tail_classes_grow_and_partitions_do_not_matter(spark, frame):
+    docs = frame([(i, " ".join(f"t{i}x{j}" for j in range(40)) + " common word") for i in range(30)])
+    few = hmm.train(docs, F.col("doc_id") < 3, head=4, passes=0)
+    many = [hmm.train(docs.repartition(n), F.lit(True), head=4, passes=2) for n in (1, 6)]
+    assert len(few.mass) < len(many[0].mass) / 2
+    assert np.allclose(many[0].hmm.emit, many[1].hmm.emit, rtol=1e-9) and np.allclose(many[0].hmm.move, many[1].hmm.move, rtol=1e-9)
+
+
 def test_probabilities_sum_to_one(spark, frame):
     """One-token texts over all known tokens and an unknown one, without the end: emissions of each state sum to 1."""
     prior = np.array([0.5, 0.2, 0.3])
