@@ -1,4 +1,4 @@
-"""Windows on a stream that late rows correct, and partial results that are compacted.
+"""Windows on a stream that late rows correct.
 
 An engine's watermark closes a window and drops what comes behind it. Here every micro-batch adds the partial sums of its
 rows to their windows, whether closed or not, so no row is lost. Rows behind the watermark are also kept in a side
@@ -7,44 +7,16 @@ table, and the windows they reopen are marked.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import SUM_TYPE
-from ..sources import snapshots
+from .partials import BATCH, compact_partials, stored_partials
 from .trades import trigger_options
 
-BATCH = "batch_id"
-
-
-def stored_partials(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The compacted base of a folder of partial results and the batches after it."""
-    base = f"{path}_base"
-    known = snapshots.list_versions(spark, base)
-    fields = T.StructType([f for f in schema.fields if f.name != BATCH])
-    later = spark.read.schema(T.StructType([*fields.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
-    if not known:
-        return later.drop(BATCH)
-    later = later.where(F.col(BATCH) > int(known[-1]))  # folders up to there are not opened
-    return snapshots.read_snapshots(spark, base, known[-1:]).drop("ver").select(*fields.names).unionByName(later.drop(BATCH))
-
-
-def compact_partials(spark: SparkSession, path: str, schema: T.StructType, merge: Callable[[DataFrame], DataFrame]) -> int | None:
-    """Merge all batches so far into a new base, so that readers open one folder; returns its last batch.
-
-    ``merge`` must give rows of the same columns that merge again. Batches are not removed; a base counts once whole.
-    """
-    newest = spark.read.schema(T.StructType([T.StructField(BATCH, T.LongType())])).parquet(path).agg(F.max(BATCH)).first()[0]
-    known = snapshots.list_versions(spark, f"{path}_base")
-    if newest is None or (known and int(known[-1]) >= newest):
-        return newest
-    snapshots.write_snapshot(merge(stored_partials(spark, path, schema)), f"{path}_base", newest)
-    return newest
-
+__all__ = ["compact_partials", "corrected_windows", "merge_windows", "partial_schema", "stored_partials", "windows_so_far"]
 
 def _micros(interval: str) -> F.Column:
     return F.expr(f"unix_micros(timestamp '1970-01-01 00:00:00+00:00' + interval {interval})")

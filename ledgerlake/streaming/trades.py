@@ -23,6 +23,7 @@ from ..plans import gold
 from ..plans.silver import enrich_trades
 from ..sources.readers import decode_envelope
 from ..sources.tables import table_exists
+from .partials import compact_partials, stored_partials
 
 
 def with_watermark(df: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -128,8 +129,13 @@ def gold_batch(bench: DataFrame, asof: str) -> dict[str, Callable[[DataFrame], D
 
 
 def finish_gold(spark: SparkSession, out: str, bench: DataFrame, asof: str) -> dict[str, DataFrame]:
-    """The four stream gold tables from what the batches stored under ``out``."""
-    partials = gold.merge_partials(spark.read.parquet(f"{out}/parciais"))
+    """The four stream gold tables from what the batches stored under ``out``.
+
+    Partial sums are compacted first, so a run opens the base and the batches since the last one.
+    """
+    schema = spark.read.parquet(f"{out}/parciais").schema
+    compact_partials(spark, f"{out}/parciais", schema, gold.merge_partials)
+    partials = gold.merge_partials(stored_partials(spark, f"{out}/parciais", schema))
     return {
         "fraude": spark.read.parquet(f"{out}/fraude").drop("batch_id"),
         "anomalias": gold.intraday_anomalies_of(partials, bench, asof),
