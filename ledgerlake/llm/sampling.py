@@ -46,12 +46,14 @@ def fitted_on_sample(docs: DataFrame, labels: DataFrame, label: str, key: str, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, ys, room = [], [], {0: label_bytes, 1: label_bytes}
+        batch = None
         for batch in batches:
             for y, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 room[y] -= len(text)
                 if room[y] >= 0:
                     texts.append(text)
                     ys.append(y)
+        batch = None
         release()  # what tasks before this one left
         model = fit(texts, ys, share)
         values = [getattr(model, f.name) for f in fields(model)]

@@ -21,7 +21,7 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -159,7 +159,7 @@ def noisy_or(p: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(-hazard(p, owner, n))
 
 
-def fit(texts: list[bytes], labels: list[int], share: float, bits: int = BITS, epochs: int = 40, rate: float = 0.05,
+def fit(texts: Iterable[bytes], labels: list[int], share: float, bits: int = BITS, epochs: int = 40, rate: float = 0.05,
         ridge: float = 0.5, seed: int = 3) -> Model:
     """Minimise the log loss of the noisy-or by mini-batches; ``share`` of label 1 weights the two labels.
 
@@ -268,7 +268,15 @@ def fit(texts: list[bytes], labels: list[int], share: float, bits: int = BITS, e
 
 def train(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text",
           per_label: int = PER_LABEL, sample_bytes: int = SAMPLE_BYTES) -> Model:
-    return fitted_on_sample(docs, labels, label, key, text, per_label, sample_bytes, fit)
+    def fit_and_forget(texts: list[bytes], labels: list[int], share: float) -> Model:
+        def taken():  # a text is given back as soon as its words are numbered
+            texts.reverse()
+            while texts:
+                yield texts.pop()
+
+        return fit(taken(), labels, share)
+
+    return fitted_on_sample(docs, labels, label, key, text, per_label, sample_bytes, fit_and_forget)
 
 
 def spans_of(text: bytes, words: Words, bias: float, least: float) -> Iterator[tuple[int, int, float]]:
