@@ -21,7 +21,8 @@ def main(argv: list[str] | None = None) -> None:
     hist.add_argument("history", choices=sorted(jobs.HISTORIES))
     hist.add_argument("--base", required=True)
     hist.add_argument("--asof", required=True)
-    hist.add_argument("--mode", choices=["changes", "snapshot"], default="changes")
+    hist.add_argument("--mode", choices=["changes", "snapshot", jobs.ANY_ORDER], default="changes")
+    hist.add_argument("--ver", type=int, help="version of the source table; the current one if not given")
     monitor = commands.add_parser("monitor", help="quality metrics of all stored tables")
     monitor.add_argument("--base", required=True)
     monitor.add_argument("--asof", required=True)
@@ -38,7 +39,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "run":
         print(jobs.run(spark, args.job, args.base, args.asof, args.ver))
     elif args.command == "history":
-        print(jobs.run_history(spark, args.history, args.base, args.asof, args.mode))
+        print(jobs.run_history(spark, args.history, args.base, args.asof, args.mode, args.ver))
     elif args.command == "monitor":
         jobs.run_monitoring(spark, args.base, args.asof).orderBy("qualidade_pct").show(truncate=False)
     elif args.command == "stream-gold":

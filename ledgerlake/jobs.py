@@ -182,20 +182,34 @@ HISTORIES: dict[str, HistoryJob] = {
 }
 
 
-def run_history(spark: SparkSession, name: str, base: str, asof: str, mode: str = "changes") -> str:
-    """One day of a validity history.
+#: The mode of a history that takes days in any order.
+ANY_ORDER = "any_order"
+
+
+def run_history(spark: SparkSession, name: str, base: str, asof: str, mode: str = "changes", ver: int | None = None) -> str:
+    """One day of a validity history, from the current version of its source or from version ``ver``.
 
     Open versions are a snapshot per day; versions closed on a day are one folder of their
     own and are never rewritten. The day starts from the newest snapshot before it, so a
     second run of the day writes the same two folders again. A day before one already stored is refused.
+
+    In the mode ``any_order`` days may come in any order and again: versions carry the days they were seen on, and every
+    run commits the whole history as a new version, in which only keys of the batch are new.
     """
     job = HISTORIES[name]
     path = f"{base.rstrip('/')}/{job.layer}/{job.table}"
-    batch = Lake(spark, base, asof, 0).current(*job.source).select(*job.columns)
+    lake = Lake(spark, base, asof, 0)
+    source = lake.current(*job.source) if ver is None else snapshots.read_snapshots(spark, lake.path(*job.source), [ver])
+    batch = source.select(*job.columns)
+    if mode == ANY_ORDER:
+        known = snapshots.list_versions(spark, f"{path}/versoes")
+        prior = snapshots.read_current(spark, f"{path}/versoes").drop("ver") if known else None
+        snapshots.write_snapshot(history.scd2_splice(prior, batch, job.key, asof), f"{path}/versoes", int(known[-1]) + 1 if known else 1)
+        return path
     day = asof.replace("-", "")
     stored = snapshots.list_versions(spark, f"{path}/abertas")
     if stored and stored[-1] > day:
-        raise history.LateBatchError(f"{name} already holds {stored[-1]}, after {day}; rebuild from the later days on")
+        raise history.LateBatchError(f"{name} already holds {stored[-1]}, after {day}; keep it in the mode {ANY_ORDER} to take late days")
     earlier = [v for v in stored if v < day]
     prior = snapshots.read_snapshots(spark, f"{path}/abertas", earlier[-1:]).drop("ver") if earlier else None
     after = history.scd2_apply(prior, batch, job.key, asof, mode).persist()
@@ -211,6 +225,8 @@ def read_history(spark: SparkSession, name: str, base: str) -> DataFrame:
     """All versions of a history, closed and open."""
     job = HISTORIES[name]
     path = f"{base.rstrip('/')}/{job.layer}/{job.table}"
+    if snapshots.list_versions(spark, f"{path}/versoes"):
+        return snapshots.read_current(spark, f"{path}/versoes").drop("ver", history.SEEN)
     open_rows = snapshots.read_current(spark, f"{path}/abertas").drop("ver")
     closed = tables.read_landing(spark, f"{path}/fechadas", "fechada_em=*").drop("fechada_em")
     return open_rows.unionByName(closed)

@@ -116,7 +116,7 @@ def scd2_apply(
     if hist is None:
         return scd2_start(batch, asof)
     if check and not hist.where(F.col(CURRENT) & (F.col(START) > _date(asof))).isEmpty():
-        raise LateBatchError(f"history already holds versions newer than {asof}; rebuild from snapshots")
+        raise LateBatchError(f"history already holds versions newer than {asof}; scd2_splice takes late days")
     attrs = [c for c in batch.columns if c != key]
     tracked = list(tracked or attrs)
     columns = [key, *attrs, START, END, CURRENT]

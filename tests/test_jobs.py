@@ -130,6 +130,24 @@ def test_history_jobs(spark, base):
     assert hist.groupBy("hash_cliente").agg(F.sum(F.col("atual").cast("int")).alias("n")).where("n <> 1").isEmpty()
 
 
+def test_history_of_days_in_any_order(spark, base, tmp_path):
+    import shutil
+
+    lake = str(tmp_path / "lake")
+    shutil.copytree(f"{base}/silver/clientes", f"{lake}/silver/clientes")
+    first = int(snapshots.list_versions(spark, f"{lake}/silver/clientes")[0])
+    rows_of = snapshots.read_snapshots(spark, f"{lake}/silver/clientes", [first]).drop("ver")
+    for ver, label in ((201, "Novo"), (202, "Outro")):
+        snapshots.write_snapshot(rows_of.withColumn("perfil_risco", F.when(F.col("ativo"), label).otherwise(F.col("perfil_risco"))), f"{lake}/silver/clientes", ver)
+    days = {"2026-01-01": first, "2026-01-02": 201, "2026-01-03": 202}
+    for day in ("2026-01-03", "2026-01-01", "2026-01-02", "2026-01-01"):
+        jobs.run_history(spark, "clientes_scd", lake, day, jobs.ANY_ORDER, days[day])
+    got = jobs.read_history(spark, "clientes_scd", lake)
+    n, active = rows_of.count(), rows_of.where("ativo").count()
+    assert (got.count(), got.where("atual").count()) == (n + 2 * active, n)
+    assert {str(r[0]) for r in got.where("perfil_risco = 'Novo'").select("data_fim").distinct().collect()} == {"2026-01-03"}
+
+
 def test_monitoring(spark, base):
     for _ in range(2):  # a second run of the day replaces the first
         status = jobs.run_monitoring(spark, base, "2026-01-03", ["silver_bcb", "gold_performance"])
