@@ -32,6 +32,15 @@ def ordered_events(spark, sf, files: int = 8) -> str:
     return path
 
 
+#: Bytes of a row group of landed envelopes, before compression.
+ROW_GROUP = 4 << 20
+
+
+def land(df: DataFrame, path: str, files: int) -> None:
+    """Append ``df`` to a landing folder in so many files, of small row groups: a micro-batch reads few files, but its tasks share their row groups."""
+    df.repartition(files).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(path)
+
+
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
@@ -61,10 +70,10 @@ def stream_sink_append(spark, sf):
   case when preco>80 then 'Preco Alto' when preco<15 then 'Preco Baixo' else 'Normal' end as alerta_preco, '{STAMP}' as processado_em from v_trades""",
 )
 def stream_enrich(spark, sf):
-    land, out = scratch_dir(spark, "capture"), scratch_dir(spark, "stream_silver")
+    landed, out = scratch_dir(spark, "capture"), scratch_dir(spark, "stream_silver")
     captured = envelopes(spark, sf)
-    captured.repartition(6).write.parquet(land)
-    raw = stream_files(spark, land, captured.schema, max_files=2)
+    land(captured, landed, 6)
+    raw = stream_files(spark, landed, captured.schema, max_files=2)
     st.drain(st.run_trades_stream(raw, out, scratch_dir(spark, "ckpt"), STAMP))
     return _ntz(spark.read.parquet(out), "timestamp")
 
@@ -75,13 +84,13 @@ def stream_enrich(spark, sf):
 )
 def stream_continuous(spark, sf):
     """An always-on named stream: it runs on a timer, is stopped by name, and goes on with new files on its checkpoint."""
-    land, out, ckpt = scratch_dir(spark, "capture"), scratch_dir(spark, "stream_silver"), scratch_dir(spark, "ckpt")
+    landed, out, ckpt = scratch_dir(spark, "capture"), scratch_dir(spark, "stream_silver"), scratch_dir(spark, "ckpt")
     captured = envelopes(spark, sf)
     name = f"trades_{ckpt[-8:]}"
     for part in range(2):
         half = captured.where(F.pmod(F.xxhash64("Body"), F.lit(2)) == part)
-        half.repartition(4).write.mode("append").parquet(land)
-        raw = stream_files(spark, land, captured.schema, max_files=2)
+        land(half, landed, 4)
+        raw = stream_files(spark, landed, captured.schema, max_files=2)
         running = st.run_trades_stream(raw, out, ckpt, STAMP, "1 second", name)
         running.processAllAvailable()
         if not st.stop_named(spark, name):
@@ -271,10 +280,10 @@ def stream_progress(spark, sf):
 )
 def stream_quarantine(spark, sf):
     """Payloads landed in several files: good ones reach silver, the others quarantine with their reason."""
-    land, good, bad = (scratch_dir(spark, n) for n in ("capture", "stream_silver", "stream_quarantine"))
-    body = payloads(spark, sf).select(F.col("corpo").cast("binary").alias("Body")).repartition(6)
-    body.write.parquet(land)
-    raw = stream_files(spark, land, body.schema, max_files=2)
+    landed, good, bad = (scratch_dir(spark, n) for n in ("capture", "stream_silver", "stream_quarantine"))
+    body = payloads(spark, sf).select(F.col("corpo").cast("binary").alias("Body"))
+    land(body, landed, 6)
+    raw = stream_files(spark, landed, body.schema, max_files=2)
     st.drain(st.run_quarantine_stream(raw, bad, scratch_dir(spark, "ckpt")))
     st.drain(st.run_trades_stream(raw, good, scratch_dir(spark, "ckpt"), STAMP, validate=True))
     kept = spark.read.parquet(good).select(F.lit("silver").alias("destino"), F.lit(None).cast("string").alias("motivo"))

@@ -75,7 +75,9 @@ def validate_payload(
 ) -> DataFrame:
     """Add ``valido`` and ``motivo`` (first failing reason) for a JSON text column.
 
-    The text is parsed once to a variant, so "12" and 12 are told apart without a UDF.
+    The text is parsed once to a variant, so "12" and 12 are told apart without a UDF. The variant and the reason are
+    made by generators of one row each: a filter on either does not make it again, as it would with a projection,
+    whose expression the planner copies into every place that names it.
     """
     doc = F.try_parse_json(F.col(payload).cast("string"))
     side, allowed = domain
@@ -102,8 +104,8 @@ def validate_payload(
         .otherwise(presets.REASON_OK)
     )
     return (
-        df.withColumn("_doc", doc)
-        .withColumn("motivo", reason)
+        df.withColumn("_doc", F.explode(F.array(doc)))
+        .withColumn("motivo", F.explode(F.array(reason)))
         .withColumn("valido", F.col("motivo") == presets.REASON_OK)
         .drop("_doc")
     )

@@ -1,13 +1,16 @@
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
 from ledgerlake import presets
 from ledgerlake.functions import mask_cpf, mask_email, mask_name, pseudonymize, salted_sha256
+from ledgerlake.operators.joins import plan_text
 from ledgerlake.operators.quality import split_quarantine
 from ledgerlake.operators.sets import _replicate, reconcile
+from ledgerlake.queries.streams import land
 from ledgerlake.sources import readers, scratch, snapshots, tables
 
 
@@ -31,6 +34,22 @@ def test_payload_reasons(spark):
     assert (good.count(), bad.count(), "motivo" in bad.columns) == (2, len(cases) - 2, True)
 
 
+def test_payloads_are_parsed_once(spark):
+    df = spark.createDataFrame([('{"preco": 1}',), (None,), ("x",)], "corpo string")
+    good, bad = split_quarantine(df, "corpo")
+    for side in (good, bad):
+        assert plan_text(side, "simple").count("parseJson") == 1
+    assert good.columns == ["corpo"] and bad.columns == ["corpo", "motivo"] and bad.count() == 3
+
+
+def test_landed_files_have_small_row_groups(spark, tmp_path):
+    body = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 512).cast("binary").alias("Body"))
+    land(body, str(tmp_path / "landed"), 2)
+    files = list((tmp_path / "landed").glob("*.parquet"))
+    assert len(files) == 2 and all(pq.ParquetFile(f).num_row_groups > 1 for f in files)
+    assert spark.read.parquet(str(tmp_path / "landed")).distinct().count() == 200_000
+
+
 def test_envelope(spark):
     df = spark.createDataFrame([(bytearray(b'{"ticker":"A","preco":"x","quantidade":3}'),), (bytearray(b"nope"),)], "Body binary")
     assert rows(readers.decode_envelope(df), "ticker", "preco", "quantidade") == [("A", None, 3), (None, None, None)]
