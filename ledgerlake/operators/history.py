@@ -197,7 +197,8 @@ def scd2_splice(hist: DataFrame | None, batch: DataFrame, key: str, asof, check:
     in_order = F.array_sort(F.concat(around, F.array("new")), lambda a, b: F.when(a["days"][0] < b["days"][0], -1).otherwise(1))
     met = met.select(key, in_order.alias("pieces"))
     met = met.select(key, F.aggregate("pieces", F.filter("pieces", lambda _: F.lit(False)), joined).alias("pieces"))
-    versions = met.select(key, "pieces", F.posexplode("pieces").alias("at", "piece"))
+    # there is a piece at least; the plain form would make all pieces twice more, to filter by their number first
+    versions = met.select(key, "pieces", F.posexplode_outer("pieces").alias("at", "piece"))
     until = F.get("pieces", F.col("at") + 1)["days"][0]
     spliced = versions.select(
         key, *[F.col(f"piece.row.{c}").alias(c) for c in attrs], F.col("piece.days")[0].alias(START),

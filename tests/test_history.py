@@ -10,7 +10,7 @@ from hypothesis import strategies as s
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import history
-from ledgerlake.operators.joins import dedup_latest, scd2_asof_join
+from ledgerlake.operators.joins import dedup_latest, plan_text, scd2_asof_join
 from ledgerlake.sources.scratch import stage
 from ledgerlake.sources.tables import write_partitioned
 
@@ -241,3 +241,10 @@ def test_daily_states_equal_the_history_on_each_day(spark):
         for r in history.scd2_at(hist, day).groupBy("v").count().collect():
             want[day, r["v"]] = r["count"]
     assert got == want
+
+
+def test_splice_makes_the_pieces_once(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "cli int, p string")
+    hist = history.scd2_splice(None, rows, "cli", "2024-01-03")
+    late = history.scd2_splice(hist, rows.limit(1), "cli", "2024-01-01")
+    assert plan_text(late, "simple").count("array_sort(") == 1 and late.count() == 2
