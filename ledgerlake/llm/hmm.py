@@ -23,9 +23,10 @@ probability one.
 
 from __future__ import annotations
 
-import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -85,30 +86,40 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return arrow_map(texts.select("text"), run, "token binary, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
 
+class Ids(dict):
+    """token -> id; a token that is not of the head is counted in ``rare`` and has the id of its class, kept nowhere."""
+
+    def __init__(self, head: list[bytes], classes: int):
+        super().__init__(zip(head, range(len(head))))
+        self.rare: dict[bytes, int] = {}
+        self.classes = classes
+
+    def __missing__(self, token: bytes) -> int:
+        rare = self.rare
+        rare[token] = rare.get(token, 0) + 1
+        return len(self) + crc32(token) % self.classes
+
+
 def encode(docs: DataFrame, head: list[bytes], classes: int, key_type: str) -> DataFrame:
     """Per row: ids of its tokens in order (those of classes follow those of ``head``), and the other tokens with counts."""
     shared = share(docs, head)
     schema = f"row bigint, key {key_type}, learn boolean, ids array<int>, rare array<struct<token:binary,n:int>>"
 
     def run(batches):
-        ids_of = {w: i for i, w in enumerate(held(shared))}
-        other, get, crc = len(ids_of), ids_of.get, zlib.crc32
+        ids_of = Ids(held(shared), classes)
         for batch in batches:
             for part, raw in text_chunks(batch, "text"):
-                flat: list[int] = []
+                flat = array("i")
                 ends, rare_ends, rare_tokens, rare_counts = [0], [0], [], []
                 for text in raw:
                     tokens = words(text)
                     tokens.append(END)
-                    ids = [get(w, -1) for w in tokens]
-                    rare: Counter = Counter()
-                    if -1 in ids:
-                        rare.update([w for w, i in zip(tokens, ids) if i < 0])
-                        ids = [other + crc(w) % classes if i < 0 else i for w, i in zip(tokens, ids)]
-                    flat += ids
+                    flat.fromlist(list(map(ids_of.__getitem__, tokens)))
                     ends.append(len(flat))
-                    rare_tokens += rare
-                    rare_counts += rare.values()
+                    if ids_of.rare:
+                        rare_tokens += ids_of.rare
+                        rare_counts += ids_of.rare.values()
+                        ids_of.rare.clear()
                     rare_ends.append(len(rare_tokens))
                 pairs = pa.StructArray.from_arrays(
                     [pa.array(rare_tokens, pa.binary()), pa.array(rare_counts, pa.int32())], names=["token", "n"]
@@ -118,7 +129,7 @@ def encode(docs: DataFrame, head: list[bytes], classes: int, key_type: str) -> D
                         part.column(0),
                         part.column(1),
                         part.column(2),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(flat, np.int32))),
+                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32))),
                         pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pairs),
                     ],
                     names=["row", "key", "learn", "ids", "rare"],
@@ -329,7 +340,7 @@ def train(
     sums = vocabulary.groupBy((F.crc32("token") % classes).cast("int").alias("c")).agg(F.sum(F.col("n") + 1).alias("n")).toArrow()
     mass = np.ones(classes)
     mass[sums.column("c").to_numpy()] += sums.column("n").to_numpy()
-    np.subtract.at(mass, np.array([zlib.crc32(t) % classes for t in tokens], dtype=np.int64), counts + 1)
+    np.subtract.at(mass, np.array([crc32(t) % classes for t in tokens], dtype=np.int64), counts + 1)
     scale = n_total + v_total + classes
     unigram = np.append(counts + 1, mass) / scale
 

@@ -137,3 +137,11 @@ def test_better_than_the_base_on_held_out_texts(spark, sf):
 
     row = QUERIES["op1_hmm_score"](spark, sf).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert row[0] > row[1]
+
+
+def test_ids_are_found_in_one_pass():
+    ids = hmm.Ids([b"a", b"b"], 5)
+    tokens = [b"b", b"x", b"a", b"y", b"x", hmm.END]
+    assert [ids[t] for t in tokens] == [1, 2 + zlib.crc32(b"x") % 5, 0, 2 + zlib.crc32(b"y") % 5, 2 + zlib.crc32(b"x") % 5, 2 + zlib.crc32(hmm.END) % 5]
+    assert list(ids.rare.items()) == [(b"x", 2), (b"y", 1), (hmm.END, 1)]
+    assert dict(ids) == {b"a": 0, b"b": 1}
