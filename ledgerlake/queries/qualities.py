@@ -328,7 +328,7 @@ def profile_merge(spark, sf):
     months = stage(profiles.profile_parts(li, PROFILED, "mes"), "profiles")
     numbers = PROFILED[:3]
     whole = profiles.read_profile(profiles.merge_profiles(months, numeric=numbers), [0.5])
-    exact, parts = [F.lit(1).alias("_one")], []
+    exact, parts = [], []
     for c in PROFILED:
         exact += [F.count_distinct(c).alias(f"d_{c}"), F.min(c).cast("string").alias(f"lo_{c}"), F.max(c).cast("string").alias(f"hi_{c}")]
     # the share of rows below and up to the estimated median must enclose one half, within the error of ranks
@@ -338,16 +338,19 @@ def profile_merge(spark, sf):
         exact += [F.avg((number < medians[c]).cast("int")).alias(f"below_{c}"), F.avg((number <= medians[c]).cast("int")).alias(f"upto_{c}")]
     facts = stage(li.agg(*exact), "facts")
     for c in PROFILED:
-        row = whole.where(F.col("coluna") == c).withColumn("_one", F.lit(1)).join(facts, "_one")
-        off = F.abs(F.col("distintos_aprox") - F.col(f"d_{c}")) / F.col(f"d_{c}")
-        median = (
-            (F.col(f"below_{c}") <= 0.5 + 3 * profiles.RANK_ERROR) & (F.col(f"upto_{c}") >= 0.5 - 3 * profiles.RANK_ERROR) if c in numbers else F.lit(True)
-        )
-        parts.append(row.select(
-            "coluna", "registros", "nulos", (F.col("minimo") == F.col(f"lo_{c}")).alias("minimo_ok"), (F.col("maximo") == F.col(f"hi_{c}")).alias("maximo_ok"),
-            (off <= 4 * profiles.DISTINCT_ERROR).alias("distintos_ok"), median.alias("mediana_ok"),
-        ))
-    return reduce(DataFrame.unionByName, parts)
+        measured = {"d": f"d_{c}", "lo": f"lo_{c}", "hi": f"hi_{c}"} | ({"below": f"below_{c}", "upto": f"upto_{c}"} if c in numbers else {})
+        parts.append(F.struct(F.lit(c).alias("coluna"), *[
+            (F.col(measured[n]) if n in measured else F.lit(None).cast("double")).alias(n) for n in ("d", "lo", "hi", "below", "upto")
+        ]))
+    # a row per column, so that the join has a key
+    both = whole.join(facts.select(F.inline(F.array(*parts))), "coluna")
+    off = F.abs(F.col("distintos_aprox") - F.col("d")) / F.col("d")
+    median = (F.col("below") <= 0.5 + 3 * profiles.RANK_ERROR) & (F.col("upto") >= 0.5 - 3 * profiles.RANK_ERROR)
+    return both.select(
+        "coluna", "registros", "nulos", (F.col("minimo") == F.col("lo")).alias("minimo_ok"), (F.col("maximo") == F.col("hi")).alias("maximo_ok"),
+        (off <= 4 * profiles.DISTINCT_ERROR).alias("distintos_ok"),
+        F.when(F.col("coluna").isin(numbers), median).otherwise(True).alias("mediana_ok"),
+    )
 
 
 @query("drift_distribution", "select 1 as posicao, 'deslocado' as coluna, true as acima union all select 2, 'igual', false")
