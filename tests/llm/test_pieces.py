@@ -104,3 +104,25 @@ def test_table(spark, frame, vocab):
         assert k.decode(vocab, r["token_ids"]).decode() == (r["text"] or "")
     assert rows[0]["token_ids"] == rows[3]["token_ids"] and rows[1]["token_ids"] == []
     assert k.add_ids(frame([]), vocab).count() == 0
+
+
+def test_skips_that_change_no_merge_do_not_part_occurrences(vocab):
+    """A candidate whose symbol went into a better one first is never merged, so skipping it makes no other segmentation."""
+    n = 4000
+    hashed = k.mix64(np.arange(n, dtype=np.uint64))
+    for word, most in ((" the", 60), (" government", 1000)):
+        flat, sizes, made = k._with_dropout(vocab, [word], np.zeros(n, np.int64), hashed, 0.1)
+        assert len(sizes) <= most and len(made) == n
+        assert len({tuple(x) for x in split(flat, sizes)}) > 2
+    once = k._with_dropout(vocab, [f" {i}x" for i in range(500)], np.arange(500), hashed[:500], 0.1)[1]
+    assert len(once) == 500  # a unit that comes once is segmented once
+
+
+def test_units_of_all_lengths_together_and_alone(vocab):
+    """Units of every length up to the longest of a table, alone and among others."""
+    units = [" " + ("antidisestablishmentarianism" * 2)[:m] for m in range(k.LONG + 3)] + ["é漢" * m for m in range(1, 24)]
+    hashed = k.mix64(np.arange(len(units), dtype=np.uint64))
+    for dropout in (0.0, 0.2, 0.9):
+        together = split(*k._encode_units(vocab, units, hashed, dropout))
+        alone = [k._encode_units(vocab, [u], hashed[i : i + 1], dropout)[0].tolist() for i, u in enumerate(units)]
+        assert together == alone
