@@ -45,6 +45,10 @@ PASSES = 4
 PRIOR = 5000.0
 #: Tokens whose forward variables one task holds at a time.
 CHUNK = 800_000
+#: Steps of the recursion from one scaling to the next: far from the smallest double, as no emission of a state is below 1e-30.
+SCALED = 8
+#: Tokens whose expected counts are added at a time.
+ADDED = 1 << 14
 #: Distinct tokens that a counting task holds before it hands them on.
 COUNTED = 400_000
 
@@ -168,49 +172,64 @@ def chunks(ids: np.ndarray, lengths: np.ndarray, most: int):
 
 
 def forward(model: Hmm, timed, active, first, keep: bool):
-    """Scaled forward recursion. Returns log10 likelihoods by row and, if kept, the scaled variables and scales."""
+    """Forward recursion, scaled at every ``SCALED``-th step. Returns log10 likelihoods by row and, if kept, the scaled
+    variables, the scales of each scaled step and the sums of the variables at the end of each row."""
+    emit, move = np.ascontiguousarray(model.emit), model.move
     n, k = int(active[0]), len(model.start)
+    ones = np.ones(k)
     kept = np.empty((len(timed), k)) if keep else None
-    scales = np.empty(len(timed))
-    a = None
-    for t in range(len(active)):
-        m, f = int(active[t]), int(first[t])
-        e = model.emit[timed[f : f + m]]
-        a = e * model.start if a is None else (a[:m] @ model.move) * e
-        s = a.sum(axis=1)
-        a /= s[:, None]
-        scales[f : f + m] = s
+    log_scales, scales, last = np.zeros(n), {}, np.empty(n)
+    a = np.empty((0, k))
+    for t, (m, f) in enumerate(zip(active.tolist(), first.tolist())):
+        e = emit.take(timed[f : f + m], axis=0)
+        if t == 0:
+            e *= model.start
+        else:
+            if m < len(a):
+                last[m : len(a)] = a[m:] @ ones
+                a = a[:m]
+            e *= a @ move
+        a = e
+        if t % SCALED == SCALED - 1:
+            s = a @ ones
+            a /= s[:, None]
+            log_scales[:m] += np.log10(s)
+            scales[t] = s
         if keep:
             kept[f : f + m] = a
-    log_scales = np.log10(scales)
-    rank = np.arange(len(timed)) - np.repeat(first, active)
-    return np.bincount(rank, weights=log_scales, minlength=n), kept, scales
+    last[: len(a)] = a @ ones
+    return log_scales + np.log10(last), kept, scales, last
 
 
 def expected(model: Hmm, ids, lengths, emitted: np.ndarray, moved: np.ndarray, started: np.ndarray, most: int) -> None:
     """Add the expected counts of all rows to the three tables in place."""
+    sums = np.zeros(emitted.size)
     for _, timed, active, first in chunks(ids, lengths, most):
-        _, alpha, scales = forward(model, timed, active, first, keep=True)
-        k = len(model.start)
-        beta = np.ones((int(active[-1]), k))
+        _, alpha, scales, last = forward(model, timed, active, first, keep=True)
+        emit, k = np.ascontiguousarray(model.emit), len(model.start)
         xi = np.zeros((k, k))
         back = np.ascontiguousarray(model.move.T)
-        for t in range(len(active) - 1, -1, -1):
-            m, f = int(active[t]), int(first[t])
+        # the sum over states of both variables is one for every row
+        beta = np.empty((0, k))
+        sizes, starts = active.tolist(), first.tolist()
+        for t in range(len(sizes) - 1, -1, -1):
+            m, f = sizes[t], starts[t]
             if len(beta) < m:
-                beta = np.concatenate([beta, np.ones((m - len(beta), k))])
-            e = model.emit[timed[f : f + m]]
-            e *= beta
-            e /= scales[f : f + m, None]
+                beta = np.concatenate([beta, np.repeat(1 / last[len(beta) : m, None], k, axis=1)])
             alpha[f : f + m] *= beta
             if t:
-                p = int(first[t - 1])
+                e = emit.take(timed[f : f + m], axis=0)
+                e *= beta
+                if t in scales:
+                    e /= scales[t][:, None]
+                p = starts[t - 1]
                 xi += alpha[p : p + m].T @ e
                 beta = e @ back
         moved += xi * model.move
-        started += alpha[: int(active[0])].sum(axis=0)
-        for j in range(k):
-            emitted[j] += np.bincount(timed, weights=alpha[:, j], minlength=emitted.shape[1])
+        started += alpha[: sizes[0]].sum(axis=0)
+        for i in range(0, len(timed), ADDED):
+            np.add.at(sums, (timed[i : i + ADDED, None] * k + np.arange(k)).ravel(), alpha[i : i + ADDED].ravel())
+    emitted += sums.reshape(-1, k).T
 
 
 def baum_welch_counts(encoded: DataFrame, model: Hmm) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -269,7 +288,7 @@ def first_model(prior: np.ndarray, states: int, seed: int) -> Hmm:
 
 
 def reestimate(prior: np.ndarray, emitted, moved, started, weight: float) -> Hmm:
-    emit = (emitted.T + weight * prior[:, None]) / (emitted.sum(axis=1) + weight)
+    emit = np.ascontiguousarray((emitted.T + weight * prior[:, None]) / (emitted.sum(axis=1) + weight))
     k = len(started)
     return Hmm((started + 1) / (started.sum() + k), (moved + 1) / (moved.sum(axis=1, keepdims=True) + k), emit)
 

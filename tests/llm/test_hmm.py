@@ -145,3 +145,27 @@ def test_ids_are_found_in_one_pass():
     assert [ids[t] for t in tokens] == [1, 2 + zlib.crc32(b"x") % 5, 0, 2 + zlib.crc32(b"y") % 5, 2 + zlib.crc32(b"x") % 5, 2 + zlib.crc32(hmm.END) % 5]
     assert list(ids.rare.items()) == [(b"x", 2), (b"y", 1), (hmm.END, 1)]
     assert dict(ids) == {b"a": 0, b"b": 1}
+
+
+def test_long_rows_of_rare_tokens_need_few_scalings():
+    """Rows that end at, before and after a scaled step, with emissions near 1e-12, against a recursion scaled at each step."""
+    rng = np.random.default_rng(5)
+    model = tiny()
+    model = hmm.Hmm(model.start, model.move, np.vstack([model.emit, 1e-12 * rng.random((20, 3))]))
+    lengths = np.array([1, 2, hmm.SCALED - 1, hmm.SCALED, hmm.SCALED + 1, 2 * hmm.SCALED, 700, 701])
+    ids = rng.integers(5, 25, lengths.sum())
+    got, gamma = np.zeros(len(lengths)), np.zeros((3, 25))
+    for rows, timed, active, first in hmm.chunks(ids, lengths, 900):
+        likelihood, _, scales, _ = hmm.forward(model, timed, active, first, True)
+        assert len(scales) == len(active) // hmm.SCALED
+        got[rows] = likelihood
+    moved, started = np.zeros((3, 3)), np.zeros(3)
+    hmm.expected(model, ids, lengths, gamma, moved, started, 900)
+    assert gamma.sum(axis=0) == pytest.approx(np.bincount(ids, minlength=25))
+    assert moved.sum() == pytest.approx((lengths - 1).sum()) and started.sum() == pytest.approx(len(lengths))
+    for row, part in zip(got, np.split(ids, np.cumsum(lengths)[:-1])):
+        a, total = model.start * model.emit[part[0]], 0.0
+        for w in part[1:]:
+            total, a = total + math.log10(a.sum()), a / a.sum()
+            a = (a @ model.move) * model.emit[w]
+        assert row == pytest.approx(total + math.log10(a.sum()), rel=1e-12)
