@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +38,12 @@ def ordered_events(spark, sf, files: int = 8) -> str:
 ROW_GROUP = 4 << 20
 
 
-def land(df: DataFrame, path: str, files: int) -> None:
-    """Append ``df`` to a landing folder in so many files, of small row groups: a micro-batch reads few files, but its tasks share their row groups."""
-    df.repartition(files).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(path)
+def land(df: DataFrame, path: str, files: int, by: Sequence[str] = ()) -> None:
+    """Append ``df`` to a landing folder in so many files, of small row groups: a micro-batch reads few files, but its tasks share their row groups.
+
+    Rows are dealt in turn, or by a hash of the columns ``by``, which spares the sort that dealing in turn needs.
+    """
+    df.repartition(files, *by).write.mode("append").option("parquet.block.size", ROW_GROUP).parquet(path)
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -158,26 +163,37 @@ def stream_sliding(spark, sf):
 @query("stream_sessions", SESSIONS)
 def stream_sessions(spark, sf):
     # a session window drops rows behind the watermark in every mode: the files must come in time order
-    raw = stream_files(spark, land_by_week(spark, sf, late=False), v.table(spark, sf, "events").schema, max_files=1)
+    raw = stream_files(spark, land_by_week(spark, sf, late=False), v.table(spark, sf, "events").schema, max_files=WEEK_FILES)
     agg = st.stream_sessions(raw, "user_id", "ts", "value", gap="1 hour")
     return _ntz(st.complete_result(agg, scratch_dir(spark, "sessions"), scratch_dir(spark, "ckpt")), "inicio", "fim")
 
 
+#: Files of a week of landed events, and of the micro-batch that reads them.
+WEEK_FILES = 8
+
+
 def land_by_week(spark, sf, late: bool = True) -> str:
-    """Events landed in four files by time, one after another, then (``late``) the first hour once more.
+    """Events landed in four steps by time, one after another, then (``late``) the first hour once more.
 
-    A file source takes files in the order they were written, so only the last file is late.
+    A file source takes files in the order they were written. Every step has exactly ``WEEK_FILES`` files, empty ones if
+    need be, so it is one micro-batch whatever the partitions of the table, and only the last one is late.
     """
     path = scratch_dir(spark, "events_late")
     e = v.table(spark, sf, "events")
     cuts = [None, "2024-01-08", "2024-01-15", "2024-01-22", None]
+    steps = []
     for lo, hi in zip(cuts, cuts[1:]):
         part = e
         part = part.where(F.col("ts") >= F.lit(lo).cast("timestamp_ntz")) if lo else part
         part = part.where(F.col("ts") < F.lit(hi).cast("timestamp_ntz")) if hi else part
-        part.write.mode("append").parquet(path)
+        steps.append(part)
     if late:
-        e.where(F.col("ts") < F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")).write.mode("append").parquet(path)
+        steps.append(e.where(F.col("ts") < F.lit("2024-01-01 01:00:00").cast("timestamp_ntz")))
+    for done, part in enumerate(steps, 1):
+        land(part, path, WEEK_FILES, by=e.columns)
+        landed = len(spark.read.schema(e.schema).parquet(path).inputFiles())
+        for _ in range(done * WEEK_FILES - landed):  # a task without rows writes no file
+            spark.createDataFrame([], e.schema).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
@@ -190,7 +206,7 @@ having date_trunc('hour',ts)::timestamp+interval 1 hour <= (select max(ts) from
 def stream_late_data(spark, sf):
     """Append mode with a watermark: a window is emitted once closed, rows behind the watermark are dropped."""
     out = scratch_dir(spark, "late")
-    raw = stream_files(spark, land_by_week(spark, sf), v.table(spark, sf, "events").schema, max_files=1)
+    raw = stream_files(spark, land_by_week(spark, sf), v.table(spark, sf, "events").schema, max_files=WEEK_FILES)
     agg = st.stream_tumbling(raw, "event_type", "ts", "value", "1 hour", "1 hour")
     st.drain(st.stream_to_table(agg, out, scratch_dir(spark, "ckpt")))
     return _ntz(spark.read.schema(agg.schema).parquet(out), "inicio", "fim")
@@ -208,7 +224,7 @@ def stream_late_corrected(spark, sf):
     """The last file repeats the first hour, weeks behind the watermark: its rows are kept and correct closed windows."""
     out = scratch_dir(spark, "corrected")
     schema = v.table(spark, sf, "events").schema
-    raw = stream_files(spark, land_by_week(spark, sf), schema, max_files=1)
+    raw = stream_files(spark, land_by_week(spark, sf), schema, max_files=WEEK_FILES)
     st.drain(corrections.corrected_windows(raw, "event_type", "ts", "value", out, scratch_dir(spark, "ckpt")))
     partial = corrections.partial_schema(raw, "event_type")
     corrections.compact_partials(spark, f"{out}/parciais", partial, lambda rows: corrections.merge_windows(rows, "event_type"))
@@ -221,9 +237,9 @@ def stream_late_corrected(spark, sf):
   count(*) over (partition by user_id order by ts range between interval 600 seconds preceding and current row)>=2 as alerta_velocidade from events""",
 )
 def stream_velocity(spark, sf):
-    """The velocity rule while events arrive, in files by time: state by key, removed by timers."""
+    """The velocity rule while events arrive, in files by time: state by group of keys, removed by timers."""
     out = scratch_dir(spark, "velocity")
-    raw = stream_files(spark, land_by_week(spark, sf, late=False), v.table(spark, sf, "events").schema, max_files=1)
+    raw = stream_files(spark, land_by_week(spark, sf, late=False), v.table(spark, sf, "events").schema, max_files=WEEK_FILES)
     raw = raw.select("event_id", "user_id", "ts")
     rows = velocity.stream_velocity(raw, "user_id", "ts", 600, 2).drop("ts")
     st.drain(st.stream_to_table(rows, out, scratch_dir(spark, "ckpt")))

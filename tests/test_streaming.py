@@ -3,12 +3,14 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
 from ledgerlake.operators import windows
 from ledgerlake.plans import gold
+from ledgerlake.queries import streams
 from ledgerlake.sources.readers import stream_files
 from ledgerlake.streaming import corrections, velocity
 from ledgerlake.streaming import trades as st
@@ -194,6 +196,63 @@ def test_velocity_equals_batch_and_state_is_given_back(spark, tmp_path):
     assert done.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] == 1  # only "z"
 
 
+@pytest.mark.parametrize("kind", ["bigint", "string", "double"])
+def test_velocity_counts_keys_in_groups(spark, tmp_path, kind):
+    src, schema = str(tmp_path / "src"), f"id int, k {kind}, ts timestamp, value double"
+    key = {"bigint": int, "string": str, "double": float}[kind]
+    for part in range(3):  # times in order across files, not inside them
+        items = [(100 * part + i, key(i * 7 % 20), 40 * part + i * 13 % 40, 1.0) for i in range(100)]
+        land(spark, src, items, schema)
+    raw = stream_files(spark, src, schema)
+    rule = velocity.stream_velocity(raw, "k", "ts", 25, 4, groups=3)
+    done = st.drain(st.stream_to_table(rule, str(tmp_path / "out"), str(tmp_path / "ckpt")))
+    picked = ("id", "eventos_janela", "alerta_velocidade")
+    want = rows(windows.velocity_flag(spark.read.parquet(src), "k", "ts", 25, 4), *picked)
+    assert rows(spark.read.parquet(str(tmp_path / "out")), *picked) == want
+    groups = done.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    assert groups == 20 if kind == "double" else 1 <= groups <= 3  # a call and a state for each group, not each key
+
+
+def test_velocity_counts_over_all_times():
+    far = 62_135_596_800_000_000  # microseconds from 1970 back to year 1
+    places, times, events, entry = velocity.merged(
+        np.array([1, 0, 1, 0, 2, 1]), np.array([5, far, 5, far - 3, -far, 2]), np.array([1, 1, 2, 1, 1, 1])
+    )
+    assert [places.tolist(), times.tolist(), events.tolist()] == [[0, 0, 1, 1, 2], [far - 3, far, 2, 5, -far], [1, 1, 1, 3, 1]]
+    assert entry.tolist() == [3, 1, 3, 0, 4, 2]
+    assert velocity.counted(places, times, events, 3).tolist() == [1, 2, 1, 4, 1]
+    assert velocity.counted(places, times, events, 2).tolist() == [1, 1, 1, 3, 1]
+
+
+@pytest.fixture
+def many_parts(spark, tmp_path):
+    """Events of a table of several files, each over the whole time but one week."""
+    week = dt.timedelta(days=7)
+    data = [
+        (i, dt.datetime(2024, 1, 1) + week * (0, 2, 3)[i % 3] + dt.timedelta(minutes=i * 37 % 500), i % 5, "a", 1.0, "{}")
+        for i in range(400)
+    ]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(data, schema).repartition(6).write.option("parquet.block.size", 1).parquet(str(tmp_path / "events.parquet"))
+    return str(tmp_path)
+
+
+def test_a_landed_week_is_one_micro_batch(spark, many_parts, tmp_path):
+    events = spark.read.parquet(f"{many_parts}/events.parquet")
+    raw = stream_files(spark, streams.land_by_week(spark, many_parts), events.schema, max_files=streams.WEEK_FILES)
+    done = st.drain_recorded(
+        lambda: st.stream_to_table(raw, str(tmp_path / "o"), str(tmp_path / "c")), spark, str(tmp_path / "m")
+    )
+    sizes = [134, 0, 133, 133, events.where("ts < '2024-01-01 01:00:00'").count()]
+    assert [r["linhas_entrada"] for r in done.orderBy("batch_id").collect()] == sizes and sizes[-1] > 0
+
+
+def test_velocity_keeps_the_rows_of_all_parts(spark, many_parts):
+    events = spark.read.parquet(f"{many_parts}/events.parquet")
+    got = rows(streams.stream_velocity(spark, many_parts), "event_id", "eventos_janela", "alerta_velocidade")
+    assert got == rows(windows.velocity_flag(events, "user_id", "ts", 600, 2), "event_id", "eventos_janela", "alerta_velocidade")
+
+
 def test_late_rows_correct_closed_windows(spark, tmp_path):
     src, out, ckpt = (str(tmp_path / n) for n in ("src", "out", "ckpt"))
     land(spark, src, [(1, "a", 0, 1.5), (2, "a", 3599, None), (3, "b", 10, 2.0)])
